@@ -36,9 +36,11 @@ def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str],
     return summed.drop("_slice", *[f"_offset_{name}" for name in measures])
 
 
-# Largest limit answered by top lists of top lists, and the number of lists in between.
-SMALL_LIMIT = 10_000
+# Number of top lists between the tasks' own ones and the last; size of one written-out chunk.
 _LISTS = 256
+_CHUNK = 100_000
+# Up to this rank Spark keeps each task's own top rows before a window's shuffle.
+_RANK_SETTING, _RANK_DEFAULT = "spark.sql.optimizer.windowGroupLimitThreshold", "1000"
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
@@ -50,7 +52,7 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     below the cut are written out again: no task ever holds ``n`` rows.
     """
     total_order = [*order, *[name for name in df.columns if name not in order]]
-    if n <= SMALL_LIMIT:
+    if n <= int(df.sparkSession.conf.get(_RANK_SETTING, _RANK_DEFAULT)):
         lists = df.withColumn("_list", F.spark_partition_id() % _LISTS)
         place = F.row_number().over(Window.partitionBy("_list").orderBy(*total_order))
         firsts = lists.withColumn("_place", place).where(F.col("_place") <= n)
@@ -59,9 +61,8 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     placed = running_totals(copies, [], total_order, ["_copies"])
     kept = placed.withColumn("_kept", F.least("_copies", F.lit(n) - F.col("before__copies")))
     # Copies are written out in two steps, so that no array grows with the number of copies.
-    step = SMALL_LIMIT
     chunks = kept.where("_kept > 0").withColumn(
-        "_from", F.explode(F.sequence(F.lit(0), F.col("_kept") - 1, F.lit(step).cast("bigint"))))
+        "_from", F.explode(F.sequence(F.lit(0), F.col("_kept") - 1, F.lit(_CHUNK).cast("bigint"))))
     single = chunks.withColumn("_one", F.explode(F.sequence(
-        F.lit(1).cast("bigint"), F.least(F.lit(step), F.col("_kept") - F.col("_from")))))
+        F.lit(1).cast("bigint"), F.least(F.lit(_CHUNK), F.col("_kept") - F.col("_from")))))
     return single.select(*df.columns)

@@ -29,6 +29,9 @@ from millrace.operators.toplists import largest
 from millrace.session import materialize, scratch_path
 from millrace.spec import INCIDENTS, MODEL_FEATURES, PREDICTION_COLUMNS, EventSpec
 
+# Tables up to this size are spread by hand; a shuffle of them costs next to nothing.
+SMALL_ROWS = 5_000_000
+
 # Hyper-parameters of the five classifiers; ``light`` is the smaller forest and
 # boosting that fit small machines.
 SEED = 42
@@ -53,6 +56,13 @@ class TrainingData:
     rows: DataFrame
     labels: DataFrame
     classes: tuple[str, ...]
+    total: int
+
+    @property
+    def side_by_side(self) -> int:
+        """One-vs-rest members fitted at a time: a large table keeps the cluster busy with one,
+        and each would hold the table in memory."""
+        return len(self.classes) if self.total <= SMALL_ROWS else 1
 
     @property
     def train(self) -> DataFrame:
@@ -88,10 +98,20 @@ def prepare(df: DataFrame, spec: EventSpec = INCIDENTS, fraction: float = 1.0, t
     # At most top_n + 1 names come to the driver.
     classes = tuple(row["label"] for row in labels.orderBy("idx").select("label").limit(top_n + 1).collect())
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    assembled = assembler.transform(labelled_rows(rows, labels, spec))
+    total = labels.agg(F.sum("label_count")).first()[0] or 0
+    spread = over_all_cores(labelled_rows(rows, labels, spec), total, spec.key)
+    assembled = assembler.transform(spread)
     split = hash_split(assembled, spec.key, train_ratio)
     stored = materialize(split.select("features", "label", "is_train"), "training-rows", ("is_train",))
-    return TrainingData(with_class_names(stored, classes), labels, classes)
+    return TrainingData(with_class_names(stored, classes), labels, classes, total)
+
+
+def over_all_cores(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """Small tables come as a file or two and would train on as many cores; large ones come in
+    plenty of splits already and are left alone."""
+    if rows > SMALL_ROWS:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def with_class_names(rows: DataFrame, classes: Sequence[str]) -> DataFrame:
@@ -100,7 +120,7 @@ def with_class_names(rows: DataFrame, classes: Sequence[str]) -> DataFrame:
     return rows.withColumn("label", F.col("label").alias("label", metadata=about))
 
 
-def estimator(name: str, light: bool = True, parallelism: int = 3, **override) -> Estimator:
+def estimator(name: str, light: bool = True, parallelism: int = 1, **override) -> Estimator:
     """One of the five classifiers, with its stored hyper-parameters."""
     params = {**PARAMS[name], **(LIGHT.get(name, {}) if light else {}), **override}
     if name == "logistic_regression":
@@ -194,7 +214,8 @@ def train_all(spark: SparkSession, data: TrainingData, runs_path: str, model_roo
     """Train the models one after the other; each fit uses the whole cluster."""
     results = {}
     for name in names:
-        results[name] = train_one(data, name, estimator(name, light), model_root)
+        results[name] = train_one(
+            data, name, estimator(name, light, data.side_by_side), model_root)
         append_run(spark, runs_path, results[name].run)
     return results
 

@@ -10,18 +10,24 @@ from millrace.functions.lenient import (
 from millrace.spec import SOURCE_COLUMNS
 
 
+# A header line, quotes doubled inside quoted fields, spaces kept.
+_FORMAT = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False,
+           "ignoreTrailingWhiteSpace": False}
+
+
 def _all_text(columns: tuple[str, ...]) -> str:
     return ", ".join(f"`{name}` STRING" for name in columns)
 
 
-def read_source(spark: SparkSession, path: str, columns: tuple[str, ...] = SOURCE_COLUMNS) -> DataFrame:
-    """Header-led delimited files, every column as text: nothing is inferred, nothing is lost."""
-    # Without a null marker of its own an empty field reads as NULL, which the parsers accept.
-    return (
-        spark.read.schema(_all_text(columns))
-        .options(header=True, multiLine=False, mode="PERMISSIVE")
-        .csv(path)
-    )
+def read_source(spark: SparkSession, path: str, columns: tuple[str, ...] = SOURCE_COLUMNS,
+                multi_line: bool = False) -> DataFrame:
+    """Header-led delimited files, every column as text: nothing is inferred, nothing is lost.
+
+    ``multi_line`` admits line breaks inside quoted fields; such files cannot be split, so it is
+    off unless the data needs it.
+    """
+    reader = spark.read.schema(_all_text(columns)).options(**_FORMAT, multiLine=multi_line)
+    return reader.csv(path)
 
 
 def stream_source(spark: SparkSession, path: str, columns: tuple[str, ...] = SOURCE_COLUMNS,
@@ -29,7 +35,7 @@ def stream_source(spark: SparkSession, path: str, columns: tuple[str, ...] = SOU
     """The same files as a stream: new files are picked up as they land."""
     return (
         spark.readStream.schema(_all_text(columns))
-        .options(header=True, maxFilesPerTrigger=files_per_trigger)
+        .options(**_FORMAT, maxFilesPerTrigger=files_per_trigger)
         .csv(path)
     )
 
@@ -68,8 +74,8 @@ def stamp_ingest(payload: DataFrame) -> DataFrame:
 
 
 def write_result(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+    df.write.mode("overwrite").options(**_FORMAT).csv(path)
 
 
 def read_result(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).csv(path, header=True)
+    return spark.read.schema(schema).options(**_FORMAT).csv(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import aggregates, toplists
+from millrace.session import materialize
 from workload import Query
 from workload.bindings import INCIDENTS, incidents, table
 
@@ -109,7 +110,8 @@ def largest_types(spark, sf):
 
 
 def heatmap_top10(spark, sf):
-    return toplists.top_by_hour(hourly_stats(spark, sf), 10)
+    """From the stored hourly table, which both the totals and the grid read."""
+    return toplists.top_by_hour(materialize(hourly_stats(spark, sf), "hourly-stats"), 10)
 
 
 _HOURS = ", ".join(

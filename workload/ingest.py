@@ -57,9 +57,15 @@ SELECT CAST(id AS VARCHAR) AS key, {_json_sql({
 
 
 def topk_cap(spark, sf):
-    """The first 5,000 admitted rows in key order."""
+    """The first 1,000 admitted rows in key order."""
     admitted = admit_rows(spark, sf).select("id", "primary_type", "event_time_ms")
-    return first_rows(admitted, ["id"], 5_000)
+    return first_rows(admitted, ["id"], 1_000)
+
+
+def topk_cap_large(spark, sf):
+    """The first 40,000 order lines by shipment: more than one task should hold."""
+    lines = table(spark, sf, "lineitem").select("l_shipdate", *LINE_KEY, "l_quantity")
+    return first_rows(lines, ["l_shipdate"], 40_000)
 
 
 def bronze_parse(spark, sf):
@@ -134,7 +140,10 @@ QUERIES = {
     "src_to_json": Query(src_to_json, SRC_TO_JSON),
     "topk_cap": Query(topk_cap, f"""WITH {SOURCE_PARSED}
 SELECT id, primary_type, event_time_ms FROM ({_ADMITTED})
-ORDER BY id, primary_type, event_time_ms LIMIT 5000"""),
+ORDER BY id, primary_type, event_time_ms LIMIT 1000"""),
+    "topk_cap_large": Query(topk_cap_large, """
+SELECT l_shipdate, l_orderkey, l_linenumber, l_quantity FROM lineitem
+ORDER BY l_shipdate, l_orderkey, l_linenumber, l_quantity LIMIT 40000"""),
     "bronze_parse": Query(bronze_parse, BRONZE_PARSE),
     "epoch_time": Query(epoch_time, f"""WITH {PAYLOAD}
 SELECT id, epoch_ms(date_trunc('millisecond', event_time)) AS event_time_ms, date_trunc('millisecond', event_time) AS event_time,

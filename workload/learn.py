@@ -84,7 +84,8 @@ def train_and_evaluate(name: str):
     """Fit on 80 % of all events, evaluate on the rest: one row of metrics."""
     def run(spark, sf):
         data = modelling.prepare(incidents(spark, sf))
-        trained = modelling.train_one(data, name, modelling.estimator(name))
+        trained = modelling.train_one(
+            data, name, modelling.estimator(name, parallelism=data.side_by_side))
         if "error" in trained.run:
             raise RuntimeError(trained.run["error"])
         shown = ("model_type", "accuracy", "weighted_f1", "weighted_precision", "weighted_recall",

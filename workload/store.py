@@ -14,13 +14,11 @@ from workload.aggregate import rounded
 from workload.bindings import PAYLOAD, payload, table
 from workload.evaluate import PER_CLASS, rule_predictions
 
-# At most seven lines per order, so this number is unique per order line.
-LINE_ID = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_id")
-
-
 def _lines(spark, sf):
+    # Line numbers have one digit, so this number is unique per order line.
+    line_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     return table(spark, sf, "lineitem").select(
-        LINE_ID, "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_linestatus",
+        line_id.alias("line_id"), "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_linestatus",
         "l_shipdate", F.year("l_shipdate").alias("ship_year"))
 
 
