@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.functions.calendar import is_night, is_weekend
 from millrace.operators.toplists import top_counts
+from millrace.session import broadcast_if_small
 from millrace.spec import FEATURE_VIEW_COLUMNS, INCIDENTS, MODEL_FEATURES, EventSpec
 
 # The label of everything outside the top list, and of an unknown class number.
@@ -74,8 +75,8 @@ def decode_labels(df: DataFrame, labels: DataFrame, prediction: str = "predictio
                   output: str = "predicted_label") -> DataFrame:
     """Class numbers back to names; numbers without a name become UNKNOWN.
 
-    ``labels`` is a class list as ``label_index`` makes it, one row per class.
+    ``labels`` is a stored class list as ``label_index`` makes it, one row per class.
     """
     names = labels.select(F.col("idx").cast("double").alias("_idx"), F.col("label").alias("_name"))
-    joined = df.join(F.broadcast(names), F.col(prediction).cast("double") == F.col("_idx"), "left")
+    joined = df.join(broadcast_if_small(names), F.col(prediction).cast("double") == F.col("_idx"), "left")
     return joined.withColumn(output, F.coalesce("_name", F.lit(UNKNOWN))).drop("_idx", "_name")

@@ -10,6 +10,8 @@ from millrace.sources.tables import table_if_exists, write_table
 
 # Largest key list sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Most partition values listed in a filter.
+MOST_PARTITIONS = 1000
 # Rough cost of one entry in a broadcast hash table besides its text.
 _ENTRY_BYTES = 64
 
@@ -29,6 +31,19 @@ def unmatched(source: DataFrame, target: DataFrame, key: str,
     return source.join(known, key, "left_anti")
 
 
+def same_partitions(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
+    """The part of ``target`` in the partitions ``source`` touches, by static pruning.
+
+    With more values than are worth listing the whole target is taken, which is right as well.
+    """
+    touched = [row[0] for row in
+               source.select(column).distinct().limit(MOST_PARTITIONS + 1).collect()]
+    if len(touched) > MOST_PARTITIONS:
+        return target
+    inside = F.col(column).isin([value for value in touched if value is not None])
+    return target.where(inside | F.col(column).isNull() if None in touched else inside)
+
+
 def key_bytes(source: DataFrame, key: str) -> tuple[int, int]:
     """Rows of ``source`` and an upper estimate of its keys' size once broadcast."""
     text = F.octet_length(F.col(key).cast("string")) + _ENTRY_BYTES
@@ -37,11 +52,14 @@ def key_bytes(source: DataFrame, key: str) -> tuple[int, int]:
 
 
 def merge_new_keys(source: DataFrame, path: str, key: str,
-                   partition_by: Sequence[str] = ()) -> int:
+                   partition_by: Sequence[str] = (), stable_partitions: bool = False) -> int:
     """Append the rows of ``source`` whose key the table does not hold; returns source's rows.
 
     ``source`` holds each key once. The first version of a key to arrive stays. Running the same
     source twice adds nothing, so a retried batch is safe. One writer per table.
+
+    ``stable_partitions`` promises that a key never changes its partition; the target scan is then
+    pruned to the partitions the source touches.
     """
     rows, size = key_bytes(source, key)
     if rows == 0:
@@ -49,6 +67,8 @@ def merge_new_keys(source: DataFrame, path: str, key: str,
     target = table_if_exists(source.sparkSession, path)
     fresh = source
     if target is not None:
+        if stable_partitions:
+            target = same_partitions(source, target, partition_by[0])
         fresh = unmatched(source, target, key, broadcast_keys=size <= BROADCAST_BYTES)
     write_table(fresh, path, partition_by, mode="append")
     return rows

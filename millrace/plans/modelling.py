@@ -26,7 +26,7 @@ from millrace.operators.features import (
 from millrace.operators.runs import ERROR_CHARS, append_run, best_run
 from millrace.operators.sampling import hash_sample, hash_split
 from millrace.operators.toplists import largest
-from millrace.session import materialize, scratch_path
+from millrace.session import broadcast_if_small, materialize, scratch_path
 from millrace.spec import INCIDENTS, MODEL_FEATURES, PREDICTION_COLUMNS, EventSpec
 
 # Tables up to this size are spread by hand; a shuffle of them costs next to nothing.
@@ -76,11 +76,10 @@ class TrainingData:
 def labelled_rows(df: DataFrame, labels: DataFrame, spec: EventSpec = INCIDENTS) -> DataFrame:
     """Model input with its label and class number, after a class list fixed at training time.
 
-    The list has one row per class, so it may be broadcast.
     """
     top = labels.select(F.col("label").alias(spec.type))
     numbers = labels.select(F.col("label").alias("label_raw"), F.col("idx").cast("double").alias("label"))
-    return with_label(df, top, spec).join(F.broadcast(numbers), "label_raw", "left")
+    return with_label(df, top, spec).join(broadcast_if_small(numbers), "label_raw", "left")
 
 
 def prepare(df: DataFrame, spec: EventSpec = INCIDENTS, fraction: float = 1.0, top_n: int = 5,

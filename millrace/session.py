@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+# Remembers a local session's own folder; the cluster's setting cannot be changed at run time.
+_OWN_SCRATCH = "spark.millrace.scratch"
 
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -31,13 +34,13 @@ def scratch_root(spark: SparkSession) -> str:
     Only a local master may fall back to a folder of its own: on a cluster a machine-local path
     would be invisible to the other executors, so its absence is an error there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_SCRATCH, None)
     if root:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     root = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set("spark.checkpoint.dir", root)
+    spark.conf.set(_OWN_SCRATCH, root)
     return root
 
 
@@ -57,3 +60,8 @@ def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
     df.write.partitionBy(*partition_by).parquet(path)
     # Partition columns are declared rather than inferred, so their types do not change.
     return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """Broadcast ``df`` if it has been counted to be small, else leave the join to the planner."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

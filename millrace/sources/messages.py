@@ -29,6 +29,12 @@ def with_envelope(messages: DataFrame, topic: str, partition: Column, offset: Co
     )
 
 
+def publish(messages: DataFrame, servers: str, topic: str) -> None:
+    """Send messages to a topic; needs the Kafka connector on the classpath."""
+    messages.write.format("kafka").options(
+        **{"kafka.bootstrap.servers": servers, "topic": topic}).save()
+
+
 def kafka_messages(spark: SparkSession, servers: str, topic: str,
                    per_trigger: int = 200_000) -> DataFrame:
     """Stream of a topic from its earliest offset, bounded per micro-batch.

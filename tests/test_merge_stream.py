@@ -46,6 +46,24 @@ def test_target_is_not_shuffled_for_a_small_source(spark):
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
 
 
+def test_stable_partitions_prune_the_target(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    merge.merge_new_keys(keyed(spark, [(n, "a", n % 4) for n in range(40)]), path, "k", ["p"])
+    batch = keyed(spark, [(n, "b", n % 4) for n in range(0, 80, 4)])
+    pruned = merge.same_partitions(batch, spark.read.parquet(path), "p")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert pruned.count() == 10 and "PartitionFilters: [isnotnull(p" in plan
+    monkeypatch.setattr(merge, "MOST_PARTITIONS", 0)
+    assert merge.same_partitions(batch, spark.read.parquet(path), "p").count() == 40
+    monkeypatch.undo()
+    merge.merge_new_keys(batch, path, "k", ["p"], stable_partitions=True)
+    assert spark.read.parquet(path).groupBy("v").count().orderBy("v").collect() == [("a", 40), ("b", 10)]
+    unknown = keyed(spark, [(500, "c", None)])
+    for _ in range(2):
+        merge.merge_new_keys(unknown, path, "k", ["p"], stable_partitions=True)
+    assert spark.read.parquet(path).count() == 51
+
+
 def payload(spark, ids, note, hour=10):
     rows = [(i, f"c{i}", "T", note, "L", True, False, 1, 2, 3, 4, "F", 2024, 1.0, 2.0,
              int(datetime(2024 + i % 2, 1, 1 + i % 3, hour).timestamp() * 1000), i) for i in ids]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import features, sampling
 from millrace.operators.runs import RUNS_SCHEMA
 from millrace.plans import modelling
-from millrace.session import scratch_path
+from millrace.session import materialize, scratch_path
 from millrace.spec import EventSpec
 from workload import Query
 from workload.bindings import INCIDENTS, incidents, table
@@ -64,7 +64,8 @@ def label_index(spark, sf):
 def decode_labels(spark, sf):
     """Class numbers 0 to 7 for six classes: two stay unknown."""
     rows = _labelled(spark, sf).withColumn("prediction", (F.col("l_partkey") % 8).cast("double"))
-    decoded = features.decode_labels(rows, features.label_index(rows))
+    labels = materialize(features.label_index(rows), "labels")
+    decoded = features.decode_labels(rows, labels)
     return decoded.select("l_orderkey", "l_linenumber", "l_partkey", "label_raw", "predicted_label")
 
 

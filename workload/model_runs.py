@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import reshape, runs
+from millrace.session import materialize
 from workload import Query
 from workload.bindings import table
 
@@ -60,7 +61,8 @@ def runs_recent(spark, sf):
 
 def runs_sweep(spark, sf):
     """Both slices: trees varied at the usual depth, depth varied at the usual number of trees."""
-    logged = logged_runs(spark, sf)
+    # The table of runs is a stored one; each slice reads the columns it needs from it.
+    logged = materialize(logged_runs(spark, sf), "logged-runs")
     slices = [runs.sweep(logged, fixed, varied).withColumn("varied", F.lit(varied))
               for fixed, varied in (("maxDepth", "numTrees"), ("numTrees", "maxDepth"))]
     return slices[0].unionByName(slices[1])

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.clean import newest_per_key
 from millrace.operators.evaluation import confusion_counts, per_class_metrics
 from millrace.operators.merge import merge_new_keys
+from millrace.plans.gold import refresh_gold
 from millrace.session import materialize, scratch_path
 from millrace.sources import tables, text
 from workload import Query
 from workload.aggregate import rounded
-from workload.bindings import PAYLOAD, payload, table
+from workload.bindings import INCIDENTS, PAYLOAD, incidents, payload, table
 from workload.evaluate import PER_CLASS, rule_predictions
 
 def _lines(spark, sf):
@@ -64,10 +67,13 @@ def schema_evolve(spark, sf):
 
 
 def compact_table(spark, sf):
-    """Order lines written as many small files, then compacted; the contents stay the same."""
+    """Order lines appended in waves, as a stream leaves them: every task of every wave writes a
+    sliver of every year. Then compacted; the contents stay the same."""
     scattered, compacted = scratch_path(spark, "scattered"), scratch_path(spark, "compacted")
-    # A round-robin spread of the rows, so every task writes a sliver of every year.
-    _lines(spark, sf).repartition(8).write.partitionBy("ship_year").parquet(scattered)
+    lines = _lines(spark, sf)
+    finished = F.coalesce(F.col("l_linestatus") == "F", F.lit(False))
+    for wave in (lines.where(finished), lines.where(~finished)):
+        wave.write.mode("append").partitionBy("ship_year").parquet(scattered)
     return tables.compact(spark, scattered, compacted, ["ship_year"])
 
 
@@ -85,6 +91,21 @@ def table_freshness(spark, sf):
     return tables.freshness({name: (table(spark, sf, name), time) for name, time in TIMES.items()})
 
 
+def gold_refresh(spark, sf):
+    """All aggregate tables written and read back: their rows, and the events counted in each."""
+    written = refresh_gold(spark, incidents(spark, sf), scratch_path(spark, "gold"))
+    sizes = [df.agg(F.count("*").alias("row_count"), F.sum("crime_count").alias("events"))
+               .select(F.lit(name).alias("table_name"), "row_count", "events")
+             for name, df in written.items()]
+    return reduce(DataFrame.unionByName, sizes)
+
+
+GOLD = " UNION ALL ".join(f"""SELECT '{name}' AS table_name,
+  COUNT(DISTINCT ({keys})) AS row_count, COUNT(*) AS events FROM incidents""" for name, keys in (
+    ("type_stats", "primary_type"), ("district_stats", "district"),
+    ("hourly_stats", "hour_of_day || ' ' || primary_type")))
+
+
 def csv_roundtrip(spark, sf):
     """Per-class results written as a delimited file with a header and read back."""
     path = scratch_path(spark, "per-class")
@@ -105,5 +126,6 @@ SELECT id, district, CASE WHEN NOT arrest THEN ward END AS ward FROM payload""")
     "table_freshness": Query(table_freshness, " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, MAX({time}) AS latest FROM {name}"
         for name, time in TIMES.items())),
+    "gold_refresh": Query(gold_refresh, f"WITH {INCIDENTS} {GOLD}"),
     "csv_roundtrip": Query(csv_roundtrip, PER_CLASS),
 }

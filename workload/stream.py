@@ -33,7 +33,7 @@ def _sent_messages(spark, sf) -> str:
         offset = number * 2 + wave
         enveloped = with_envelope(rows, "incidents", number % 4, offset,
                                   F.timestamp_millis(F.lit(1_704_067_200_000) + number))
-        enveloped.repartition(4).write.mode("append").parquet(path)
+        enveloped.write.mode("append").parquet(path)
     return path
 
 
