@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.features import feature_view
 from millrace.operators.ranking import first_rows
-from millrace.plans.eda import summary_document, summary_sections
+from millrace.plans.eda import OVERVIEW_METRICS, summary_document, summary_sections
 from millrace.plans.gold import refresh_gold
 from millrace.plans.modelling import PARAMS, predict_best, prepare, train_all
 from millrace.plans.silver import rebuild_silver
@@ -84,7 +84,9 @@ def gold(spark: SparkSession, args) -> None:
 def summary(spark: SparkSession, args) -> None:
     """Clean table to the summary document and the overview table."""
     sections = summary_sections(_clean(spark, args))
-    overview = sections.where("section = 'overview'").selectExpr("label AS metric", "value")
+    published = F.col("label").isin(*OVERVIEW_METRICS)
+    overview = sections.where("section = 'overview'").where(published).selectExpr(
+        "label AS metric", "value")
     write_table(overview, f"{args.root}/gold/eda_overview")
     write_document(summary_document(sections), f"{args.root}/summary")
 

@@ -25,15 +25,17 @@ def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str],
     sums = slices.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures])
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = sums.select(*keys, *[
+    offsets = sums.select(*[F.col(name).alias(f"_of_{name}") for name in keys], *[
         F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_offset_{name}")
         for name in measures])
+    # A missing group value is a group like any other.
+    same = [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in keys]
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    summed = slices.join(offsets, keys).withColumns({
+    summed = slices.join(offsets, same).withColumns({
         f"before_{name}":
             F.col(f"_offset_{name}") + F.coalesce(F.sum(name).over(inside), F.lit(0))
         for name in measures})
-    return summed.drop("_slice", *[f"_offset_{name}" for name in measures])
+    return summed.select(*df.columns, *[f"before_{name}" for name in measures])
 
 
 # Number of top lists between the tasks' own ones and the last; size of one written-out chunk.

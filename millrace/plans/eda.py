@@ -14,13 +14,19 @@ from millrace.session import materialize
 from millrace.spec import INCIDENTS, EventSpec
 
 TOP_TYPES = 15
-# Columns described and columns whose values are counted.
+# Columns described, and columns whose values are counted.
 DESCRIBED = ("latitude", "longitude", "year")
 COUNTED = ("primary_type", "district", "ward", "community_area", "event_year")
 
-SECTIONS_SCHEMA = "section STRING, position INT, label STRING, amount BIGINT, value DOUBLE"
+# The published part of the overview, as (metric, value).
+OVERVIEW_METRICS = (
+    "total_rows", "unique_primary_type", "unique_district", "arrest_rate", "domestic_rate",
+)
+# Fixed value: shape of the summary document.
 DOCUMENT_SCHEMA = (
-    "overview MAP<STRING, DOUBLE>, null_counts MAP<STRING, BIGINT>, "
+    "total_rows BIGINT, unique_primary_type BIGINT, unique_district BIGINT, unique_ward BIGINT, "
+    "unique_community_area BIGINT, unique_year BIGINT, arrest_rate DOUBLE, domestic_rate DOUBLE, "
+    "null_counts MAP<STRING, BIGINT>, "
     "top_primary_types ARRAY<STRUCT<primary_type: STRING, count: BIGINT>>, "
     "yearly_trend ARRAY<STRUCT<year: INT, crime_count: BIGINT, arrest_rate: DOUBLE>>, "
     "hourly_trend ARRAY<STRUCT<hour: INT, crime_count: BIGINT>>, "
@@ -103,8 +109,16 @@ def summary_document(sections: DataFrame) -> DataFrame:
             F.filter(F.col("numeric_describe"),
                      lambda e: F.substring_index(e["label"], ":", 1) == s),
             lambda e: F.struct(F.substring_index(e["label"], ":", -1), e["value"]))))))
+    metrics = as_map("overview", "value")
+
+    def metric(name: str, kind: str) -> Column:
+        return F.element_at(metrics, name).cast(kind)
+
     return gathered.select(
-        as_map("overview", "value").alias("overview"),
+        metric("total_rows", "bigint").alias("total_rows"),
+        *[metric(f"unique_{name}", "bigint").alias(f"unique_{name.removeprefix('event_')}")
+          for name in COUNTED],
+        *[metric(name, "double").alias(name) for name in ("arrest_rate", "domestic_rate")],
         as_map("null_counts", "amount").alias("null_counts"),
         F.transform(F.col("top_primary_types"), lambda e: F.struct(
             e["label"].alias("primary_type"), e["amount"].alias("count"))).alias("top_primary_types"),

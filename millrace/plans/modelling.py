@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.ml import Estimator, Model, PipelineModel
@@ -14,11 +14,11 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.operators.evaluation import (
-    auc_per_class, confusion_counts, macro_auc, per_class_metrics, scores_as_array,
-    weighted_metrics,
+    auc_per_class, confusion_counts, confusion_matrix, macro_auc, per_class_metrics,
+    scores_as_array, weighted_metrics,
 )
 from millrace.operators.features import (
     decode_labels, label_index, model_input, with_label,
@@ -27,10 +27,12 @@ from millrace.operators.runs import ERROR_CHARS, append_run, best_run
 from millrace.operators.sampling import hash_sample, hash_split
 from millrace.operators.toplists import largest
 from millrace.session import broadcast_if_small, materialize, scratch_path
+from millrace.sources.text import write_result
 from millrace.spec import INCIDENTS, MODEL_FEATURES, PREDICTION_COLUMNS, EventSpec
 
 # Tables up to this size are spread by hand; a shuffle of them costs next to nothing.
 SMALL_ROWS = 5_000_000
+ROWS_PER_TASK = 25_000
 
 # Hyper-parameters of the five classifiers; ``light`` is the smaller forest and
 # boosting that fit small machines.
@@ -57,6 +59,7 @@ class TrainingData:
     labels: DataFrame
     classes: tuple[str, ...]
     total: int
+    settings: Mapping[str, str] = field(default_factory=dict)
 
     @property
     def side_by_side(self) -> int:
@@ -97,12 +100,14 @@ def prepare(df: DataFrame, spec: EventSpec = INCIDENTS, fraction: float = 1.0, t
     # At most top_n + 1 names come to the driver.
     classes = tuple(row["label"] for row in labels.orderBy("idx").select("label").limit(top_n + 1).collect())
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    total = labels.agg(F.sum("label_count")).first()[0] or 0
-    spread = over_all_cores(labelled_rows(rows, labels, spec), total, spec.key)
+    sampled = labels.agg(F.sum("label_count")).first()[0] or 0
+    spread = over_all_cores(labelled_rows(rows, labels, spec), sampled, spec.key)
     assembled = assembler.transform(spread)
     split = hash_split(assembled, spec.key, train_ratio)
     stored = materialize(split.select("features", "label", "is_train"), "training-rows", ("is_train",))
-    return TrainingData(with_class_names(stored, classes), labels, classes, total)
+    settings = {"top_n_types": str(top_n), "train_ratio": str(train_ratio),
+                "sample_fraction": str(fraction)}
+    return TrainingData(with_class_names(stored, classes), labels, classes, stored.count(), settings)
 
 
 def over_all_cores(df: DataFrame, rows: int, key: str) -> DataFrame:
@@ -110,7 +115,8 @@ def over_all_cores(df: DataFrame, rows: int, key: str) -> DataFrame:
     plenty of splits already and are left alone."""
     if rows > SMALL_ROWS:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, min(cores, rows // ROWS_PER_TASK)), key)
 
 
 def with_class_names(rows: DataFrame, classes: Sequence[str]) -> DataFrame:
@@ -186,22 +192,24 @@ def train_one(data: TrainingData, name: str, est: Estimator, model_root: str | N
     run = {
         "run_id": uuid.uuid4().hex, "run_name": f"model-{name}", "model_type": name,
         "start_time": datetime.now(timezone.utc),
-        "n_features": len(MODEL_FEATURES), "n_classes": len(data.classes),
+        "n_rows": data.total, "n_features": len(MODEL_FEATURES), "n_classes": len(data.classes),
     }
     try:
         params = logged_params(est)
-        run["params"] = params
+        run["params"] = {**data.settings, **params}
         for shown in ("numTrees", "maxDepth"):
             run[shown] = int(params[shown]) if shown in params else None
         started = time.monotonic()
         model = est.fit(data.train)
         run["train_seconds"] = time.monotonic() - started
         confusion, auc = evaluate(model.transform(data.test))
-        run.update(weighted_metrics(per_class_metrics(confusion)).first().asDict())
+        quality = weighted_metrics(per_class_metrics(confusion)).drop("n_rows")
+        run.update(quality.first().asDict())
         run["auc_ovr_macro"] = macro_auc(auc).first()["auc_ovr_macro"]
         if model_root:
             run["model_path"] = f"{model_root}/{run['run_id']}"
             save_model(model, data.labels, run["model_path"])
+            save_results(model, confusion, data, run["model_path"])
     except Exception as failure:  # one model's failure must not stop the others
         run["error"] = str(failure)[:ERROR_CHARS]
         return Trained(run)
@@ -225,6 +233,26 @@ def save_model(model: Model, labels: DataFrame, path: str) -> None:
     labels.write.mode("overwrite").parquet(f"{path}/labels")
 
 
+def named_confusion(confusion: DataFrame, classes: Sequence[str]) -> DataFrame:
+    """Confusion counts with class names on both sides."""
+    names = F.array(*map(F.lit, classes))
+
+    def name(number: str) -> Column:
+        return F.element_at(names, F.col(number).cast("int") + 1)
+
+    return confusion.select(name("label").alias("actual"), name("prediction").alias("predicted"), "n")
+
+
+def save_results(model: Model, confusion: DataFrame, data: TrainingData, path: str) -> None:
+    """Per-class metrics, confusion matrix and importances as delimited files beside the model."""
+    named = named_confusion(confusion, data.classes)
+    per_class = per_class_metrics(named, "actual", "predicted", data.labels.select("label"))
+    write_result(per_class, f"{path}/per_class")
+    matrix = confusion_matrix(named, data.classes, "actual", "predicted")
+    write_result(matrix, f"{path}/confusion_matrix")
+    write_result(feature_importance(confusion.sparkSession, model), f"{path}/feature_importance")
+
+
 def predict(spark: SparkSession, df: DataFrame, model_path: str, spec: EventSpec = INCIDENTS,
             fraction: float = 1.0, features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
     """Score a table with a stored model and its own class list."""

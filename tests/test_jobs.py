@@ -38,8 +38,8 @@ def test_source_to_predictions(spark, tmp_path):
     assert spark.read.parquet(f"{root}/gold/type_stats").count() == 3
     job("summary")
     document = json.loads(spark.read.text(f"{root}/summary").first()[0])
-    assert document["overview"]["total_rows"] == 300 and len(document["yearly_trend"]) == 3
-    assert spark.read.parquet(f"{root}/gold/eda_overview").count() == 8
+    assert document["total_rows"] == 300 and document["unique_year"] == 3 and len(document["yearly_trend"]) == 3
+    assert spark.read.parquet(f"{root}/gold/eda_overview").count() == 5
     job("features")
     assert tuple(spark.read.parquet(f"{root}/gold/feature_view").columns) == FEATURE_VIEW_COLUMNS
     job("train", "--models", "decision_tree", "naive_bayes")

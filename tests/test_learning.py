@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import evaluation, features, runs, sampling
 from millrace.plans import modelling
+from millrace.sources.text import read_result
 from millrace.spec import PREDICTION_COLUMNS
 
 QUICK = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -176,7 +177,16 @@ def test_training_logs_every_model_and_survives_a_failure(spark, tmp_path, monke
     assert 0 < len(logged_runs["naive_bayes"]["error"]) <= 500 and logged_runs["naive_bayes"]["accuracy"] is None
     assert logged_runs["random_forest"]["numTrees"] == 40 and logged_runs["random_forest"]["params"]["maxDepth"] == "10"
     assert logged_runs["gbt_ovr"]["auc_ovr_macro"] > 0.5
-    assert logged_runs["decision_tree"]["accuracy"] > 0.9
+    best = logged_runs["decision_tree"]
+    assert best["accuracy"] > 0.9 and best["n_rows"] == 600 and best["params"]["top_n_types"] == "5"
+    def stored(name, schema):
+        return read_result(spark, f"{best['model_path']}/{name}", schema)
+    per_class = stored("per_class", "label STRING, tp INT, fp INT, fn INT, precision DOUBLE, recall DOUBLE, f1 DOUBLE")
+    assert {r["label"] for r in per_class.collect()} == set(data.classes)
+    assert per_class.agg(F.sum(F.col("tp") + F.col("fn"))).first()[0] == data.test.count()
+    matrix = stored("confusion_matrix", ", ".join(f"`{c}` STRING" for c in ("actual", *data.classes)))
+    assert matrix.count() == 6
+    assert stored("feature_importance", "feature STRING, importance DOUBLE").count() == 12
     for name in ("logistic_regression", "decision_tree", "random_forest", "gbt_ovr"):
         importance = modelling.feature_importance(spark, trained[name].model).collect()
         assert len(importance) == 12

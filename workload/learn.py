@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import features, sampling
+from millrace.operators import features, sampling, toplists
 from millrace.operators.runs import RUNS_SCHEMA
 from millrace.plans import modelling
 from millrace.session import materialize, scratch_path
@@ -40,9 +40,26 @@ def _branded(spark, sf):
     return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey")
 
 
-def _labelled(spark, sf):
-    branded = _branded(spark, sf)
-    return features.with_label(branded, features.top_labels(branded, BRAND), BRAND)
+def _brand_counts(spark, sf):
+    """Order lines per brand, stored. Counted per part first, so that a part with very many lines
+    joins as one row."""
+    part = table(spark, sf, "part").select("p_partkey", "p_brand")
+    per_part = table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("n"))
+    joined = per_part.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    return materialize(joined.groupBy("p_brand").agg(F.sum("n").alias("n")), "brand-counts")
+
+
+def _top_brands(counts):
+    return toplists.largest(counts, "n", 5, ["p_brand"])
+
+
+def _labelled(spark, sf, counts):
+    return features.with_label(_branded(spark, sf), _top_brands(counts), BRAND)
+
+
+def _labels(counts):
+    named = features.with_label(counts, _top_brands(counts), BRAND)
+    return features.label_index(named, weight="n")
 
 
 LABELLED = """branded AS (
@@ -54,18 +71,19 @@ numbered AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, label_raw) -
 
 
 def label_topn_other(spark, sf):
-    return _labelled(spark, sf)
+    return _labelled(spark, sf, _brand_counts(spark, sf))
 
 
 def label_index(spark, sf):
-    return features.label_index(_labelled(spark, sf))
+    return _labels(_brand_counts(spark, sf))
 
 
 def decode_labels(spark, sf):
     """Class numbers 0 to 7 for six classes: two stay unknown."""
-    rows = _labelled(spark, sf).withColumn("prediction", (F.col("l_partkey") % 8).cast("double"))
-    labels = materialize(features.label_index(rows), "labels")
-    decoded = features.decode_labels(rows, labels)
+    counts = _brand_counts(spark, sf)
+    rows = _labelled(spark, sf, counts).withColumn(
+        "prediction", (F.col("l_partkey") % 8).cast("double"))
+    decoded = features.decode_labels(rows, materialize(_labels(counts), "labels"))
     return decoded.select("l_orderkey", "l_linenumber", "l_partkey", "label_raw", "predicted_label")
 
 

@@ -128,7 +128,10 @@ def eda_json_roundtrip(spark, sf):
             F.concat_ws(":", s["key"], e["key"]).alias("label"),
             F.lit(None).cast("bigint").alias("amount"), e["value"].alias("value")))))
     rows = document.select(F.inline(F.concat(
-        pairs("overview", nothing, of("value")),
+        F.array(*[F.struct(F.lit("overview").alias("section"), F.lit(name).alias("label"),
+                           F.lit(None).cast("bigint").alias("amount"),
+                           F.col(name).cast("double").alias("value"))
+                  for name in document.columns[:document.columns.index("null_counts")]]),
         pairs("null_counts", of("value"), nothing),
         entries("top_primary_types", of("primary_type"), of("count"), nothing),
         entries("yearly_trend", of("year"), of("crime_count"), of("arrest_rate")),
@@ -145,7 +148,7 @@ def _trend_sql(section: str, key: str, rate: str = "CAST(NULL AS DOUBLE)") -> st
 
 
 EDA_JSON = f"""WITH {INCIDENTS}
-SELECT 'overview' AS section, metric AS label, CAST(NULL AS BIGINT) AS amount, round(value, 6) AS value
+SELECT 'overview' AS section, replace(metric, 'event_', '') AS label, CAST(NULL AS BIGINT) AS amount, round(value, 6) AS value
 FROM (UNPIVOT ({_OVERVIEW}) ON COLUMNS(*) INTO NAME metric VALUE value)
 UNION ALL SELECT 'null_counts', column_name, null_count, NULL FROM ({_nulls_sql('incidents')})
 UNION ALL SELECT * FROM ({_trend_sql('top_primary_types', 'primary_type')} ORDER BY amount DESC, label LIMIT 15)
