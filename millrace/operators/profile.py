@@ -50,12 +50,12 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     statistics = {
         "count": F.count, "mean": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max,
     }
-    scalars = df.agg(*[
-        F.struct(*[measure(name).cast("double").alias(name) for name in columns]).alias(title)
+    rows = [
+        F.struct(F.lit(title).alias("summary"),
+                 *[measure(name).cast("double").alias(name) for name in columns])
         for title, measure in statistics.items()
-    ])
-    return scalars.unpivot([], list(statistics), "summary", "numbers").select(
-        "summary", "numbers.*")
+    ]
+    return df.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
 
 
 def yearly_trend(df: DataFrame, spec: EventSpec = INCIDENTS, year: str = "event_year") -> DataFrame:

@@ -6,13 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millrace.session import materialize
+from millrace.session import broadcast_if_small, materialize
+
+# Largest table of slice sums sent to every executor, in rows.
+MOST_SUMS = 100_000
 
 
 def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str],
-                   measures: Sequence[str]) -> DataFrame:
+                   measures: Sequence[str], below: int | None = None) -> DataFrame:
     """Adds ``before_<measure>``: the sum over the group's rows that sort earlier.
 
+    ``below`` drops the slices that start at that sum of the first measure or later, before
+    anything of them is shuffled again; rows of the last slice kept may still reach it.
+
+
     ``group`` plus ``order`` must be unique, so that a range shuffle can cut even the largest
     group into slices of equal size. Each slice is summed, the sums of the slices before it are
     added up (a table as small as the number of slices), and only within a slice does a window
@@ -22,7 +29,8 @@ def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str],
     cut = df.repartitionByRange(*map(F.col, [*group, *order]))
     slices = materialize(cut.withColumn("_slice", F.spark_partition_id()), "slices")
     keys = [*group, "_slice"]
-    sums = slices.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures])
+    sums = materialize(
+        slices.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures]), "slice-sums")
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = sums.select(*[F.col(name).alias(f"_of_{name}") for name in keys], *[
@@ -31,7 +39,11 @@ def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str],
     # A missing group value is a group like any other.
     same = [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in keys]
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    summed = slices.join(offsets, same).withColumns({
+    # With few groups the sums are as few as the slices; then only the window shuffles.
+    placed = slices.join(broadcast_if_small(offsets, MOST_SUMS), same)
+    if below is not None:
+        placed = placed.where(F.col(f"_offset_{measures[0]}") < below)
+    summed = placed.withColumns({
         f"before_{name}":
             F.col(f"_offset_{name}") + F.coalesce(F.sum(name).over(inside), F.lit(0))
         for name in measures})
@@ -50,8 +62,10 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 
     Small limits are a top-k in two steps: the tasks' own first ``n`` rows meet in a fixed number
     of lists before the last step sees them, so that step does not grow with the number of tasks.
-    Beyond that, equal rows are counted, positions come from running totals, and only the rows
-    below the cut are written out again: no task ever holds ``n`` rows.
+    Beyond that, running totals over the leading column's counts give its last value needed, so
+    that only this one column of the whole table is shuffled. Of the rows up to that value, equal
+    ones are counted, positions come from running totals again, and only the rows below the cut
+    are written out: no task ever holds ``n`` rows.
     """
     total_order = [*order, *[name for name in df.columns if name not in order]]
     if n <= int(df.sparkSession.conf.get(_RANK_SETTING, _RANK_DEFAULT)):
@@ -59,8 +73,13 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
         place = F.row_number().over(Window.partitionBy("_list").orderBy(*total_order))
         firsts = lists.withColumn("_place", place).where(F.col("_place") <= n)
         return firsts.select(*df.columns).orderBy(*total_order).limit(n)
-    copies = df.groupBy(*total_order).agg(F.count("*").alias("_copies"))
-    placed = running_totals(copies, [], total_order, ["_copies"])
+    lead = order[0]
+    values = df.groupBy(lead).agg(F.count("*").alias("_copies"))
+    needed = running_totals(values, [], [lead], ["_copies"], below=n)
+    last = needed.where(F.col("before__copies") < n).agg(F.max(lead)).scalar()
+    candidates = df.where(F.col(lead).isNull() | (F.col(lead) <= last))
+    copies = candidates.groupBy(*total_order).agg(F.count("*").alias("_copies"))
+    placed = running_totals(copies, [], total_order, ["_copies"], below=n)
     kept = placed.withColumn("_kept", F.least("_copies", F.lit(n) - F.col("before__copies")))
     # Copies are written out in two steps, so that no array grows with the number of copies.
     chunks = kept.where("_kept > 0").withColumn(

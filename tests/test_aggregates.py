@@ -142,8 +142,9 @@ def test_crosstab_fills_gaps(spark):
     assert [tuple(r) for r in grid.collect()] == [("x", 5, 0, 0), ("y", 0, 7, 0)]
 
 
-@pytest.mark.parametrize("partitions", [1, 7])
-def test_running_totals_with_a_hot_group(spark, partitions):
+@pytest.mark.parametrize("partitions, most_sums", [(1, 100_000), (7, 100_000), (7, 0)])
+def test_running_totals_with_a_hot_group(spark, monkeypatch, partitions, most_sums):
+    monkeypatch.setattr(ranking, "MOST_SUMS", most_sums)
     rows = [(None if n % 3 else n % 5, n * 37 % 1000, n % 4) for n in range(1000)]
     df = spark.createDataFrame(rows, "g INT, o INT, m BIGINT").repartition(partitions)
     out = ranking.running_totals(df, ["g"], ["o"], ["m"]).collect()
@@ -159,12 +160,30 @@ def test_first_rows_by_both_ways(spark, monkeypatch, threshold):
     setting = "spark.sql.optimizer.windowGroupLimitThreshold"
     spark.conf.set(setting, threshold)
     try:
-        values = [(7 if n % 3 == 0 else n % 50, "x") for n in range(900)]
+        values = [(7 if n % 3 == 0 else n % 50, "xy"[n % 2]) for n in range(900)]
         df = spark.createDataFrame(values, "v INT, w STRING").repartition(5)
         for n in (6, 100, 250, 900, 990):
             got = sorted(tuple(r) for r in ranking.first_rows(df, ["v"], n).collect())
             assert got == sorted(values)[:n]
+        gaps = df.withColumn("v", F.when(F.col("v") != 7, F.col("v")))
+        for n in (250, 400):
+            got = [r["v"] for r in ranking.first_rows(gaps, ["v"], n).collect()]
+            assert len(got) == n and got.count(None) == min(n, sum(v == 7 for v, _ in values))
         plan = ranking.first_rows(df, ["v"], 5)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("WindowGroupLimit") == 2
     finally:
         spark.conf.unset(setting)
+
+
+def test_tables_without_rows(spark):
+    none = sample(spark).limit(0)
+    for build in (aggregates.type_stats, aggregates.region_stats, aggregates.top_type_per_region,
+                  aggregates.hourly_stats, profile.hourly_trend, profile.null_profile):
+        assert build(none).isEmpty()
+    assert toplists.top_by_hour(aggregates.hourly_stats(none)).isEmpty()
+    assert toplists.top_counts(none, "primary_type", 5).isEmpty()
+    described = {r["summary"]: r["latitude"] for r in profile.describe_numeric(none, ["latitude"]).collect()}
+    assert described == {"count": 0.0, "mean": None, "stddev": None, "min": None, "max": None}
+    assert {tuple(r) for r in profile.flag_share(none, "arrest").collect()} == {(True, 0, 0.0), (False, 0, 1.0)}
+    for n in (10, 5000):
+        assert ranking.first_rows(none.select("id", "district"), ["id"], n).isEmpty()
