@@ -60,7 +60,8 @@ def ingest(spark: SparkSession, args) -> None:
         messages = kafka_messages(spark, args.servers, args.topic, args.per_trigger)
     else:
         messages = file_messages(spark, f"{args.root}/messages")
-    writer = ingest_writer(messages, f"{args.root}/raw", f"{args.root}/checkpoints/raw")
+    writer = ingest_writer(messages, f"{args.root}/raw", f"{args.root}/checkpoints/raw",
+                           args.writers_per_date)
     _run_stream(writer, args, INGEST_SECONDS)
 
 
@@ -129,7 +130,8 @@ def parser() -> argparse.ArgumentParser:
                  ("--timeout", {"type": int, "default": 86_400})]
     fraction = ("--fraction", {"type": float, "default": 1.0})
     job("produce", produce, ("--source", {"required": True}), ("--most", {"type": int}), *topic)
-    job("ingest", ingest, *topic, ("--per-trigger", {"type": int, "default": 200_000}), *streaming)
+    job("ingest", ingest, *topic, ("--per-trigger", {"type": int, "default": 200_000}),
+        ("--writers-per-date", {"type": int}), *streaming)
     job("clean", clean, *streaming)
     job("rebuild", rebuild)
     job("gold", gold)

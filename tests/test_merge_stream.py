@@ -140,6 +140,17 @@ def test_rebuild_without_complete_rows_keeps_the_old_table(spark, tmp_path):
     assert spark.read.parquet(pipeline.clean).count() == 3
 
 
+@pytest.mark.parametrize("writers", [1, 2])
+def test_writers_per_date(spark, tmp_path, writers):
+    pipeline = Pipeline(spark, tmp_path)
+    for start in range(0, 400, 100):
+        send(spark, pipeline.sent, range(start, start + 100), "x")
+    drain(ingest_writer(file_messages(spark, pipeline.sent), pipeline.raw, pipeline.raw_cp, writers))
+    raw = spark.read.parquet(pipeline.raw)
+    dates = raw.select("event_date").distinct().count()
+    assert raw.count() == 400 and dates == 6 and len(raw.inputFiles()) <= dates * writers
+
+
 def test_continuous_run(spark, tmp_path):
     pipeline = Pipeline(spark, tmp_path)
     send(spark, pipeline.sent, range(4), "x")
