@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Fixed value: layout of the source's date column, with an offset appended before parsing.
-_SOURCE_DATE = "M/d/yyyy h:mm:ss a Z"
+_SOURCE_DATE = "M/d/yyyy h:m:s a Z"
 # Fixed value: spellings of true.
 _TRUE_WORDS = ("true", "1", "yes")
 
@@ -18,9 +18,10 @@ def lenient_int(text: Column, kind: str = "int") -> Column:
 def lenient_double(text: Column) -> Column:
     """Floating-point number, ``nan`` and ``inf`` included.
 
-    The JVM also reads Java literals such as ``1.5d``; those are not numbers in a data file.
+    The JVM also reads Java literals such as ``1.5d`` and ``0x1p3``; those are no numbers in a data
+    file.
     """
-    return F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text.try_cast("double"))
+    return F.when(~text.rlike(r"[xX]|[0-9.][dDfF]\s*$"), text.try_cast("double"))
 
 
 def lenient_bool(text: Column) -> Column:

@@ -86,13 +86,16 @@ def labelled_rows(df: DataFrame, labels: DataFrame, spec: EventSpec = INCIDENTS)
 
 
 def prepare(df: DataFrame, spec: EventSpec = INCIDENTS, fraction: float = 1.0, top_n: int = 5,
-            train_ratio: float = 0.8, features: Sequence[str] = MODEL_FEATURES) -> TrainingData:
+            train_ratio: float = 0.8, features: Sequence[str] = MODEL_FEATURES,
+            portable: bool = False) -> TrainingData:
     """Sample, label (top types, else OTHER), assemble, split.
 
+    ``portable`` decides sample and split by a hash that other engines have too.
+
     The assembled rows are written once to the shared folder: every fit and evaluation reads them
     from there, and they survive lost executors.
     """
-    rows = hash_sample(model_input(df, spec, features), spec.key, fraction)
+    rows = hash_sample(model_input(df, spec, features), spec.key, fraction, portable=portable)
     # One pass counts the types; top list and class list both come from those counts.
     counts = materialize(rows.groupBy(spec.type).agg(F.count("*").alias("n")), "type-counts")
     top = largest(counts, "n", top_n, [spec.type]).select(spec.type)
@@ -103,7 +106,7 @@ def prepare(df: DataFrame, spec: EventSpec = INCIDENTS, fraction: float = 1.0, t
     sampled = labels.agg(F.sum("label_count")).first()[0] or 0
     spread = over_all_cores(labelled_rows(rows, labels, spec), sampled, spec.key)
     assembled = assembler.transform(spread)
-    split = hash_split(assembled, spec.key, train_ratio)
+    split = hash_split(assembled, spec.key, train_ratio, portable=portable)
     stored = materialize(split.select("features", "label", "is_train"), "training-rows", ("is_train",))
     settings = {"top_n_types": str(top_n), "train_ratio": str(train_ratio),
                 "sample_fraction": str(fraction)}

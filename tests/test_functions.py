@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from millrace.functions import buckets, calendar, hashing, lenient
@@ -21,9 +22,32 @@ def test_whole_numbers(spark):
 
 
 def test_floating_numbers(spark):
-    out = evaluate(spark, ["1.5", "-2e3", "", "abc", None, "nan", "inf", "1.5d", "2f"], lenient.lenient_double)
+    out = evaluate(spark, ["1.5", "-2e3", "", "abc", None, "nan", "inf", "1.5d", "2f", "0x1p3"], lenient.lenient_double)
     assert out[:5] == [1.5, -2000.0, None, None, None]
-    assert math.isnan(out[5]) and out[6] == math.inf and out[7:] == [None, None]
+    assert math.isnan(out[5]) and out[6] == math.inf and out[7:] == [None, None, None]
+
+
+def python_float(text):
+    try:
+        return float(text)
+    except ValueError:
+        return None
+
+
+def python_int(text):
+    try:
+        return int(text)
+    except ValueError:
+        return None
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text("0123456789+-. eExXdfDFnaNiIty", max_size=7), min_size=150, max_size=300))
+def test_numbers_read_as_by_python(spark, texts):
+    for ours, theirs in ((lenient.lenient_double, python_float), (lenient.lenient_int, python_int)):
+        for text, got in zip(texts, evaluate(spark, texts, ours)):
+            want = theirs(text)
+            assert got == want or (got != got and want != want), text
 
 
 def test_booleans_are_never_null(spark):
@@ -42,6 +66,8 @@ DATES = {
     "01/01/2023 12:00:00 PM": 1672574400000,
     "01/01/1970 12:00:00 AM": 0,
     "02/30/2023 01:00:00 AM": None,
+    "1/1/2023 1:0:5 am": 1672534805000,
+    "01/01/2023 13:00:00 PM": None,
     "2023-05-13": None,
     "": None,
 }

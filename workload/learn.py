@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import features, sampling, toplists
+from millrace.operators import evaluation, features, sampling, toplists
 from millrace.operators.runs import RUNS_SCHEMA
 from millrace.plans import modelling
 from millrace.session import materialize, scratch_path
-from millrace.spec import EventSpec
+from millrace.spec import MODEL_FEATURES, EventSpec
 from workload import Query
 from workload.bindings import INCIDENTS, incidents, table
 
@@ -115,6 +115,42 @@ def train_and_evaluate(name: str):
     return run
 
 
+def nb_confusion(spark, sf):
+    """Gaussian naive Bayes told to find latitude bands, on a split that SQL can repeat."""
+    band = F.least(F.floor(F.col("latitude") / 10), F.lit(7))
+    banded = incidents(spark, sf).withColumn("primary_type", F.concat(F.lit("band_"), band))
+    data = modelling.prepare(banded, portable=True)
+    model = modelling.estimator("naive_bayes").fit(data.train)
+    return evaluation.confusion_counts(model.transform(data.test))
+
+
+def _per_feature(form: str, joint: str = ", ") -> str:
+    return joint.join(form.format(i=i, name=name) for i, name in enumerate(MODEL_FEATURES))
+
+
+# Class priors, means and variances, every variance raised by a billionth of the largest overall one.
+NB_CONFUSION = f"""WITH {INCIDENTS}, banded AS (
+SELECT * REPLACE ('band_' || LEAST(CAST(floor(latitude / 10) AS INTEGER), 7) AS primary_type),
+       CAST(arrest AS INTEGER) AS arrest_int, CAST(domestic AS INTEGER) AS domestic_int FROM incidents),
+named AS (SELECT *, CASE WHEN primary_type IN (SELECT primary_type FROM banded GROUP BY primary_type
+  ORDER BY COUNT(*) DESC, primary_type LIMIT 5) THEN primary_type ELSE 'OTHER' END AS label_raw FROM banded),
+classes AS (SELECT label_raw, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, label_raw) - 1 AS class
+  FROM named GROUP BY label_raw),
+vectors AS (SELECT id, class, {{bucket}} < 8000 AS is_train,
+  {_per_feature("CAST(COALESCE({name}, 0) AS DOUBLE) AS x{i}")} FROM named JOIN classes USING (label_raw)),
+overall AS (SELECT 1e-9::DOUBLE * GREATEST({_per_feature("VAR_POP(x{i})")}) AS eps, COUNT(*) AS total
+  FROM vectors WHERE is_train),
+model AS (SELECT class AS guess, ln(COUNT(*) / MAX(total)) AS prior,
+  {_per_feature("AVG(x{i}) AS m{i}, VAR_POP(x{i}) + MAX(eps) AS v{i}")}
+  FROM vectors, overall WHERE is_train GROUP BY class),
+scored AS (SELECT id, class, guess,
+  prior - ({_per_feature("ln(2 * pi() * v{i}) + (x{i} - m{i}) * (x{i} - m{i}) / v{i}", " + ")}) / 2 AS score
+  FROM vectors, model WHERE NOT is_train),
+picked AS (SELECT class, guess, ROW_NUMBER() OVER (PARTITION BY id ORDER BY score DESC) AS rk FROM scored)
+SELECT CAST(class AS DOUBLE) AS label, CAST(guess AS DOUBLE) AS prediction, COUNT(*) AS n
+FROM picked WHERE rk = 1 GROUP BY class, guess"""
+
+
 def feature_importance(spark, sf):
     data = modelling.prepare(incidents(spark, sf))
     model = modelling.estimator("decision_tree").fit(data.train)
@@ -146,6 +182,7 @@ SELECT id, {_bucket_sql('split')} < 8000 AS is_train FROM incidents"""),
     **{f"train_eval_{short}": Query(train_and_evaluate(name)) for short, name in (
         ("lr", "logistic_regression"), ("dt", "decision_tree"), ("rf", "random_forest"),
         ("gbt", "gbt_ovr"), ("nb", "naive_bayes"))},
+    "nb_confusion": Query(nb_confusion, NB_CONFUSION.format(bucket=_bucket_sql("split"))),
     "feature_importance": Query(feature_importance),
     "predict_best": Query(predict_best),
 }
