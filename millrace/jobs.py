@@ -22,7 +22,7 @@ from millrace.sources.documents import write_document
 from millrace.sources.messages import (
     file_messages, kafka_messages, publish, to_messages, with_envelope,
 )
-from millrace.sources.tables import compact, write_table
+from millrace.sources.tables import compact, size_shuffles, write_table
 from millrace.sources.text import admit, parse_source, read_source, stamp_ingest
 from millrace.streaming.ingest import ingest_writer
 from millrace.streaming.run import INGEST_SECONDS, UPSERT_SECONDS, drain, run_continuously
@@ -30,6 +30,7 @@ from millrace.streaming.upsert import raw_table_stream, upsert_writer
 
 
 def _clean(spark: SparkSession, args) -> DataFrame:
+    size_shuffles(spark, f"{args.root}/clean")
     return spark.read.parquet(f"{args.root}/clean")
 
 
@@ -74,6 +75,7 @@ def clean(spark: SparkSession, args) -> None:
 
 def rebuild(spark: SparkSession, args) -> None:
     """Raw table to the clean table, all at once."""
+    size_shuffles(spark, f"{args.root}/raw")
     print(rebuild_silver(spark, f"{args.root}/raw", f"{args.root}/clean"), "rows")
 
 
@@ -111,6 +113,7 @@ def predict(spark: SparkSession, args) -> None:
 
 def compact_clean(spark: SparkSession, args) -> None:
     """Rewrite the clean table into a new folder of few, even files."""
+    size_shuffles(spark, f"{args.root}/clean")
     compact(spark, f"{args.root}/clean", args.target, ["event_year"])
 
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from math import ceil
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+# Data per shuffle task, and the most tasks the driver should have to keep track of.
+SHUFFLE_TASK_BYTES = 128 * 1024 * 1024
+MOST_SHUFFLE_TASKS = 50_000
 _NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -76,6 +80,20 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def size_shuffles(spark: SparkSession, path: str, growth: float = 4.0) -> int:
+    """Raise the number of shuffle partitions to what one shuffle of the whole table needs.
+
+    ``growth`` is the size of shuffled rows over that of compressed columns. Adaptive execution
+    merges what turns out too many but cannot divide what is too few. Returns the number in force.
+    """
+    wanted = ceil(file_inventory(spark, path).first()["bytes"] * growth / SHUFFLE_TASK_BYTES)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        current = max(current, min(wanted, MOST_SHUFFLE_TASKS))
+        spark.conf.set("spark.sql.shuffle.partitions", current)
+    return current
+
+
 def compact(spark: SparkSession, path: str, target: str,
             partition_by: Sequence[str] = ()) -> DataFrame:
     """Rewrite the many small files below ``path`` into few even ones below ``target``.

@@ -49,6 +49,20 @@ def test_compaction(spark, tmp_path):
     assert compacted.exceptAll(df).isEmpty() and df.exceptAll(compacted).isEmpty()
 
 
+def test_shuffles_are_sized_by_the_table(spark, tmp_path, monkeypatch):
+    tables.write_table(spark.range(50_000), str(tmp_path / "t"))
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    try:
+        assert tables.size_shuffles(spark, str(tmp_path / "t")) == int(before)
+        monkeypatch.setattr(tables, "SHUFFLE_TASK_BYTES", 20_000)
+        assert int(before) < tables.size_shuffles(spark, str(tmp_path / "t")) == int(spark.conf.get(setting))
+        monkeypatch.setattr(tables, "SHUFFLE_TASK_BYTES", 1)
+        assert tables.size_shuffles(spark, str(tmp_path / "t")) == tables.MOST_SHUFFLE_TASKS
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_overwrite_replaces_the_schema(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.write_table(spark.range(3), path)
