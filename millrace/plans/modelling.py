@@ -20,9 +20,7 @@ from millrace.operators.evaluation import (
     auc_per_class, confusion_counts, confusion_matrix, macro_auc, per_class_metrics,
     scores_as_array, weighted_metrics,
 )
-from millrace.operators.features import (
-    decode_labels, label_index, model_input, with_label,
-)
+from millrace.operators.features import decode_labels, label_index, model_input, with_label
 from millrace.operators.runs import ERROR_CHARS, append_run, best_run
 from millrace.operators.sampling import hash_sample, hash_split
 from millrace.operators.toplists import largest
@@ -77,9 +75,7 @@ class TrainingData:
 
 
 def labelled_rows(df: DataFrame, labels: DataFrame, spec: EventSpec = INCIDENTS) -> DataFrame:
-    """Model input with its label and class number, after a class list fixed at training time.
-
-    """
+    """Model input with its label and class number, after a class list fixed at training time."""
     top = labels.select(F.col("label").alias(spec.type))
     numbers = labels.select(F.col("label").alias("label_raw"), F.col("idx").cast("double").alias("label"))
     return with_label(df, top, spec).join(broadcast_if_small(numbers), "label_raw", "left")

@@ -19,8 +19,10 @@ NUMBERS = ("accuracy", "weighted_f1", "train_seconds", "numTrees", "maxDepth")
 
 def logged_runs(spark, sf):
     """Runs as a tracker logs them: everything text, some accuracies missing or unreadable."""
-    i, k = F.col("event_id"), F.get_json_object("props", "$.k").cast("int")
-    logged = table(spark, sf, "events").select(
+    i, k = F.col("event_id"), F.col("k")
+    # A column of its own, so that the text is parsed once per row.
+    events = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    logged = events.select(
         F.concat(F.lit("run-"), i).alias("run_id"),
         F.col("ts").alias("start_time"),
         F.col("event_type").alias("params.model_type"),
