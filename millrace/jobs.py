@@ -1,4 +1,4 @@
-"""Command line: one subcommand per job, e.g. ``spark-submit millrace/jobs.py gold --root R``.
+"""Command line: one subcommand per job, e.g. ``spark-submit jobs.py gold --root R``.
 
 Below the root: ``messages`` (message files), ``raw``, ``clean``, ``gold/<table>``, ``summary``,
 ``runs``, ``models`` and ``checkpoints``.
@@ -102,7 +102,8 @@ def features(spark: SparkSession, args) -> None:
 def train(spark: SparkSession, args) -> None:
     """Train and log the chosen models."""
     data = prepare(_clean(spark, args), fraction=args.fraction, top_n=args.top)
-    train_all(spark, data, f"{args.root}/runs", f"{args.root}/models", args.models, not args.full)
+    train_all(spark, data, f"{args.root}/runs", f"{args.root}/models", args.models, not args.full,
+              args.auc_digits)
 
 
 def predict(spark: SparkSession, args) -> None:
@@ -141,7 +142,7 @@ def parser() -> argparse.ArgumentParser:
     job("summary", summary)
     job("features", features)
     job("train", train, fraction, ("--top", {"type": int, "default": 5}),
-        ("--full", {"action": "store_true"}),
+        ("--full", {"action": "store_true"}), ("--auc-digits", {"type": int}),
         ("--models", {"nargs": "+", "choices": list(PARAMS), "default": list(PARAMS)}))
     job("predict", predict, fraction)
     job("compact", compact_clean, ("--target", {"required": True}))
@@ -151,7 +152,3 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     args.run(spark or build_session("millrace"), args)
-
-
-if __name__ == "__main__":
-    main()

@@ -169,13 +169,14 @@ def _weights(model: Model):
     return None
 
 
-def evaluate(predictions: DataFrame) -> tuple[DataFrame, DataFrame]:
+def evaluate(predictions: DataFrame, auc_digits: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Counts and per-class AUC of a scored test set.
 
-    Scores are written once, so a large ensemble is not applied twice.
+    Scores are written once, so a large ensemble is not applied twice. ``auc_digits`` rounds the
+    scores for the AUC, which then sorts only as many values.
     """
     scored = materialize(scores_as_array(predictions).select("label", "prediction", "scores"), "scored")
-    return materialize(confusion_counts(scored), "confusion"), auc_per_class(scored)
+    return materialize(confusion_counts(scored), "confusion"), auc_per_class(scored, digits=auc_digits)
 
 
 @dataclass(frozen=True)
@@ -186,7 +187,8 @@ class Trained:
     auc: DataFrame | None = None
 
 
-def train_one(data: TrainingData, name: str, est: Estimator, model_root: str | None = None) -> Trained:
+def train_one(data: TrainingData, name: str, est: Estimator, model_root: str | None = None,
+              auc_digits: int | None = None) -> Trained:
     """Fit, evaluate and describe one model; a failure becomes the run's error text."""
     run = {
         "run_id": uuid.uuid4().hex, "run_name": f"model-{name}", "model_type": name,
@@ -201,7 +203,7 @@ def train_one(data: TrainingData, name: str, est: Estimator, model_root: str | N
         started = time.monotonic()
         model = est.fit(data.train)
         run["train_seconds"] = time.monotonic() - started
-        confusion, auc = evaluate(model.transform(data.test))
+        confusion, auc = evaluate(model.transform(data.test), auc_digits)
         quality = weighted_metrics(per_class_metrics(confusion)).drop("n_rows")
         run.update(quality.first().asDict())
         run["auc_ovr_macro"] = macro_auc(auc).first()["auc_ovr_macro"]
@@ -216,12 +218,13 @@ def train_one(data: TrainingData, name: str, est: Estimator, model_root: str | N
 
 
 def train_all(spark: SparkSession, data: TrainingData, runs_path: str, model_root: str,
-              names: Sequence[str] = tuple(PARAMS), light: bool = True) -> Mapping[str, Trained]:
+              names: Sequence[str] = tuple(PARAMS), light: bool = True,
+              auc_digits: int | None = None) -> Mapping[str, Trained]:
     """Train the models one after the other; each fit uses the whole cluster."""
     results = {}
     for name in names:
         results[name] = train_one(
-            data, name, estimator(name, light, data.side_by_side), model_root)
+            data, name, estimator(name, light, data.side_by_side), model_root, auc_digits)
         append_run(spark, runs_path, results[name].run)
     return results
 

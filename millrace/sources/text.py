@@ -40,6 +40,12 @@ def stream_source(spark: SparkSession, path: str, columns: tuple[str, ...] = SOU
     )
 
 
+def with_origin(files: DataFrame) -> DataFrame:
+    """Adds the file each row came from and that file's time; for batch and stream alike."""
+    return files.select("*", F.col("_metadata.file_path").alias("source_file"),
+                        F.col("_metadata.file_modification_time").alias("source_time"))
+
+
 def parse_source(raw: DataFrame) -> DataFrame:
     """Text columns to the typed payload.
 

@@ -52,6 +52,20 @@ def test_source_stream_equals_batch(spark, tmp_path):
     assert sorted(spark.read.parquet(out).collect()) == sorted(batch.collect())
 
 
+def test_origin_of_rows(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for n in range(2):
+        write_source(tmp_path / "in" / f"{n}.csv", [{**SOURCE_ROW, "ID": str(n)}])
+    batch = text.with_origin(text.read_source(spark, str(tmp_path / "in")))
+    assert {r["ID"]: r["source_file"][-5:] for r in batch.collect()} == {"0": "0.csv", "1": "1.csv"}
+    out = str(tmp_path / "out")
+    stream = text.with_origin(text.stream_source(spark, str(tmp_path / "in")))
+    drain(stream.select("ID", "source_file", "source_time").writeStream.format("parquet")
+          .option("path", out).option("checkpointLocation", str(tmp_path / "cp")))
+    stored = spark.read.parquet(out)
+    assert stored.where("source_file LIKE '%.csv' AND source_time IS NOT NULL").count() == 2
+
+
 def decode(spark, values):
     rows = [(str(i).encode(), None if v is None else v.encode(), i) for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, "key BINARY, value BINARY, n BIGINT")
