@@ -17,17 +17,17 @@ _ENTRY_BYTES = 64
 
 
 def unmatched(source: DataFrame, target: DataFrame, key: str,
-              broadcast_keys: bool = False) -> DataFrame:
+              sized_keys: DataFrame | None = None) -> DataFrame:
     """Rows of ``source`` whose key is not in ``target``.
 
-    ``target`` is usually the far larger side. With ``broadcast_keys`` the source's keys, which
-    the caller has sized, travel to the target and the target is only scanned, never shuffled;
-    the keys found are then at most as many. Otherwise both sides are shuffled on the key.
+    ``target`` is usually the far larger side. ``sized_keys``, which hold at least the source's
+    keys and are known to be small, travel to the target: it is only scanned, never shuffled, and
+    the keys found there are at most as many. Without them both sides are shuffled on the key.
     """
     known = target.select(key)
-    if broadcast_keys:
-        known = known.join(F.broadcast(source.select(key)), key, "left_semi").distinct()
-        known = F.broadcast(known)
+    if sized_keys is not None:
+        asked = F.broadcast(sized_keys.select(key).distinct())
+        known = F.broadcast(known.join(asked, key, "left_semi").distinct())
     return source.join(known, key, "left_anti")
 
 
@@ -51,17 +51,21 @@ def key_bytes(source: DataFrame, key: str) -> tuple[int, int]:
     return rows, size
 
 
-def merge_new_keys(source: DataFrame, path: str, key: str,
-                   partition_by: Sequence[str] = (), stable_partitions: bool = False) -> int:
-    """Append the rows of ``source`` whose key the table does not hold; returns source's rows.
+def merge_new_keys(source: DataFrame, path: str, key: str, partition_by: Sequence[str] = (),
+                   stable_partitions: bool = False, keys: DataFrame | None = None) -> int:
+    """Append the rows of ``source`` whose key the table does not hold; returns the rows asked for.
 
     ``source`` holds each key once. The first version of a key to arrive stays. Running the same
     source twice adds nothing, so a retried batch is safe. One writer per table.
 
+    ``keys`` is a cheap table with at least the source's keys, for a source that is expensive to
+    compute: it is then computed once, by the write.
+
     ``stable_partitions`` promises that a key never changes its partition; the target scan is then
     pruned to the partitions the source touches.
     """
-    rows, size = key_bytes(source, key)
+    keys = source if keys is None else keys
+    rows, size = key_bytes(keys, key)
     if rows == 0:
         return 0
     target = table_if_exists(source.sparkSession, path)
@@ -69,6 +73,6 @@ def merge_new_keys(source: DataFrame, path: str, key: str,
     if target is not None:
         if stable_partitions:
             target = same_partitions(source, target, partition_by[0])
-        fresh = unmatched(source, target, key, broadcast_keys=size <= BROADCAST_BYTES)
+        fresh = unmatched(source, target, key, keys if size <= BROADCAST_BYTES else None)
     write_table(fresh, path, partition_by, mode="append")
     return rows

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
-from millrace.operators.clean import clean_events
+from millrace.operators.clean import clean_events, complete_rows
 from millrace.operators.merge import merge_new_keys
 from millrace.spec import INCIDENTS, SILVER_COLUMNS, EventSpec
 
@@ -27,11 +26,10 @@ def batch_upsert(path: str, spec: EventSpec = INCIDENTS,
     A key stays as it first arrived. A repeated batch finds its keys already there.
     """
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        cleaned = clean_events(batch, spec, columns).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            merge_new_keys(cleaned, path, spec.key, partition_by)
-        finally:
-            cleaned.unpersist()
+        # Emptiness and key sizes come from the raw rows' key column, so the cleaned rows are
+        # computed once, by the write, and need no cache.
+        merge_new_keys(clean_events(batch, spec, columns), path, spec.key, partition_by,
+                       keys=complete_rows(batch, spec))
 
     return upsert
 

@@ -42,7 +42,7 @@ def test_merge_reports_rows_and_sizes_keys(spark, tmp_path):
 
 def test_target_is_not_shuffled_for_a_small_source(spark):
     source, target = keyed(spark, [(1, "a", 1)]), spark.range(100_000).withColumnRenamed("id", "k")
-    plan = merge.unmatched(source, target, "k", True)._jdf.queryExecution().executedPlan().toString()
+    plan = merge.unmatched(source, target, "k", source)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
 
 
