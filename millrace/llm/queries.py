@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import licenses
+from millrace.llm import licenses, simhash
 from workload import Query
 from workload.bindings import table
 
 
+def op6_simhash_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of three-word shingles and their classes at two differing bits or fewer."""
+    found = simhash.fingerprints(table(spark, sf, "documents"), words=3)
+    placed = simhash.classes(found, "doc_id", distance=2)
+    return placed.select("doc_id", simhash.hexadecimal(F.col("bits")).alias("fingerprint"), "component_id")
+
+
 def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Per document its phrases and labels; the notices found with errors add labels of their own."""
     scanned = licenses.scan(table(spark, sf, "documents"))
@@ -32,5 +39,6 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_simhash_classes": Query(op6_simhash_classes),
     "op10_license_scan": Query(op10_license_scan),
 }
