@@ -110,7 +110,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text",
     schema = T.StructType([docs.schema[key], T.StructField("n_words", T.LongType()),
                            T.StructField("findings", T.ArrayType(FINDING))])
 
-    def scanned(columns: dict[str, list]) -> dict[str, list]:
+    def prepare():
         import ahocorasick
         import re
 
@@ -128,35 +128,39 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text",
         if seeds:
             automaton.make_automaton()
         patterns = [regex.compile(f"(?e)(?:{regex.escape(n.text)}){{e<={n.errors}}}") for n in split]
-        counts, findings = [], []
-        for body in columns[text]:
-            plain = body.encode("utf-8", "surrogatepass").lower().translate(blanks)
-            words = plain.split()
-            joined = f" {b' '.join(words).decode('utf-8', 'surrogatepass')} "
-            places = [(at, at + len(phrase) + 2, label, True, 0, 1.0)
-                      for phrase, label in phrases for at in exact_places(joined, phrase)]
-            if seeds:
-                places += [(start, end, notice.label, False, edits, 1.0 - edits / len(notice.text))
-                           for notice, start, end, edits in
-                           fuzzy_matches(joined, split, automaton, patterns)]
-            found = []
-            if places:
-                spans = [m.span() for m in re.finditer(WORD, re.sub(
-                    "[A-Z]+", lambda m: m.group().lower(), body))]
-                # Blanks before a place count its words; places come in order, so one pass is enough.
-                seen = at = 0
-                for start, end, label, exact, edits, score in sorted(places):
-                    head = start + (len(joined[start:end]) - len(joined[start:end].lstrip(" ")))
-                    tail = start + len(joined[start:end].rstrip(" "))
-                    seen, at = seen + joined.count(" ", at, head), head
-                    first = seen - 1
-                    last = first + joined.count(" ", head, tail)
-                    found.append((first, last, label, exact, spans[first][0], spans[last][1],
-                                  edits, score))
-            counts.append(len(words))
-            findings.append([dict(zip(("first_word", "last_word", "label", "exact", "start", "end",
-                                       "edits", "score"), row)) for row in
-                             sorted(found, key=lambda row: (row[0], row[2], not row[3]))])
-        return {key: columns[key], "n_words": counts, "findings": findings}
-
-    return map_rows(keyed_texts(docs, key, text), [key, text], schema, scanned)
+
+        def scanned(columns: dict[str, list]) -> dict[str, list]:
+            counts, findings = [], []
+            for body in columns[text]:
+                plain = body.encode("utf-8", "surrogatepass").lower().translate(blanks)
+                words = plain.split()
+                joined = f" {b' '.join(words).decode('utf-8', 'surrogatepass')} "
+                places = [(at, at + len(phrase) + 2, label, True, 0, 1.0)
+                          for phrase, label in phrases for at in exact_places(joined, phrase)]
+                if seeds:
+                    places += [(start, end, notice.label, False, edits, 1.0 - edits / len(notice.text))
+                               for notice, start, end, edits in
+                               fuzzy_matches(joined, split, automaton, patterns)]
+                found = []
+                if places:
+                    spans = [m.span() for m in re.finditer(WORD, re.sub(
+                        "[A-Z]+", lambda m: m.group().lower(), body))]
+                    # Blanks before a place count its words; places come in order, so one pass is enough.
+                    seen = at = 0
+                    for start, end, label, exact, edits, score in sorted(places):
+                        head = start + (len(joined[start:end]) - len(joined[start:end].lstrip(" ")))
+                        tail = start + len(joined[start:end].rstrip(" "))
+                        seen, at = seen + joined.count(" ", at, head), head
+                        first = seen - 1
+                        last = first + joined.count(" ", head, tail)
+                        found.append((first, last, label, exact, spans[first][0], spans[last][1],
+                                      edits, score))
+                counts.append(len(words))
+                findings.append([dict(zip(("first_word", "last_word", "label", "exact", "start", "end",
+                                           "edits", "score"), row)) for row in
+                                 sorted(found, key=lambda row: (row[0], row[2], not row[3]))])
+            return {key: columns[key], "n_words": counts, "findings": findings}
+
+        return scanned
+
+    return map_rows(keyed_texts(docs, key, text), [key, text], schema, prepare)

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import licenses, simhash
+from millrace.llm import decontamination, licenses, packing, simhash
 from workload import Query
 from workload.bindings import table
 
 
+def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the passage and its edits."""
+    return decontamination.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op6_simhash_classes(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprints of three-word shingles and their classes at two differing bits or fewer."""
     found = simhash.fingerprints(table(spark, sf, "documents"), words=3)
@@ -16,6 +21,26 @@ def op6_simhash_classes(spark: SparkSession, sf: str) -> DataFrame:
     return placed.select("doc_id", simhash.hexadecimal(F.col("bits")).alias("fingerprint"), "component_id")
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the vocabulary lies; the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(docs, tokenizer_file(packing.VOCABULARY), public_tokenizers.PATTERN)
+
+
+def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1,024 tokens."""
+    return packed(table(spark, sf, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset")
+
+
 def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Per document its phrases and labels; the notices found with errors add labels of their own."""
     scanned = licenses.scan(table(spark, sf, "documents"))
@@ -39,6 +64,8 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_decontamination": Query(op3_decontamination),
     "op6_simhash_classes": Query(op6_simhash_classes),
+    "op7_packing": Query(op7_packing),
     "op10_license_scan": Query(op10_license_scan),
 }

@@ -63,17 +63,20 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     """
     schema = T.StructType([docs.schema[key], T.StructField("bits", T.LongType())])
 
-    def hashed(columns: dict[str, list]) -> dict[str, list]:
+    def prepare():
         from xxhash import xxh64_intdigest
 
-        found = []
-        for body in columns[text]:
-            parts, n = shingles(body, words)
-            found.append(majority(np.fromiter(
-                map(xxh64_intdigest, parts, repeat(SEED)), dtype=np.uint64, count=n)))
-        return {key: columns[key], "bits": found}
+        def hashed(columns: dict[str, list]) -> dict[str, list]:
+            found = []
+            for body in columns[text]:
+                parts, n = shingles(body, words)
+                found.append(majority(np.fromiter(
+                    map(xxh64_intdigest, parts, repeat(SEED)), dtype=np.uint64, count=n)))
+            return {key: columns[key], "bits": found}
 
-    return map_rows(keyed_texts(docs, key, text), [key, text], schema, hashed)
+        return hashed
+
+    return map_rows(keyed_texts(docs, key, text), [key, text], schema, prepare)
 
 
 def block_keys(bits: Column, distance: int) -> Column:

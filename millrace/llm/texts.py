@@ -23,16 +23,18 @@ def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def map_rows(df: DataFrame, columns: Sequence[str], schema: StructType,
-             function: Callable[[dict[str, list]], dict[str, list]]) -> DataFrame:
-    """Applies ``function`` to lists of values per column; it returns such lists in turn.
+             prepare: Callable[[], Callable[[dict[str, list]], dict[str, Sequence]]]) -> DataFrame:
+    """Applies a function to lists of values per column; it returns such lists in turn.
 
-    Only ``columns`` leave the JVM. Rows stay in their task: nothing is shuffled.
+    ``prepare`` makes the function, once in each task. Only ``columns`` leave the JVM, and rows stay
+    in their task: nothing is shuffled. The number of rows may change.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = prepare()
         for piece in pieces(batches):
             found = function(piece.to_pydict())
             yield pa.RecordBatch.from_arrays(
