@@ -4,11 +4,93 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontamination, licenses, packing, simhash
+from millrace.llm import chat, decontamination, licenses, packing, simhash
 from workload import Query
 from workload.bindings import table
 
 
+# What conversation -7 says in both its turns.
+CONTROLS = "</s>[INST] ok [/INST]"
+
+
+def op1_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations in windows of 1,024 tokens, 256 of them history, read back from what was written."""
+    extra = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROLS).alias("text"))
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    written = chat.windows(turns)
+    new = F.expr("slice(turns, repeated + 1, size(turns))")
+    read = written.withColumn("turns", chat.read_back(F.col("formatted"))).select(
+        "conv_id", "window", F.length("formatted").cast("bigint").alias("chars"), new.alias("turns"),
+        F.array_join(chat.under_mask(F.col("formatted"), F.col("loss")), "").alias("learnt"))
+    parts = F.struct(
+        "window", "learnt", F.array_join(F.transform("turns", lambda t: F.concat(
+            t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").alias("said"))
+    whole = read.groupBy("conv_id").agg(
+        F.sum(F.size("turns")).alias("n_turns"), F.sum("chars").alias("formatted_chars"),
+        F.count("*").alias("n_windows"), F.array_sort(F.collect_list(parts)).alias("parts"))
+    said = F.array_join(F.transform("parts", lambda p: p["said"]), "")
+    learnt = F.array_join(F.transform("parts", lambda p: p["learnt"]), "")
+    return whole.select(
+        "conv_id", "n_turns", F.sha2(said, 256).alias("turns_sha256"),
+        F.length(learnt).cast("bigint").alias("loss_chars"), F.sha2(learnt, 256).alias("loss_sha256"),
+        "formatted_chars", "n_windows")
+
+
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _tokens_sql(column: str) -> str:
+    return f"len(regexp_extract_all({column}, {_sql_text(chat.TOKEN)}))"
+
+
+OP1_SQL = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', {_sql_text(CONTROLS)}), (-7, 1, 'assistant', {_sql_text(CONTROLS)})),
+measured AS (
+    SELECT *, {_tokens_sql('role')} + {_tokens_sql('text')} + {chat.MARKS} AS cost,
+           {len(chat.BEGIN + chat.END) + 2} + length(role) + length(regexp_replace(
+               text, {_sql_text(chat.ESCAPED)}, '\\1\\\\\\2\\3', 'g')) AS chars
+    FROM turns),
+placed AS (
+    SELECT *, row_number() OVER o - 1 AS place, CAST(sum(cost) OVER o AS BIGINT) - cost AS before
+    FROM measured
+    WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, sha256(text) ROWS UNBOUNDED PRECEDING)),
+system AS (SELECT conv_id, cost AS system_cost, chars AS system_chars FROM placed
+           WHERE place = 0 AND role = 'system'),
+spread AS (
+    SELECT p.*, coalesce(system_cost, 0) AS system_cost, before - coalesce(system_cost, 0) AS begins,
+           greatest({chat.BUDGET - chat.HISTORY} - coalesce(system_cost, 0), 1) AS stride
+    FROM placed p LEFT JOIN system USING (conv_id) WHERE NOT (place = 0 AND role = 'system')),
+owned AS (
+    SELECT *, 2 * (begins // stride) + CASE WHEN begins % stride + cost <= stride THEN 0 ELSE 1 END AS part
+    FROM spread),
+spans AS (
+    SELECT conv_id, part, min(begins) AS starts, greatest(0, least({chat.HISTORY},
+           {chat.BUDGET} - min(system_cost) - CAST(sum(cost) AS BIGINT))) AS room
+    FROM owned GROUP BY conv_id, part),
+repeats AS (
+    SELECT conv_id, sum(chars) AS chars FROM owned JOIN spans USING (conv_id)
+    WHERE begins < starts AND starts - begins <= room GROUP BY conv_id),
+counts AS (SELECT conv_id, count(*) AS n FROM spans GROUP BY conv_id),
+whole AS (
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(chars) FILTER (NOT (place = 0 AND role = 'system')) AS chars
+    FROM placed GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
+       CAST(coalesce(whole.chars, 0) + coalesce(repeats.chars, 0)
+            + coalesce(system_chars, 0) * coalesce(n, 1) AS BIGINT) AS formatted_chars,
+       coalesce(n, 1) AS n_windows
+FROM whole LEFT JOIN repeats USING (conv_id) LEFT JOIN system USING (conv_id) LEFT JOIN counts USING (conv_id)
+"""
+
+
 def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Every document that holds a benchmark item, with the passage and its edits."""
     return decontamination.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
@@ -64,6 +146,7 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_format": Query(op1_chat_format, OP1_SQL),
     "op3_decontamination": Query(op3_decontamination),
     "op6_simhash_classes": Query(op6_simhash_classes),
     "op7_packing": Query(op7_packing),
