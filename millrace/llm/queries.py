@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, decontamination, licenses, packing, simhash
+from millrace.llm import chat, decontamination, licenses, merkle, packing, simhash
 from workload import Query
 from workload.bindings import table
 
@@ -96,6 +96,76 @@ def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op4_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    """Trees of every text and of the text half replaced by the next one, and how alike they are."""
+    beside = merkle.with_next_document(table(spark, sf, "documents"))
+    trees = beside.select(
+        "doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        merkle.tree(F.col("text")).alias("tree"), merkle.tree(F.col("edited")).alias("edited_tree"), "next_fingerprint")
+    prints = trees.select(
+        "doc_id", "n_chars", "edited_sha256", merkle.fingerprint(F.col("tree")).alias("fingerprint"),
+        merkle.fingerprint(F.col("edited_tree")).alias("edited_fingerprint"), "next_fingerprint",
+        F.size(merkle.changed(F.col("edited_tree"), F.col("tree"))).cast("bigint").alias("changed_paragraphs"))
+    own = F.col("fingerprint")
+    return prints.select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        merkle.likeness(own, F.col("edited_fingerprint")).alias("near_edited"),
+        merkle.likeness(own, F.col("next_fingerprint")).alias("near_next"), "changed_paragraphs")
+
+
+def _tree_sql(column: str) -> str:
+    def parts(value: str, pattern: str) -> str:
+        return f"regexp_extract_all({value}, {_sql_text(pattern)})"
+
+    def above(kind: str, digests: str) -> str:
+        return f"sha256('{kind}' || array_to_string({digests}, ''))"
+
+    leaves = f"list_transform({parts('p', merkle.PASSAGES)}, lambda x: sha256(x)[1:{merkle.LEAF}])"
+    paragraphs = (f"list_transform(list_transform({parts('s', merkle.PARAGRAPHS)}, lambda p: {leaves}), lambda l: "
+                  f"{{'digest': {above('p', 'l')}[1:{merkle.BRANCH}], 'leaves': l}})")
+    return (f"list_transform(list_transform({parts(column, merkle.SECTIONS)}, lambda s: {paragraphs}), lambda o: "
+            f"{{'digest': {above('s', 'list_transform(o, lambda x: x.digest)')}[1:{merkle.BRANCH}], 'paragraphs': o}})")
+
+
+def _fingerprint_sql(tree: str) -> str:
+    leaves = f"flatten(list_transform(flatten(list_transform({tree}, lambda x: x.paragraphs)), lambda x: x.leaves))"
+    return (f"array_to_string(list_prepend(sha256('r' || array_to_string(list_transform({tree}, lambda x: x.digest), '')), "
+            f"{leaves}), '-')")
+
+
+def _likeness_sql(one: str, other: str) -> str:
+    a, b = (f"list_distinct(string_split({x}, '-')[2:])" for x in (one, other))
+    return (f"CASE WHEN {one} = {other} THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect({a}, {b})) "
+            f"/ greatest(len({a}) + len({b}), 1) END")
+
+
+OP4_SQL = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+beside AS (
+    SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id DESC),
+           first(text) OVER (ORDER BY doc_id DESC)) AS next FROM texts),
+edited AS (SELECT *, substr(text, 1, length(text) - length(text) // 2)
+                     || substr(next, 1, length(text) // 2) AS edited FROM beside),
+trees AS (
+    SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256,
+           {_tree_sql('text')} AS tree, {_tree_sql('edited')} AS edited_tree, {_tree_sql('next')} AS next_tree
+    FROM edited),
+prints AS (
+    SELECT doc_id, n_chars, edited_sha256, {_fingerprint_sql('tree')} AS fingerprint,
+           {_fingerprint_sql('edited_tree')} AS edited_fingerprint, {_fingerprint_sql('next_tree')} AS next_fingerprint,
+           list_transform(tree, lambda x: x.digest) AS sections,
+           list_transform(flatten(list_transform(tree, lambda x: x.paragraphs)), lambda x: x.digest) AS paragraphs,
+           edited_tree
+    FROM trees)
+SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+       {_likeness_sql('fingerprint', 'edited_fingerprint')} AS near_edited,
+       {_likeness_sql('fingerprint', 'next_fingerprint')} AS near_next,
+       CAST(len(list_filter(flatten(list_transform(list_filter(edited_tree, lambda s: NOT list_contains(sections, s.digest)),
+           lambda s: s.paragraphs)), lambda p: NOT list_contains(paragraphs, p.digest))) AS BIGINT) AS changed_paragraphs
+FROM prints
+"""
+
+
 def op6_simhash_classes(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprints of three-word shingles and their classes at two differing bits or fewer."""
     found = simhash.fingerprints(table(spark, sf, "documents"), words=3)
@@ -148,6 +218,7 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_chat_format": Query(op1_chat_format, OP1_SQL),
     "op3_decontamination": Query(op3_decontamination),
+    "op4_fingerprints": Query(op4_fingerprints, OP4_SQL),
     "op6_simhash_classes": Query(op6_simhash_classes),
     "op7_packing": Query(op7_packing),
     "op10_license_scan": Query(op10_license_scan),
