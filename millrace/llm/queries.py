@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, decontamination, licenses, merkle, packing, simhash
+from millrace.llm import chat, decontamination, licenses, merkle, packing, simhash, toxicity, training
 from workload import Query
 from workload.bindings import table
 
@@ -193,6 +193,30 @@ def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
         "sequence_id", "offset")
 
 
+# From this score on a document counts as labelled 1.
+PREDICTED = 0.7
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model | None:
+    """Learnt from the labelled rows that are not held out."""
+    train = F.coalesce(training.key_remainder(F.col("doc_id"), 3) != 1, F.lit(False))
+    return training.fit(docs, labels, "toxic", train, toxicity.learn)
+
+
+def _decided(scores: DataFrame, modulus: int, held: int) -> DataFrame:
+    remainder = training.key_remainder(F.col("doc_id"), modulus)
+    return scores.select(
+        "doc_id", F.coalesce(remainder == held, F.lit(False)).alias("held_out"), "score",
+        F.when(F.col("score") >= PREDICTED, 1).otherwise(0).alias("predicted"))
+
+
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's toxicity, learnt from two thirds of the labels."""
+    docs = table(spark, sf, "documents")
+    model = toxicity_model(docs, table(spark, sf, "labels"))
+    return _decided(toxicity.score(docs, model), 3, 1)
+
+
 def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Per document its phrases and labels; the notices found with errors add labels of their own."""
     scanned = licenses.scan(table(spark, sf, "documents"))
@@ -221,5 +245,6 @@ QUERIES = {
     "op4_fingerprints": Query(op4_fingerprints, OP4_SQL),
     "op6_simhash_classes": Query(op6_simhash_classes),
     "op7_packing": Query(op7_packing),
+    "op9_toxicity": Query(op9_toxicity),
     "op10_license_scan": Query(op10_license_scan),
 }
