@@ -9,13 +9,14 @@ matrix in the bits of two numbers, decides on the stretch around each hit.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.texts import keyed_texts, map_rows
+from millrace.llm.texts import keep_rows, keyed_texts, map_rows
 from millrace.session import materialize
 
 # Edits allowed per character of an item.
@@ -94,39 +95,46 @@ def best_passage(item: Item, text: str, hits: list[int]) -> tuple[int, int, int]
     return best
 
 
+def searcher(items: list[Item]) -> Callable[[str], Iterator[tuple[Item, tuple[int, int, int]]]]:
+    """A function that finds, in a text made ``plain``, the items it holds and their nearest passages."""
+    import ahocorasick
+
+    automaton = ahocorasick.Automaton()
+    pieces: dict[str, list[tuple[int, int]]] = {}
+    for k, item in enumerate(items):
+        for offset, part in item.parts():
+            pieces.setdefault(part, []).append((k, offset + len(part) - 1))
+    for part, of in pieces.items():
+        automaton.add_word(part, of)
+    automaton.make_automaton()
+
+    def search(words: str) -> Iterator[tuple[Item, tuple[int, int, int]]]:
+        hits: dict[int, set[int]] = {}
+        for last, of in automaton.iter(words):
+            for k, offset in of:
+                hits.setdefault(k, set()).add(last - offset)
+        for k in sorted(hits):
+            best = best_passage(items[k], words, list(hits[k]))
+            if best:
+                yield items[k], best
+
+    return search
+
+
 def _pass(docs: DataFrame, items: list[Item], key: str, text: str, schema: T.StructType) -> DataFrame:
     item_key = schema.fieldNames()[1]
 
     def prepare():
         import re
 
-        import ahocorasick
-
-        automaton = ahocorasick.Automaton()
-        pieces: dict[str, list[tuple[int, int]]] = {}
-        for k, item in enumerate(items):
-            for offset, part in item.parts():
-                pieces.setdefault(part, []).append((k, offset + len(part) - 1))
-        for part, of in pieces.items():
-            automaton.add_word(part, of)
-        automaton.make_automaton()
+        search = searcher(items)
 
         def found(columns: dict[str, list]) -> dict[str, list]:
             rows: dict[str, list] = {name: [] for name in schema.fieldNames()}
             for name, body in zip(columns[key], columns[text]):
-                words = plain(body)
-                hits: dict[int, set[int]] = {}
-                for last, of in automaton.iter(words):
-                    for k, offset in of:
-                        hits.setdefault(k, set()).add(last - offset)
-                spans = None
-                for k in sorted(hits):
-                    item = items[k]
-                    best = best_passage(item, words, list(hits[k]))
-                    if best is None:
-                        continue
+                words, spans = plain(body), None
+                for item, (edits, start, end) in search(words):
                     spans = spans or [m.span() for m in re.finditer(_WORD, body)]
-                    edits, start, end = best
                     # The words that the passage touches, blanks at its ends left out.
                     last = words.count(" ", 0, end - (words[end - 1] == " ")) - 1
                     first = min(words.count(" ", 0, start + 1) - 1, last)
@@ -143,6 +151,21 @@ def _pass(docs: DataFrame, items: list[Item], key: str, text: str, schema: T.Str
     return map_rows(docs, [key, text], schema, prepare)
 
 
+def _passes(items: DataFrame, item_key: str, item_text: str, rate: float, characters: int) -> Iterator[tuple[list[Item], bool]]:
+    """The items in portions of about ``characters``, and whether there are several."""
+    searched = items.select(F.col(item_key).alias("key"), F.coalesce(F.col(item_text), F.lit("")).alias("body"))
+    total = searched.agg(F.sum(F.length("body"))).first()[0] or 0
+    passes = max(1, math.ceil(total / characters))
+    for number in range(passes):
+        chosen = []
+        for row in searched.where(F.pmod(F.xxhash64("body"), F.lit(passes)) == number).toLocalIterator():
+            words = plain(row["body"])
+            if words:
+                chosen.append(Item(row["key"], words, int(rate * len(words))))
+        if chosen:
+            yield chosen, passes > 1
+
+
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
           item_key: str = "item_id", item_text: str = "text", rate: float = RATE,
           pass_characters: int = PASS_CHARACTERS) -> DataFrame:
@@ -161,24 +184,29 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
         docs.schema[key], items.schema[item_key], T.StructField("edits", T.LongType()),
         T.StructField("likeness", T.DoubleType()), T.StructField("start", T.LongType()),
         T.StructField("end", T.LongType())])
-    searched = items.select(F.col(item_key), F.coalesce(F.col(item_text), F.lit("")).alias("body"))
-    total = searched.agg(F.sum(F.length("body"))).first()[0] or 0
-    passes = max(1, math.ceil(total / pass_characters))
-    group: Column = F.pmod(F.xxhash64("body"), F.lit(passes))
     results = []
-    for number in range(passes):
-        chosen = []
-        for row in searched.where(group == number).toLocalIterator():
-            words = plain(row["body"])
-            if words:
-                chosen.append(Item(row[item_key], words, int(rate * len(words))))
-        found = _pass(own, chosen, key, text, schema) if chosen else None
-        if found is not None:
-            # One pass's items leave the driver before the next one's arrive.
-            results.append(materialize(found, "leaks") if passes > 1 else found)
+    for chosen, several in _passes(items, item_key, item_text, rate, pass_characters):
+        found = _pass(own, chosen, key, text, schema)
+        # One pass's items leave the driver before the next one's arrive.
+        results.append(materialize(found, "leaks") if several else found)
     if not results:
         return own.sparkSession.createDataFrame([], schema)
-    union = results[0]
-    for more in results[1:]:
-        union = union.unionByName(more)
-    return union
+    return reduce(DataFrame.unionByName, results)
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id",
+                  item_text: str = "text", rate: float = RATE, pass_characters: int = PASS_CHARACTERS) -> DataFrame:
+    """The rows of ``docs`` that hold no item, with all their columns; what counts is as in ``leaks``."""
+    left = docs
+    for chosen, several in _passes(items, item_key, item_text, rate, pass_characters):
+        left = _without(left, chosen, text)
+        left = materialize(left, "without-leaks") if several else left
+    return left
+
+
+def _without(docs: DataFrame, items: list[Item], text: str) -> DataFrame:
+    def prepare():
+        search = searcher(items)
+        return lambda texts: [next(search(plain(body)), None) is None for body in texts]
+
+    return keep_rows(docs, text, prepare)

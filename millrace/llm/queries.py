@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, decontamination, licenses, merkle, packing, simhash, toxicity, training
+from millrace.llm import chat, decontamination, licenses, lines, merkle, packing, quality, simhash, toxicity, training
 from workload import Query
 from workload.bindings import table
 
@@ -193,6 +193,48 @@ def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
         "sequence_id", "offset")
 
 
+def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the later copies of repeated runs of 50 words or more."""
+    clean = lines.without_later_copies(table(spark, sf, "documents"))
+    return clean.select(
+        "doc_id", F.size("deleted_lines").cast("bigint").alias("n_deleted"),
+        F.array_join(F.col("deleted_lines").cast("array<string>"), ",").alias("deleted_lines"),
+        F.length("text").cast("bigint").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP8_SQL = rf"""
+WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+numbered AS (
+    SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) - 1 AS i FROM split),
+counted AS (SELECT *, len(regexp_extract_all(line, '[^ 	
+]+')) AS words FROM numbered),
+summed AS (
+    SELECT *, CAST(sum(words) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS total FROM counted),
+spans AS (
+    SELECT a.doc_id, a.i AS s, min(b.i) AS e FROM summed a JOIN summed b
+    ON a.doc_id = b.doc_id AND a.i <= b.i AND b.total - a.total + a.words >= {lines.LEAST_WORDS} GROUP BY ALL
+    UNION
+    SELECT b.doc_id, max(a.i) AS s, b.i AS e FROM summed a JOIN summed b
+    ON a.doc_id = b.doc_id AND a.i <= b.i AND b.total - a.total + a.words >= {lines.LEAST_WORDS} GROUP BY b.doc_id, b.i),
+begins AS (
+    SELECT doc_id, CAST(sum(len(parts) + 1) OVER (ORDER BY doc_id) AS BIGINT) - len(parts) - 1 AS b FROM split),
+runs AS (
+    SELECT doc_id, s, e, b + s AS p, array_to_string(parts[s + 1:e + 1], chr(10)) AS run
+    FROM spans JOIN split USING (doc_id) JOIN begins USING (doc_id)),
+later AS (
+    SELECT *, min(p) OVER (PARTITION BY run, e - s) AS first FROM runs),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(s, e + 1)) AS i FROM later WHERE p - first >= e - s + 1),
+kept AS (
+    SELECT n.doc_id, count(g.i) AS n_deleted,
+           coalesce(string_agg(CAST(g.i AS VARCHAR), ',' ORDER BY n.i), '') AS deleted_lines,
+           coalesce(string_agg(n.line, chr(10) ORDER BY n.i) FILTER (g.i IS NULL), '') AS text
+    FROM numbered n LEFT JOIN gone g USING (doc_id, i) GROUP BY n.doc_id)
+SELECT doc_id, n_deleted, deleted_lines, CAST(length(text) AS BIGINT) AS kept_chars, sha256(text) AS kept_sha256
+FROM kept
+"""
+
+
 # From this score on a document counts as labelled 1.
 PREDICTED = 0.7
 
@@ -200,7 +242,7 @@ PREDICTED = 0.7
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model | None:
     """Learnt from the labelled rows that are not held out."""
     train = F.coalesce(training.key_remainder(F.col("doc_id"), 3) != 1, F.lit(False))
-    return training.fit(docs, labels, "toxic", train, toxicity.learn)
+    return training.fit(docs, labels, "toxic", train, toxicity.Model, toxicity.learn)
 
 
 def _decided(scores: DataFrame, modulus: int, held: int) -> DataFrame:
@@ -210,6 +252,15 @@ def _decided(scores: DataFrame, modulus: int, held: int) -> DataFrame:
         F.when(F.col("score") >= PREDICTED, 1).otherwise(0).alias("predicted"))
 
 
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's quality, learnt from three quarters of the labels."""
+    docs = table(spark, sf, "documents")
+    train = F.coalesce(training.key_remainder(F.col("doc_id"), 4) != 2, F.lit(False))
+    model = training.fit(docs, table(spark, sf, "labels"), "quality", train, quality.Model, quality.learn,
+                         rows_per_class=1_500)
+    return _decided(quality.score(docs, model), 4, 2)
+
+
 def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's toxicity, learnt from two thirds of the labels."""
     docs = table(spark, sf, "documents")
@@ -243,8 +294,10 @@ QUERIES = {
     "op1_chat_format": Query(op1_chat_format, OP1_SQL),
     "op3_decontamination": Query(op3_decontamination),
     "op4_fingerprints": Query(op4_fingerprints, OP4_SQL),
+    "op5_quality": Query(op5_quality),
     "op6_simhash_classes": Query(op6_simhash_classes),
     "op7_packing": Query(op7_packing),
+    "op8_line_dedup": Query(op8_line_dedup, OP8_SQL),
     "op9_toxicity": Query(op9_toxicity),
     "op10_license_scan": Query(op10_license_scan),
 }

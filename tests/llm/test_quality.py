@@ -1,0 +1,81 @@
+"""The byte network: gradients by differences, whole documents, held-out accuracy, odd rows."""
+
+import numpy as np
+import pytest
+
+from llm.conftest import ODD
+from millrace.llm import quality
+from millrace.llm.queries import QUERIES
+from workload.bindings import table
+
+LARGER = "/root/testdata/sf0.01"
+
+
+def model(seed=1):
+    draw = np.random.default_rng(seed)
+    return quality.Model(draw.normal(size=(quality.WIDTH, 256, quality.FILTERS)),
+                         draw.normal(size=quality.FILTERS), draw.normal(size=3 * quality.FILTERS + 1) / 8)
+
+
+def plain_probability(m, text):
+    raw = text.encode()
+    raw += bytes(max(0, quality.WIDTH - len(raw)))
+    while (len(raw) - quality.WIDTH) % quality.STRIDE:
+        raw += b"\0"
+    values = np.array([[max(0.0, m.bias[f] + sum(m.filters[i, raw[p + i], f] for i in range(quality.WIDTH)))
+                        for f in range(quality.FILTERS)]
+                       for p in range(0, len(raw) - quality.WIDTH + 1, quality.STRIDE)])
+    chunks = [values[i:i + quality.CHUNK] for i in range(0, len(values), quality.CHUNK)]
+    mean = sum(c.max(axis=0) * len(c) for c in chunks) / len(values)
+    z = np.concatenate([mean, values.max(axis=0), values.mean(axis=0)]) @ m.dense[:-1] + m.dense[-1]
+    return 1 / (1 + np.exp(-z))
+
+
+@pytest.mark.parametrize("text", ["", "a", "abcdefg", "é ß", "word. " * 300])
+def test_whole_texts_count(text):
+    m = model()
+    assert quality.probability(m, text) == pytest.approx(plain_probability(m, text))
+
+
+def test_the_last_bytes_count():
+    m = model()
+    assert quality.probability(m, "a" * 5000) != quality.probability(m, "a" * 4998 + "zz")
+
+
+def test_gradients_equal_differences():
+    m, data = model(3), quality.padded("some bytes, é and more of them. " * 40)
+    sums = [np.zeros_like(x) for x in (m.filters, m.bias, m.dense)]
+    quality._gradients(m, data, 1.0, *sums)
+
+    def loss():
+        z = quality.pooled(quality.responses(data, m)) @ m.dense[:-1] + m.dense[-1]
+        return np.log1p(np.exp(-z))
+
+    for x, g, index in ((m.dense, sums[2], 0), (m.dense, sums[2], -1), (m.bias, sums[1], 4),
+                        (m.filters, sums[0], (2, ord("o"), 3)), (m.filters, sums[0], (0, ord("e"), 7))):
+        kept, step = x[index], 1e-6
+        x[index] = kept + step
+        above = loss()
+        x[index] = kept - step
+        below = loss()
+        x[index] = kept
+        assert g[index] == pytest.approx((above - below) / (2 * step), rel=1e-3, abs=1e-6)
+
+
+def test_held_out_accuracy(spark, sf):
+    rows = {r["doc_id"]: r for r in QUERIES["op5_quality"].run(spark, LARGER).collect()}
+    assert len(rows) == table(spark, LARGER, "documents").count()
+    labels = {r["doc_id"]: r["quality"] for r in table(spark, LARGER, "labels").collect()}
+    held = [i for i in labels if rows[i]["held_out"]]
+    assert 0.15 < len(held) / len(labels) < 0.4
+    assert sum(rows[i]["predicted"] == labels[i] for i in held) / len(held) > 0.9
+    assert all((r["score"] >= 0.7) == (r["predicted"] == 1) and 0 <= r["score"] <= 1 for r in rows.values())
+
+
+def test_odd_texts(spark, odd_docs, no_docs):
+    rows = quality.score(odd_docs, model()).collect()
+    assert len(rows) == len(ODD) + 2
+    by = {r["doc_id"]: r["score"] for r in rows}
+    assert by[0] == by[1] and all(0 <= s <= 1 for s in by.values())
+    assert quality.score(no_docs, model()).count() == 0
+    assert {r["score"] for r in quality.score(odd_docs, None).collect()} == {0.0}
