@@ -43,6 +43,22 @@ def map_rows(df: DataFrame, columns: Sequence[str], schema: StructType,
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def keep_rows(df: DataFrame, text: str, prepare: Callable[[], Callable[[list[str]], Sequence[bool]]]) -> DataFrame:
+    """The rows whose text a function says yes to, with all their columns; a missing text is passed as empty.
+
+    ``prepare`` makes the function, once in each task. Nothing is shuffled.
+    """
+    at = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = prepare()
+        for piece in pieces(batches):
+            texts = [body or "" for body in piece.column(at).to_pylist()]
+            yield piece.filter(pa.array(function(texts), type=pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def keyed_texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key and text alone, a missing text as empty: other columns cannot clash with results."""
     return df.select(F.col(key).alias(key), F.coalesce(F.col(text), F.lit("")).alias(text))

@@ -14,6 +14,7 @@ A document's score comes from its worst sentences' margins by a logistic curve.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -21,7 +22,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from millrace.llm.texts import keyed_texts, map_rows
+from millrace.llm.texts import keep_rows, keyed_texts, map_rows
+from millrace.llm.training import logistic, prior_shift
 
 ORDER, DECAY = 4, 0.7
 # How alike two landmarks may be.
@@ -157,18 +159,6 @@ def pooled(margins: np.ndarray, sentences: np.ndarray, documents: np.ndarray, n:
     return features
 
 
-def logistic(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Weights of the likeliest logistic curve with a small ridge, by Newton steps."""
-    w = np.zeros(features.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(features @ w, -30, 30)))
-        gradient = features.T @ (p - labels) + ridge * len(labels) / 100 * w
-        hessian = (features * (p * (1 - p))[:, None]).T @ features + (ridge * len(labels) / 100 + 1e-9) * np.eye(len(w))
-        step = np.linalg.solve(hessian, gradient)
-        w -= step / max(1.0, float(np.abs(step).max()) / 4)
-    return w
-
-
 def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 0.1) -> np.ndarray:
     """Squared hinge loss with a ridge, by Newton steps on the rows inside the margin; the last column is the bias."""
     w = np.zeros(x.shape[1])
@@ -184,8 +174,14 @@ def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 0.1
     return w
 
 
-def learn(texts: list[str], labels: list[int]) -> Model:
-    """The model of labelled documents; both classes must be there."""
+def _curve(features: np.ndarray, labels: np.ndarray, share: float | None) -> np.ndarray:
+    found = logistic(features, labels)
+    found[-1] += prior_shift(labels.tolist(), share)
+    return found
+
+
+def learn(texts: list[str], labels: list[int], share: float | None = None) -> Model:
+    """The model of labelled documents, both classes among them; ``share`` is that of label 1 outside the sample."""
     letters = _letters()
     y = np.array(labels)
     numbers: dict[str, int] = {}
@@ -230,7 +226,8 @@ def learn(texts: list[str], labels: list[int]) -> Model:
         if len(landmarks) == LANDMARKS:
             break
     if not landmarks:
-        return Model(np.zeros(size, dtype=np.float32), -1.0, logistic(pooled(np.zeros(0), words, words, len(y)), y))
+        return Model(np.zeros(size, dtype=np.float32), -1.0,
+                     _curve(pooled(np.zeros(0), words, words, len(y)), y, share))
     norms = np.array([kernel(v, v) ** 0.5 for v in landmarks])
     gram = np.array([[kernel(a, b) for b in landmarks] for a in landmarks]) / np.outer(norms, norms)
     values, vectors = np.linalg.eigh(gram)
@@ -268,13 +265,13 @@ def learn(texts: list[str], labels: list[int]) -> Model:
         rank = np.arange(len(of)) - np.searchsorted(of, of)
         taken = np.where(y[of] == 1, rank < 2, rank < TRAINED)
         chosen, sign = words[lead][by][taken], np.where(y[of][taken] == 1, 1.0, -1.0)
-        share = np.where(sign > 0, 1.0 / max(1, (sign > 0).sum()), 1.0 / max(1, (sign < 0).sum())) * len(sign) / 2
-        w = _machine(mapped[chosen], sign, share)
+        weigh = np.where(sign > 0, 1.0 / max(1, (sign > 0).sum()), 1.0 / max(1, (sign < 0).sum())) * len(sign) / 2
+        w = _machine(mapped[chosen], sign, weigh)
         margin = mapped @ w
     folded = np.zeros(size, dtype=np.float32)
     folded[used] = (table @ (whiten @ w[:-1]))[1:]
     features = pooled(margin[words], sentences, documents, len(y))
-    return Model(folded, float(w[-1]), logistic(features, y))
+    return Model(folded, float(w[-1]), _curve(features, y, share))
 
 
 def score(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -286,32 +283,46 @@ def score(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str =
     schema = T.StructType([docs.schema[key], T.StructField("score", T.DoubleType())])
 
     def prepare():
-        letters = _letters()
-        known: dict[str, float] = {}
-
-        def scored(columns: dict[str, list]) -> dict[str, list]:
-            if model is None:
-                return {key: columns[key], "score": [0.0] * len(columns[key])}
-            words, sentences, counts, first = [], [], [], 0
-            starts = []
-            for body in columns[text]:
-                own, at = units(body)
-                words += own
-                sentences += at
-                counts.append(len(own))
-                starts.append(first)
-                first += max(at, default=0) + 1
-            if len(known) > REMEMBERED:
-                known.clear()
-            new = list(set(words).difference(known))
-            if new:
-                known.update(zip(new, model.word_margins(new, letters).tolist()))
-            margins = np.fromiter(map(known.__getitem__, words), dtype=float, count=len(words))
-            documents = np.repeat(np.arange(len(counts)), counts)
-            numbered = np.array(sentences, dtype=np.int64) + np.repeat(np.array(starts, dtype=np.int64), counts)
-            features = pooled(margins, numbered, documents, len(counts))
-            return {key: columns[key], "score": 1 / (1 + np.exp(-np.clip(features @ model.curve, -30, 30)))}
-
-        return scored
+        likely = scorer(model)
+        return lambda columns: {key: columns[key], "score": likely(columns[text])}
 
     return map_rows(keyed_texts(docs, key, text), [key, text], schema, prepare)
+
+
+def below(docs: DataFrame, model: Model | None, limit: float, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is below ``limit``, with all their columns."""
+    def prepare():
+        likely = scorer(model)
+        return lambda texts: likely(texts) < limit
+
+    return keep_rows(docs, text, prepare)
+
+
+def scorer(model: Model | None) -> Callable[[Sequence[str]], np.ndarray]:
+    """A function from texts to scores that remembers the words it has met."""
+    letters = _letters()
+    known: dict[str, float] = {}
+
+    def likely(texts: Sequence[str]) -> np.ndarray:
+        if model is None:
+            return np.zeros(len(texts))
+        words, sentences, counts, starts, first = [], [], [], [], 0
+        for body in texts:
+            own, at = units(body)
+            words += own
+            sentences += at
+            counts.append(len(own))
+            starts.append(first)
+            first += max(at, default=0) + 1
+        if len(known) > REMEMBERED:
+            known.clear()
+        new = list(set(words).difference(known))
+        if new:
+            known.update(zip(new, model.word_margins(new, letters).tolist()))
+        margins = np.fromiter(map(known.__getitem__, words), dtype=float, count=len(words))
+        documents = np.repeat(np.arange(len(counts)), counts)
+        numbered = np.array(sentences, dtype=np.int64) + np.repeat(np.array(starts, dtype=np.int64), counts)
+        features = pooled(margins, numbered, documents, len(counts))
+        return 1 / (1 + np.exp(-np.clip(features @ model.curve, -30, 30)))
+
+    return likely
