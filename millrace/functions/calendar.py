@@ -11,6 +11,8 @@ from pyspark.sql import Column, functions as F
 _EPOCH = "1970-01-01 00:00:00"
 # Spark's ``dayofweek`` numbers.
 SUNDAY, SATURDAY = 1, 7
+# First and last hour of the night.
+NIGHT_FROM, NIGHT_TO = 22, 5
 DAY_NAMES = (
     "Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday",
 )
@@ -35,9 +37,9 @@ def is_weekend(day_of_week: Column) -> Column:
     return F.when(day_of_week.isin(SUNDAY, SATURDAY), 1).otherwise(0)
 
 
-def is_night(hour: Column, dusk: int = 22, dawn: int = 5) -> Column:
-    """1 from ``dusk`` o'clock through the hour of ``dawn``."""
-    return F.when(hour.between(dawn + 1, dusk - 1) | hour.isNull(), 0).otherwise(1)
+def is_night(hour: Column) -> Column:
+    """1 from the first hour of the night through its last."""
+    return F.when((hour >= NIGHT_FROM) | (hour <= NIGHT_TO), 1).otherwise(0)
 
 
 def day_name(day_of_week: Column, names: tuple[str, ...] = DAY_NAMES) -> Column:

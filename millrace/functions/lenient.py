@@ -8,6 +8,7 @@ from pyspark.sql import Column, functions as F
 _SOURCE_DATE = "M/d/yyyy h:m:s a Z"
 # Fixed value: spellings of true.
 _TRUE_WORDS = ("true", "1", "yes")
+_WHITE_SPACE = " \t\n\r\f\v"
 
 
 def lenient_int(text: Column, kind: str = "int") -> Column:
@@ -25,8 +26,8 @@ def lenient_double(text: Column) -> Column:
 
 
 def lenient_bool(text: Column) -> Column:
-    """True for the known spellings, false for everything else, never NULL."""
-    return F.coalesce(F.lower(F.trim(text)).isin(*_TRUE_WORDS), F.lit(False))
+    """True for the known spellings, white space around them aside; false for everything else, never NULL."""
+    return F.coalesce(F.lower(F.btrim(text, F.lit(_WHITE_SPACE))).isin(*_TRUE_WORDS), F.lit(False))
 
 
 def blank_to_null(text: Column) -> Column:

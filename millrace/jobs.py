@@ -12,17 +12,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.features import feature_view
+from millrace.operators.merge import BUCKET
 from millrace.operators.ranking import first_rows
 from millrace.plans.eda import OVERVIEW_METRICS, summary_document, summary_sections
 from millrace.plans.gold import refresh_gold
-from millrace.plans.modelling import PARAMS, predict_best, prepare, train_all
+from millrace.plans.modelling import PARAMS, PARTITIONS, predict_best, prepare, train_all
 from millrace.plans.silver import rebuild_silver
-from millrace.session import build_session
+from millrace.session import build_session, scratch_run
 from millrace.sources.documents import write_document
 from millrace.sources.messages import (
-    file_messages, kafka_messages, publish, to_messages, with_envelope,
+    BATCH_BYTES, file_messages, kafka_messages, publish, to_messages, with_envelope,
 )
-from millrace.sources.tables import compact, size_shuffles, write_table
+from millrace.sources.tables import (
+    compact, read_table, sized_shuffles, table_if_exists, write_table,
+)
+from millrace.spec import INCIDENTS, TOPIC_BATCH
 from millrace.sources.text import admit, parse_source, read_source, stamp_ingest
 from millrace.streaming.ingest import ingest_writer
 from millrace.streaming.run import INGEST_SECONDS, UPSERT_SECONDS, drain, run_continuously
@@ -30,8 +34,7 @@ from millrace.streaming.upsert import raw_table_stream, upsert_writer
 
 
 def _clean(spark: SparkSession, args) -> DataFrame:
-    size_shuffles(spark, f"{args.root}/clean")
-    return spark.read.parquet(f"{args.root}/clean")
+    return read_table(spark, f"{args.root}/clean")
 
 
 def _run_stream(writer, args, seconds: int) -> None:
@@ -50,8 +53,11 @@ def produce(spark: SparkSession, args) -> None:
     if args.servers:
         publish(messages, args.servers, args.topic)
         return
-    enveloped = with_envelope(
-        messages, args.topic, F.lit(0), F.monotonically_increasing_id(), F.current_timestamp())
+    # Offsets go on where the last run stopped: a later message of equal time is the newer one.
+    sent = table_if_exists(spark, f"{args.root}/messages")
+    last = sent.agg(F.max("offset")).first()[0] if sent is not None else None
+    offset = F.monotonically_increasing_id() + (0 if last is None else last + 1)
+    enveloped = with_envelope(messages, args.topic, F.lit(0), offset, F.current_timestamp())
     enveloped.write.mode("append").parquet(f"{args.root}/messages")
 
 
@@ -60,7 +66,7 @@ def ingest(spark: SparkSession, args) -> None:
     if args.servers:
         messages = kafka_messages(spark, args.servers, args.topic, args.per_trigger)
     else:
-        messages = file_messages(spark, f"{args.root}/messages")
+        messages = file_messages(spark, f"{args.root}/messages", args.batch_bytes)
     writer = ingest_writer(messages, f"{args.root}/raw", f"{args.root}/checkpoints/raw",
                            args.writers_per_date)
     _run_stream(writer, args, INGEST_SECONDS)
@@ -68,15 +74,15 @@ def ingest(spark: SparkSession, args) -> None:
 
 def clean(spark: SparkSession, args) -> None:
     """Raw table to the clean table, as a stream."""
-    writer = upsert_writer(raw_table_stream(spark, f"{args.root}/raw"), f"{args.root}/clean",
-                           f"{args.root}/checkpoints/clean")
+    raw = raw_table_stream(spark, f"{args.root}/raw", args.batch_bytes)
+    writer = upsert_writer(raw, f"{args.root}/clean", f"{args.root}/checkpoints/clean")
     _run_stream(writer, args, UPSERT_SECONDS)
 
 
 def rebuild(spark: SparkSession, args) -> None:
     """Raw table to the clean table, all at once."""
-    size_shuffles(spark, f"{args.root}/raw")
-    print(rebuild_silver(spark, f"{args.root}/raw", f"{args.root}/clean"), "rows")
+    with sized_shuffles(spark, f"{args.root}/raw"):
+        print(rebuild_silver(spark, f"{args.root}/raw", f"{args.root}/clean"), "rows")
 
 
 def gold(spark: SparkSession, args) -> None:
@@ -101,9 +107,10 @@ def features(spark: SparkSession, args) -> None:
 
 def train(spark: SparkSession, args) -> None:
     """Train and log the chosen models."""
-    data = prepare(_clean(spark, args), fraction=args.fraction, top_n=args.top)
-    train_all(spark, data, f"{args.root}/runs", f"{args.root}/models", args.models, not args.full,
-              args.auc_digits)
+    data = prepare(_clean(spark, args), fraction=args.fraction, top_n=args.top,
+                   partitions=args.partitions)
+    train_all(spark, data, f"{args.root}/runs", f"{args.root}/models", args.models, args.light,
+              args.auc_digits, args.parallelism)
 
 
 def predict(spark: SparkSession, args) -> None:
@@ -114,8 +121,8 @@ def predict(spark: SparkSession, args) -> None:
 
 def compact_clean(spark: SparkSession, args) -> None:
     """Rewrite the clean table into a new folder of few, even files."""
-    size_shuffles(spark, f"{args.root}/clean")
-    compact(spark, f"{args.root}/clean", args.target, ["event_year"])
+    with sized_shuffles(spark, f"{args.root}/clean"):
+        compact(spark, f"{args.root}/clean", args.target, [BUCKET, "event_year"], [INCIDENTS.key])
 
 
 def parser() -> argparse.ArgumentParser:
@@ -131,10 +138,10 @@ def parser() -> argparse.ArgumentParser:
 
     topic = [("--servers", {}), ("--topic", {"default": "events"})]
     streaming = [("--continuous", {"action": "store_true"}),
-                 ("--timeout", {"type": int, "default": 86_400})]
+                 ("--timeout", {"type": int}), ("--batch-bytes", {"type": int, "default": BATCH_BYTES})]
     fraction = ("--fraction", {"type": float, "default": 1.0})
     job("produce", produce, ("--source", {"required": True}), ("--most", {"type": int}), *topic)
-    job("ingest", ingest, *topic, ("--per-trigger", {"type": int, "default": 200_000}),
+    job("ingest", ingest, *topic, ("--per-trigger", {"type": int, "default": TOPIC_BATCH}),
         ("--writers-per-date", {"type": int}), *streaming)
     job("clean", clean, *streaming)
     job("rebuild", rebuild)
@@ -142,7 +149,8 @@ def parser() -> argparse.ArgumentParser:
     job("summary", summary)
     job("features", features)
     job("train", train, fraction, ("--top", {"type": int, "default": 5}),
-        ("--full", {"action": "store_true"}), ("--auc-digits", {"type": int}),
+        ("--light", {"action": "store_true"}), ("--auc-digits", {"type": int}),
+        ("--partitions", {"type": int, "default": PARTITIONS}), ("--parallelism", {"type": int, "default": 1}),
         ("--models", {"nargs": "+", "choices": list(PARAMS), "default": list(PARAMS)}))
     job("predict", predict, fraction)
     job("compact", compact_clean, ("--target", {"required": True}))
@@ -151,4 +159,6 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(spark or build_session("millrace"), args)
+    session = spark or build_session("millrace")
+    with scratch_run(session):
+        args.run(session, args)

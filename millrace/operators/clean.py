@@ -30,7 +30,11 @@ def newest_per_key(df: DataFrame, key: str | list[str], recency: list[str]) -> D
 
 def clean_events(events: DataFrame, spec: EventSpec = INCIDENTS,
                  columns: tuple[str, ...] = SILVER_COLUMNS) -> DataFrame:
-    """Complete, one row per key, with calendar parts, in the fixed column order."""
+    """Complete, one row per key, with calendar parts, in the fixed column order.
+
+    Columns that ``events`` does not have, because nothing has sent them yet, are left out.
+    """
     recency = [name for name in spec.recency if name in events.columns]
     unique = newest_per_key(complete_rows(events, spec), spec.key, recency)
-    return unique.withColumns(calendar_parts(F.col(spec.time))).select(*columns)
+    timed = unique.withColumns(calendar_parts(F.col(spec.time)))
+    return timed.select(*[name for name in columns if name in timed.columns])

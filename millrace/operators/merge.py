@@ -6,8 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.functions.hashing import key_bucket
 from millrace.sources.tables import table_if_exists, write_table
 
+# Partition column of tables that are merged into, and how many values it has.
+BUCKET = "key_bucket"
+KEY_BUCKETS = 64
 # Largest key list sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Most partition values listed in a filter.
@@ -24,11 +28,33 @@ def unmatched(source: DataFrame, target: DataFrame, key: str,
     keys and are known to be small, travel to the target: it is only scanned, never shuffled, and
     the keys found there are at most as many. Without them both sides are shuffled on the key.
     """
-    known = target.select(key)
+    # A missing key is a key like any other, so a source that is merged again adds none.
+    known = target.select(F.col(key).alias("_known"))
     if sized_keys is not None:
-        asked = F.broadcast(sized_keys.select(key).distinct())
-        known = F.broadcast(known.join(asked, key, "left_semi").distinct())
-    return source.join(known, key, "left_anti")
+        asked = F.broadcast(sized_keys.select(F.col(key).alias("_asked")).distinct())
+        same = F.col("_known").eqNullSafe(F.col("_asked"))
+        known = F.broadcast(known.join(asked, same, "left_semi").distinct())
+    return source.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
+
+
+def with_bucket(df: DataFrame, key: str, buckets: int = KEY_BUCKETS) -> DataFrame:
+    """Adds ``key_bucket``, which depends on the key alone: a key never changes its partition."""
+    return df.withColumn(BUCKET, key_bucket(F.col(key), buckets).cast("int"))
+
+
+def same_buckets(target: DataFrame, keys: DataFrame, key: str, buckets: int = KEY_BUCKETS) -> DataFrame:
+    """The part of a table with ``key_bucket`` that can hold ``keys``.
+
+    Buckets without any of the keys are pruned from the listing; inside the others, files sorted by
+    key are skipped by their statistics outside the keys' smallest and largest.
+    """
+    span = with_bucket(keys.select(key), key, buckets).agg(
+        F.collect_set(BUCKET).alias("buckets"), F.min(key).alias("low"), F.max(key).alias("high"),
+        F.count_if(F.col(key).isNull()).alias("missing")).first()
+    inside = F.col(BUCKET).isin(span["buckets"])
+    if span["missing"] or span["low"] is None:
+        return target.where(inside)
+    return target.where(inside & F.col(key).between(span["low"], span["high"]))
 
 
 def same_partitions(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
@@ -52,7 +78,8 @@ def key_bytes(source: DataFrame, key: str) -> tuple[int, int]:
 
 
 def merge_new_keys(source: DataFrame, path: str, key: str, partition_by: Sequence[str] = (),
-                   stable_partitions: bool = False, keys: DataFrame | None = None) -> int:
+                   stable_partitions: bool = False, keys: DataFrame | None = None,
+                   buckets: int | None = None) -> int:
     """Append the rows of ``source`` whose key the table does not hold; returns the rows asked for.
 
     ``source`` holds each key once. The first version of a key to arrive stays. Running the same
@@ -62,7 +89,8 @@ def merge_new_keys(source: DataFrame, path: str, key: str, partition_by: Sequenc
     compute: it is then computed once, by the write.
 
     ``stable_partitions`` promises that a key never changes its partition; the target scan is then
-    pruned to the partitions the source touches.
+    pruned to the partitions the source touches. With ``buckets`` the table is laid out by
+    ``key_bucket`` first and each file sorted by key, and the scan is pruned by both.
     """
     keys = source if keys is None else keys
     rows, size = key_bytes(keys, key)
@@ -71,8 +99,18 @@ def merge_new_keys(source: DataFrame, path: str, key: str, partition_by: Sequenc
     target = table_if_exists(source.sparkSession, path)
     fresh = source
     if target is not None:
-        if stable_partitions:
+        if buckets:
+            target = same_buckets(target, keys, key, buckets)
+        elif stable_partitions:
             target = same_partitions(source, target, partition_by[0])
         fresh = unmatched(source, target, key, keys if size <= BROADCAST_BYTES else None)
-    write_table(fresh, path, partition_by, mode="append")
+    write_keyed(fresh, path, key, partition_by, buckets, mode="append")
     return rows
+
+
+def write_keyed(df: DataFrame, path: str, key: str, partition_by: Sequence[str] = (),
+                buckets: int | None = KEY_BUCKETS, mode: str = "overwrite") -> None:
+    """Write a table in the layout that merges prune by; without ``buckets`` just partitioned."""
+    if buckets:
+        df, partition_by = with_bucket(df, key, buckets), (BUCKET, *partition_by)
+    write_table(df, path, partition_by, mode, sort_by=[key] if buckets else [])

@@ -14,12 +14,11 @@ MOST_SUMS = 100_000
 
 def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str],
                    measures: Sequence[str], below: int | None = None) -> DataFrame:
-    """Adds ``before_<measure>``: the sum over the group's rows that sort earlier.
+    """Adds ``before_<measure>``: the sum over the group's rows that sort earlier. Runs jobs while it is planned.
 
     ``below`` drops the slices that start at that sum of the first measure or later, before
     anything of them is shuffled again; rows of the last slice kept may still reach it.
 
-
     ``group`` plus ``order`` must be unique, so that a range shuffle can cut even the largest
     group into slices of equal size. Each slice is summed, the sums of the slices before it are
     added up (a table as small as the number of slices), and only within a slice does a window
@@ -53,12 +52,16 @@ def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str],
 # Number of top lists between the tasks' own ones and the last; size of one written-out chunk.
 _LISTS = 256
 _CHUNK = 100_000
-# Up to this rank Spark keeps each task's own top rows before a window's shuffle.
-_RANK_SETTING, _RANK_DEFAULT = "spark.sql.optimizer.windowGroupLimitThreshold", "1000"
+# Largest limit that goes through top lists; up to this rank Spark keeps each task's own top rows
+# before a window's shuffle.
+LISTED = 1_000
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows in the order of ``order``, then of the remaining columns.
+    """The ``n`` rows that come first by ``order``, then by the remaining columns.
+
+    Which rows these are is the result; in which order they come out is not part of it. All columns
+    must be of types that can be ordered, so no maps. Large limits run jobs while they are planned.
 
     Small limits are a top-k in two steps: the tasks' own first ``n`` rows meet in a fixed number
     of lists before the last step sees them, so that step does not grow with the number of tasks.
@@ -68,11 +71,11 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     are written out: no task ever holds ``n`` rows.
     """
     total_order = [*order, *[name for name in df.columns if name not in order]]
-    if n <= int(df.sparkSession.conf.get(_RANK_SETTING, _RANK_DEFAULT)):
+    if n <= LISTED:
         lists = df.withColumn("_list", F.spark_partition_id() % _LISTS)
         place = F.row_number().over(Window.partitionBy("_list").orderBy(*total_order))
         firsts = lists.withColumn("_place", place).where(F.col("_place") <= n)
-        return firsts.select(*df.columns).orderBy(*total_order).limit(n)
+        return firsts.select(*df.columns).orderBy(*total_order).limit(n)  # one task, n rows per list
     lead = order[0]
     values = df.groupBy(lead).agg(F.count("*").alias("_copies"))
     needed = running_totals(values, [], [lead], ["_copies"], below=n)

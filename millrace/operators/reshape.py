@@ -8,13 +8,23 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence, measure: str,
-             prefix: str = "") -> DataFrame:
-    """Sum of ``measure`` per row value (down) and column value (across), missing cells 0.
+             prefix: str = "", rest: str | None = None) -> DataFrame:
+    """Sum of ``measure`` per row value (down) and column value (across), empty cells 0.
 
-    The column values are given, so no extra job looks for them and the schema is fixed.
+    The column values are given, so no extra job looks for them and the schema is fixed. What has
+    another column value, or none, is summed under ``rest``; without that name it is an error. A
+    missing row value stays a row of its own.
     """
-    grid = df.groupBy(rows).pivot(columns, list(values)).agg(F.sum(measure))
-    return grid.na.fill(0).withColumnsRenamed({str(value): f"{prefix}{value}" for value in values})
+    def cell(condition):
+        return F.coalesce(F.sum(F.when(condition, F.col(measure))), F.lit(0).cast("bigint"))
+
+    cells = [cell(F.col(columns) == value).alias(f"{prefix}{value}") for value in values]
+    listed = F.coalesce(F.col(columns).isin(list(values)), F.lit(False))
+    if rest is not None:
+        return df.groupBy(rows).agg(*cells, cell(~listed).alias(rest))
+    known = F.when(listed, F.col(columns)).otherwise(
+        F.raise_error(F.concat(F.lit(f"unlisted {columns}: "), F.coalesce(F.col(columns).cast("string"), F.lit("NULL")))))
+    return df.withColumn(columns, known).groupBy(rows).agg(*cells)
 
 
 def melt(df: DataFrame, ids: Sequence[str], measures: Sequence[str],

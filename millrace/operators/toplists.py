@@ -25,7 +25,11 @@ def only_top(df: DataFrame, top: DataFrame, key: str) -> DataFrame:
 
 
 def top_by_hour(hourly: DataFrame, k: int = 10, spec: EventSpec = INCIDENTS) -> DataFrame:
-    """The ``k`` largest types of an hourly table, one column per hour, largest type first."""
+    """The ``k`` largest types of an hourly table, one column per hour, largest type first.
+
+    Events without an hour have no column; they count towards no total here.
+    """
+    hourly = hourly.where(F.col("hour_of_day").isNotNull())
     totals = hourly.groupBy(spec.type).agg(F.sum(spec.count).alias(spec.count))
     chosen = only_top(hourly, largest(totals, spec.count, k, [spec.type]), spec.type)
     grid = crosstab(chosen, spec.type, "hour_of_day", range(24), spec.count, prefix="hour_")

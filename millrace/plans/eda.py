@@ -38,7 +38,7 @@ DOCUMENT_SCHEMA = (
 def _section(name: str, df: DataFrame, position: Column, label: Column,
              amount: Column, value: Column) -> DataFrame:
     return df.select(
-        F.lit(name).alias("section"), position.cast("int").alias("position"),
+        F.lit(name).alias("section"), position.cast("bigint").alias("position"),
         label.cast("string").alias("label"), amount.cast("bigint").alias("amount"),
         value.cast("double").alias("value"))
 

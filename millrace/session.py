@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Remembers a local session's own folder; the cluster's setting cannot be changed at run time.
 _OWN_SCRATCH = "spark.millrace.scratch"
+# The folder of the job that is running, below the shared one.
+_RUN = "spark.millrace.run"
+# Rows and bytes of a side that every executor gets.
+BROADCAST_ROWS, BROADCAST_BYTES = 10_000, 32 << 20
 
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -37,7 +44,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_SCRATCH, None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     root = tempfile.mkdtemp(prefix="millrace-")
     spark.conf.set(_OWN_SCRATCH, root)
@@ -45,8 +52,27 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A folder name not used before, below the shared folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A folder name not used before, below the running job's folder or the shared one."""
+    root = spark.conf.get(_RUN, None) or scratch_root(spark)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """While it lasts, everything stored on the way goes into one folder; at its end that folder is
+    removed, whether the job succeeded or not. What the job returns must be written by then."""
+    path = f"{scratch_root(spark)}/run-{uuid.uuid4().hex}"
+    before = spark.conf.get(_RUN, None)
+    spark.conf.set(_RUN, path)
+    try:
+        yield path
+    finally:
+        if before is None:
+            spark.conf.unset(_RUN)
+        else:
+            spark.conf.set(_RUN, before)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -62,6 +88,13 @@ def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Broadcast ``df`` if it has been counted to be small, else leave the join to the planner."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
+                       max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` if it has been measured to be small, else leave the join to the planner.
+
+    Runs a job while the plan is being built: it counts the rows and their size as text, and stops
+    reading past the largest number of rows.
+    """
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    rows, size = df.limit(max_rows + 1).agg(F.count("*"), size).first()
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df

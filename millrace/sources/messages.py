@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.calendar import wall_clock
-from millrace.spec import INCIDENTS, MESSAGE_SCHEMA, PAYLOAD_SCHEMA, EventSpec
+from millrace.spec import (
+    INCIDENTS, MESSAGE_SCHEMA, PAYLOAD_SCHEMA, RAW_ENVELOPE, TOPIC_BATCH, TOPIC_OPTIONS, EventSpec,
+)
+
+# Bytes of message files in a micro-batch; at least one file is read.
+BATCH_BYTES = 1 << 30
 
 
 def to_messages(payload: DataFrame, spec: EventSpec = INCIDENTS) -> DataFrame:
@@ -36,7 +41,7 @@ def publish(messages: DataFrame, servers: str, topic: str) -> None:
 
 
 def kafka_messages(spark: SparkSession, servers: str, topic: str,
-                   per_trigger: int = 200_000) -> DataFrame:
+                   per_trigger: int = TOPIC_BATCH) -> DataFrame:
     """Stream of a topic from its earliest offset, bounded per micro-batch.
 
     Needs the Kafka connector on the classpath.
@@ -44,21 +49,20 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str,
     return (
         spark.readStream.format("kafka")
         .options(**{
+            **TOPIC_OPTIONS,
             "kafka.bootstrap.servers": servers,
             "subscribe": topic,
-            "startingOffsets": "earliest",
-            "failOnDataLoss": "false",
             "maxOffsetsPerTrigger": str(per_trigger),
         })
         .load()
     )
 
 
-def file_messages(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
-    """The same stream from message files."""
+def file_messages(spark: SparkSession, path: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """The same stream from message files, bounded by their bytes per micro-batch."""
     return (
         spark.readStream.schema(MESSAGE_SCHEMA)
-        .option("maxFilesPerTrigger", files_per_trigger)
+        .option("maxBytesPerTrigger", batch_bytes)
         .parquet(path)
     )
 
@@ -68,15 +72,11 @@ def decode_messages(messages: DataFrame, payload_schema: str = PAYLOAD_SCHEMA) -
 
     A message that is no valid JSON keeps its envelope and gets NULL payload fields.
     """
-    decoded = messages.select(
-        F.col("key").cast("string").alias("kafka_key"),
-        F.col("topic").alias("kafka_topic"),
-        F.col("partition").alias("kafka_partition"),
-        F.col("offset").alias("kafka_offset"),
-        F.col("timestamp").alias("kafka_timestamp"),
-        F.from_json(F.col("value").cast("string"), payload_schema).alias("body"),
-    )
-    flat = decoded.select("kafka_key", "kafka_topic", "kafka_partition", "kafka_offset",
-                          "kafka_timestamp", "body.*")
+    envelope = [
+        (F.col(name).cast("string") if name == "key" else F.col(name)).alias(stored)
+        for name, stored in RAW_ENVELOPE.items()
+    ]
+    body = F.from_json(F.col("value").cast("string"), payload_schema).alias("body")
+    flat = messages.select(*envelope, body).select(*RAW_ENVELOPE.values(), "body.*")
     timed = flat.withColumn("event_time", wall_clock(F.col("event_time_ms")))
     return timed.withColumn("event_date", F.to_date("event_time"))

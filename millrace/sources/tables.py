@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from math import ceil
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Data per shuffle task, and the most tasks the driver should have to keep track of.
+# Data per shuffle task.
 SHUFFLE_TASK_BYTES = 128 * 1024 * 1024
-MOST_SHUFFLE_TASKS = 50_000
+_SHUFFLE_TASKS = "spark.sql.shuffle.partitions"
 _NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -25,15 +26,23 @@ def rebalanced(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                mode: str = "overwrite") -> None:
-    """Full rewrite by default; partitioned tables get few, even files per partition."""
-    laid_out = rebalanced(df, partition_by) if partition_by else df
+                mode: str = "overwrite", sort_by: Sequence[str] = (), even: bool = False) -> None:
+    """Full rewrite by default; partitioned tables get few, even files per partition.
+
+    ``even`` evens out the files of a table without partitions too, at the price of a shuffle.
+    ``sort_by`` orders each file, so that statistics on those columns let readers skip most of it.
+    """
+    laid_out = rebalanced(df, partition_by) if partition_by or even else df
+    if sort_by:
+        laid_out = laid_out.sortWithinPartitions(*partition_by, *sort_by)
     laid_out.write.partitionBy(*partition_by).mode(mode).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None,
-               merge_schema: bool = False) -> DataFrame:
-    """``merge_schema`` unites the columns of all files; missing ones read as NULL."""
+               merge_schema: bool = True) -> DataFrame:
+    """The columns of all files united, missing ones NULL: a column that a later append brought is
+    there for the next reader. Without ``merge_schema`` one file's columns stand for all, which
+    saves reading every footer."""
     reader = spark.read.option("mergeSchema", merge_schema)
     return (reader.schema(schema) if schema else reader).parquet(path)
 
@@ -41,7 +50,7 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None,
 def table_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None before its first commit."""
     try:
-        return spark.read.parquet(path)
+        return read_table(spark, path)
     except AnalysisException as missing:
         if missing.getCondition() in _NO_TABLE:
             return None
@@ -58,7 +67,8 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def freshness(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Latest value of each table's time column."""
+    """Latest value of each table's time column: the age of the data, at the price of reading that
+    column. ``last_commits`` tells the age of the table from the listing alone."""
     latest = [
         df.agg(F.max(time).alias("latest")).select(F.lit(name).alias("table_name"), "latest")
         for name, (df, time) in tables.items()
@@ -80,29 +90,39 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def size_shuffles(spark: SparkSession, path: str, growth: float = 4.0) -> int:
-    """Raise the number of shuffle partitions to what one shuffle of the whole table needs.
+def last_commits(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """Files, bytes and time of the last commit per table, without reading any."""
+    found = [file_inventory(spark, path).select(F.lit(name).alias("table_name"), "*")
+             for name, path in paths.items()]
+    return reduce(DataFrame.unionByName, found)
+
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, path: str, growth: float = 4.0) -> Iterator[int]:
+    """While it lasts, as many shuffle partitions as one shuffle of the whole table needs.
+
+    Only for work that shuffles the table's rows: aggregates combine before they shuffle.
     ``growth`` is the size of shuffled rows over that of compressed columns. Adaptive execution
-    merges what turns out too many but cannot divide what is too few. Returns the number in force.
+    merges what turns out too many but cannot divide what is too few.
     """
     wanted = ceil(file_inventory(spark, path).first()["bytes"] * growth / SHUFFLE_TASK_BYTES)
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > current:
-        current = max(current, min(wanted, MOST_SHUFFLE_TASKS))
-        spark.conf.set("spark.sql.shuffle.partitions", current)
-    return current
+    before = spark.conf.get(_SHUFFLE_TASKS)
+    spark.conf.set(_SHUFFLE_TASKS, max(wanted, int(before)))
+    try:
+        yield max(wanted, int(before))
+    finally:
+        spark.conf.set(_SHUFFLE_TASKS, before)
 
 
 def compact(spark: SparkSession, path: str, target: str,
-            partition_by: Sequence[str] = ()) -> DataFrame:
+            partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
     """Rewrite the many small files below ``path`` into few even ones below ``target``.
 
     The old files stay untouched until the caller points readers at the new folder, so a
     failure on the way loses nothing. Both row counts come from file footers.
     """
-    source = spark.read.parquet(path)
-    write_table(source, target, partition_by, mode="errorifexists")
+    source = read_table(spark, path)
+    write_table(source, target, partition_by, mode="errorifexists", sort_by=sort_by, even=True)
     compacted = spark.read.schema(source.schema).parquet(target)
     before, after = source.count(), compacted.count()
     if before != after:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.lenient import (
@@ -13,31 +15,55 @@ from millrace.spec import SOURCE_COLUMNS
 # A header line, quotes doubled inside quoted fields, spaces kept.
 _FORMAT = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False,
            "ignoreTrailingWhiteSpace": False}
+# With a schema, headers are compared with it, and one that differs is an error.
+_CHECKED = {**_FORMAT, "enforceSchema": False}
+# Bytes of source files in a micro-batch; at least one file is read.
+BATCH_BYTES = 1 << 30
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _all_text(columns: Sequence[str]) -> str:
+    return ", ".join(f"{_quoted(name)} STRING" for name in columns)
+
 
+def _by_name(files: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The wanted columns wherever they stand; those the files lack as NULL."""
+    return files.select(*[
+        F.col(_quoted(name)) if name in files.columns else F.lit(None).cast("string").alias(name)
+        for name in columns])
 
-def _all_text(columns: tuple[str, ...]) -> str:
-    return ", ".join(f"`{name}` STRING" for name in columns)
 
+def _header(spark: SparkSession, path: str) -> list[str]:
+    """Column names as the first file's first line has them; no other line is read."""
+    return spark.read.options(**_FORMAT).csv(path).columns
 
-def read_source(spark: SparkSession, path: str, columns: tuple[str, ...] = SOURCE_COLUMNS,
+
+def read_source(spark: SparkSession, path: str, columns: Sequence[str] = SOURCE_COLUMNS,
                 multi_line: bool = False) -> DataFrame:
     """Header-led delimited files, every column as text: nothing is inferred, nothing is lost.
 
+    Columns are found by their names in the header: their order does not matter, further ones are
+    left out, missing ones are NULL. All files of a folder must have the same header; another one
+    is an error when its file is read.
+
     ``multi_line`` admits line breaks inside quoted fields; such files cannot be split, so it is
     off unless the data needs it.
     """
-    reader = spark.read.schema(_all_text(columns)).options(**_FORMAT, multiLine=multi_line)
-    return reader.csv(path)
+    reader = spark.read.schema(_all_text(_header(spark, path)))
+    return _by_name(reader.options(**_CHECKED, multiLine=multi_line).csv(path), columns)
 
 
-def stream_source(spark: SparkSession, path: str, columns: tuple[str, ...] = SOURCE_COLUMNS,
-                  files_per_trigger: int = 100) -> DataFrame:
-    """The same files as a stream: new files are picked up as they land."""
-    return (
-        spark.readStream.schema(_all_text(columns))
-        .options(**_FORMAT, maxFilesPerTrigger=files_per_trigger)
-        .csv(path)
-    )
+def stream_source(spark: SparkSession, path: str, columns: Sequence[str] = SOURCE_COLUMNS,
+                  batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """The same files as a stream, so many bytes at a time: new files are picked up as they land.
+
+    The header is read when the stream starts, so one file must be there.
+    """
+    reader = spark.readStream.schema(_all_text(_header(spark, path)))
+    return _by_name(reader.options(**_CHECKED, maxBytesPerTrigger=batch_bytes).csv(path), columns)
 
 
 def with_origin(files: DataFrame) -> DataFrame:

@@ -5,6 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 
+# --- Fixed values: column roles ---------------------------------------------------------------
+
+# Columns that a clean row must have; what makes a version of a key newer, later entries break ties.
+REQUIRED = ("id", "primary_type", "district", "latitude", "longitude")
+RECENCY = ("event_time", "kafka_offset", "ingestedAt")
+
+# ----------------------------------------------------------------------------------------------
+
+
 @dataclass(frozen=True)
 class EventSpec:
     """Binds the roles the operators need to the columns of one event table."""
@@ -15,9 +24,8 @@ class EventSpec:
     time: str = "event_time"
     flags: tuple[str, ...] = ("arrest", "domestic")
     coordinates: tuple[str, ...] = ("latitude", "longitude")
-    required: tuple[str, ...] = ("id", "primary_type", "district", "latitude", "longitude")
-    # Newest wins when a key arrives more than once; later entries break ties.
-    recency: tuple[str, ...] = ("event_time", "kafka_offset", "ingestedAt")
+    required: tuple[str, ...] = REQUIRED
+    recency: tuple[str, ...] = RECENCY
     count: str = "crime_count"
 
     @property
@@ -50,6 +58,16 @@ MESSAGE_SCHEMA = (
     "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
 )
 
+# The envelope's columns in the raw table, by their names in a message.
+RAW_ENVELOPE = {
+    "key": "kafka_key", "topic": "kafka_topic", "partition": "kafka_partition",
+    "offset": "kafka_offset", "timestamp": "kafka_timestamp",
+}
+
+# How a topic is read: from its start, gaps tolerated, so many messages to a micro-batch.
+TOPIC_OPTIONS = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
+TOPIC_BATCH = 200_000
+
 # Columns of the cleaned table, in order.
 SILVER_COLUMNS = (
     "id", "case_number", "primary_type", "description", "location_description",

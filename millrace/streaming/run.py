@@ -9,10 +9,15 @@ INGEST_SECONDS = 10
 UPSERT_SECONDS = 20
 
 
-def drain(writer: DataStreamWriter, timeout: int = 600) -> None:
-    """Process everything there is now, in bounded batches, then stop."""
+def drain(writer: DataStreamWriter, timeout: int | None = None) -> None:
+    """Process everything there is now, in bounded batches, then stop.
+
+    ``timeout`` is for callers that would rather fail than wait; without it the input decides.
+    """
     query = writer.trigger(availableNow=True).start()
-    if not query.awaitTermination(timeout):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream still running after {timeout} s")
 

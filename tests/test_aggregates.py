@@ -142,6 +142,14 @@ def test_crosstab_fills_gaps(spark):
     assert [tuple(r) for r in grid.collect()] == [("x", 5, 0, 0), ("y", 0, 7, 0)]
 
 
+def test_crosstab_keeps_or_refuses_unlisted_values(spark):
+    df = spark.createDataFrame([("x", 1, 5), (None, 1, 2), ("x", 9, 3), ("x", None, 4)], "r STRING, c INT, n BIGINT")
+    grid = reshape.crosstab(df, "r", "c", [1], "n", rest="other").collect()
+    assert {tuple(r) for r in grid} == {("x", 5, 7), (None, 2, 0)}
+    with pytest.raises(Exception, match="unlisted c"):
+        reshape.crosstab(df, "r", "c", [1], "n").collect()
+
+
 @pytest.mark.parametrize("partitions, most_sums", [(1, 100_000), (7, 100_000), (7, 0)])
 def test_running_totals_with_a_hot_group(spark, monkeypatch, partitions, most_sums):
     monkeypatch.setattr(ranking, "MOST_SUMS", most_sums)

@@ -40,11 +40,30 @@ def test_source_file_to_payload(spark, tmp_path):
     assert [f.split()[0] for f in PAYLOAD_SCHEMA.split(", ")] == stamped.columns
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Case Number,Remark,ID\nHZ1,x,7\n")
+    raw = text.read_source(spark, str(tmp_path))
+    assert tuple(raw.columns) == SOURCE_COLUMNS
+    row = raw.first()
+    assert (row["ID"], row["Case Number"], row["Ward"]) == ("7", "HZ1", None)
+    # A file with another header must not be read by position.
+    (tmp_path / "b.csv").write_text("ID,Remark,Case Number\n8,x,HZ2\n")
+    with pytest.raises(Exception, match="CSV header"):
+        text.read_source(spark, str(tmp_path)).collect()
+
+
+def test_white_space_around_flags(spark):
+    from millrace.functions.lenient import lenient_bool
+    spellings = ["\ttrue", "YES\n", " 1\r", "tr ue", "\x0b", None]
+    rows = spark.createDataFrame([(s,) for s in spellings], "s STRING").select(lenient_bool(F.col("s")).alias("b"))
+    assert [r["b"] for r in rows.collect()] == [True, True, True, False, False, False]
+
+
 def test_source_stream_equals_batch(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for n in range(3):
         write_source(tmp_path / "in" / f"{n}.csv", [{**SOURCE_ROW, "ID": str(n * 10 + i)} for i in range(5)])
-    stream = text.parse_source(text.stream_source(spark, str(tmp_path / "in"), files_per_trigger=1))
+    stream = text.parse_source(text.stream_source(spark, str(tmp_path / "in"), batch_bytes=1))
     out = str(tmp_path / "out")
     drain(stream.writeStream.format("parquet").option("path", out)
           .option("checkpointLocation", str(tmp_path / "cp")))

@@ -24,11 +24,13 @@ def test_source_to_predictions(spark, tmp_path):
     job("ingest")
     job("clean")
     table = spark.read.parquet(f"{root}/clean")
-    assert table.count() == 300 and set(table.columns) == set(SILVER_COLUMNS)
+    assert table.count() == 300 and set(table.columns) == {*SILVER_COLUMNS, "key_bucket"}
     # A second delivery changes nothing, streamed or rebuilt.
     job("produce", "--source", str(source), "--most", "50")
     job("ingest")
-    assert spark.read.parquet(f"{root}/raw").count() == 350
+    raw = spark.read.parquet(f"{root}/raw")
+    # Offsets go on after the first delivery's.
+    assert raw.count() == 350 and raw.select("kafka_offset").distinct().count() == 350
     job("clean")
     assert spark.read.parquet(f"{root}/clean").count() == 300
     job("rebuild")
@@ -42,7 +44,7 @@ def test_source_to_predictions(spark, tmp_path):
     assert spark.read.parquet(f"{root}/gold/eda_overview").count() == 5
     job("features")
     assert tuple(spark.read.parquet(f"{root}/gold/feature_view").columns) == FEATURE_VIEW_COLUMNS
-    job("train", "--models", "decision_tree", "naive_bayes")
+    job("train", "--models", "decision_tree", "naive_bayes", "--partitions", "4")
     assert spark.read.parquet(f"{root}/runs").count() == 2
     job("predict")
     scored = spark.read.parquet(f"{root}/gold/predictions")

@@ -64,6 +64,33 @@ def test_stable_partitions_prune_the_target(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(path).count() == 51
 
 
+def test_missing_keys_are_merged_once(spark, tmp_path):
+    path, batch = str(tmp_path / "t"), keyed(spark, [(None, "a", 1), (1, "a", 1)])
+    for _ in range(3):
+        merge.merge_new_keys(batch, path, "k", ["p"], buckets=4)
+    assert spark.read.parquet(path).count() == 2
+    plain = str(tmp_path / "plain")
+    for _ in range(3):
+        merge.merge_new_keys(batch, plain, "k")
+    assert spark.read.parquet(plain).count() == 2
+
+
+@pytest.mark.parametrize("limit", [merge.BROADCAST_BYTES, 0])
+def test_key_buckets_prune_the_target(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(merge, "BROADCAST_BYTES", limit)
+    path = str(tmp_path / "t")
+    merge.merge_new_keys(keyed(spark, [(n, "a", n % 3) for n in range(200)]), path, "k", ["p"], buckets=16)
+    batch = keyed(spark, [(7, "b", 0), (500, "b", 1)])
+    pruned = merge.same_buckets(spark.read.parquet(path), batch, "k", 16)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(key_bucket" in plan or "PartitionFilters: [key_bucket" in plan
+    assert "GreaterThanOrEqual(k,7)" in plan and "LessThanOrEqual(k,500)" in plan
+    # A key whose other columns have changed is found all the same: its bucket does not change.
+    merge.merge_new_keys(batch, path, "k", ["p"], buckets=16)
+    table = spark.read.parquet(path)
+    assert table.count() == 201 and table.where("v = 'b'").first()["k"] == 500
+
+
 def payload(spark, ids, note, hour=10):
     rows = [(i, f"c{i}", "T", note, "L", True, False, 1, 2, 3, 4, "F", 2024, 1.0, 2.0,
              int(datetime(2024 + i % 2, 1, 1 + i % 3, hour).timestamp() * 1000), i) for i in ids]

@@ -50,17 +50,61 @@ def test_compaction(spark, tmp_path):
 
 
 def test_shuffles_are_sized_by_the_table(spark, tmp_path, monkeypatch):
-    tables.write_table(spark.range(50_000), str(tmp_path / "t"))
+    path = str(tmp_path / "t")
+    tables.write_table(spark.range(50_000), path)
     setting = "spark.sql.shuffle.partitions"
     before = spark.conf.get(setting)
-    try:
-        assert tables.size_shuffles(spark, str(tmp_path / "t")) == int(before)
-        monkeypatch.setattr(tables, "SHUFFLE_TASK_BYTES", 20_000)
-        assert int(before) < tables.size_shuffles(spark, str(tmp_path / "t")) == int(spark.conf.get(setting))
-        monkeypatch.setattr(tables, "SHUFFLE_TASK_BYTES", 1)
-        assert tables.size_shuffles(spark, str(tmp_path / "t")) == tables.MOST_SHUFFLE_TASKS
-    finally:
-        spark.conf.set(setting, before)
+    with tables.sized_shuffles(spark, path) as number:
+        assert number == int(before)
+    monkeypatch.setattr(tables, "SHUFFLE_TASK_BYTES", 1)
+    with pytest.raises(KeyError), tables.sized_shuffles(spark, path) as number:
+        assert number == int(spark.conf.get(setting)) > 100_000  # no cap
+        raise KeyError
+    assert spark.conf.get(setting) == before
+
+
+def test_compaction_without_partitions(spark, tmp_path):
+    source, target = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.range(4000).repartition(100).write.parquet(source)
+    assert len(files_below(source)) == 100
+    assert tables.compact(spark, source, target).count() == 4000
+    assert len(files_below(target)) == 1
+
+
+def test_last_commits_come_from_the_listing(spark, tmp_path):
+    paths = {name: str(tmp_path / name) for name in ("a", "b")}
+    for path in paths.values():
+        tables.write_table(spark.range(5).coalesce(1), path)
+    rows = {r["table_name"]: r for r in tables.last_commits(spark, paths).collect()}
+    assert set(rows) == {"a", "b"} and rows["a"]["files"] == 1
+    assert rows["a"]["last_commit"] <= rows["b"]["last_commit"]
+
+
+def test_a_new_column_shows_in_a_plain_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_table(spark.range(2), path, mode="append")
+    tables.write_table(spark.range(2, 4).withColumn("x", F.lit("a")), path, mode="append")
+    assert sorted((r["id"], r["x"]) for r in tables.read_table(spark, path).collect()) == [
+        (0, None), (1, None), (2, "a"), (3, "a")]
+
+
+def test_a_run_clears_its_folder(spark):
+    with pytest.raises(KeyError), session.scratch_run(spark) as folder:
+        stored = session.materialize(spark.range(3), "inside")
+        assert stored.count() == 3 and os.listdir(folder)
+        raise KeyError
+    assert not os.path.exists(folder)
+    assert not session.scratch_path(spark, "x").startswith(folder)
+
+
+def test_broadcasts_are_bounded_in_rows_and_bytes(spark):
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().logical().toString()
+
+    wide = spark.range(3).withColumn("text", F.repeat(F.lit("x"), 1000))
+    assert hinted(session.broadcast_if_small(wide))
+    assert not hinted(session.broadcast_if_small(wide, max_rows=2))
+    assert not hinted(session.broadcast_if_small(wide, max_bytes=2000))
 
 
 def test_overwrite_replaces_the_schema(spark, tmp_path):
@@ -100,8 +144,9 @@ def test_scratch_folder_is_the_cluster_setting(spark, monkeypatch):
         def __init__(self, **values):
             self.conf = Conf(**values)
 
-    with pytest.raises(RuntimeError):
-        session.scratch_root(Fake(spark_master="yarn"))
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            session.scratch_root(Fake(spark_master=master))
     local = Fake(spark_master="local[2]")
     assert session.scratch_root(local) == session.scratch_root(local)
 

@@ -21,9 +21,12 @@ def lenient_parse(spark, sf):
 
 
 def src_csv(spark, sf):
-    """The text written as delimited files, read back and parsed."""
+    """The text written as delimited files, its columns in another order and one more among them,
+    read back by the header's names and parsed."""
     path = scratch_path(spark, "source-csv")
-    text.write_result(source_text(spark, sf), path)
+    rows = source_text(spark, sf)
+    shuffled = [*reversed(rows.columns[5:]), "Remark", *rows.columns[:5]]
+    text.write_result(rows.withColumn("Remark", F.lit("none, so far")).select(*shuffled), path)
     return text.parse_source(text.read_source(spark, path))
 
 
@@ -31,8 +34,9 @@ def admit_rows(spark, sf):
     return text.admit(lenient_parse(spark, sf))
 
 
-JSON_FIELDS = ("id", "case_number", "primary_type", "description", "arrest", "district", "ward",
-               "latitude", "event_time_ms")
+JSON_FIELDS = (
+    "id", "case_number", "primary_type", "description", "location_description", "arrest", "domestic", "beat",
+    "district", "ward", "community_area", "fbi_code", "year", "latitude", "longitude", "event_time_ms", "ingestedAt")
 
 
 def src_to_json(spark, sf):
@@ -51,9 +55,13 @@ def _quoted(name: str) -> str:
 SRC_TO_JSON = f"""WITH {PAYLOAD}
 SELECT CAST(id AS VARCHAR) AS key, {_json_sql({
     "id": "id", "case_number": _quoted("case_number"), "primary_type": _quoted("primary_type"),
-    "description": _quoted("description"), "arrest": "CAST(arrest AS VARCHAR)", "district": "district",
-    "ward": "COALESCE(CAST(ward AS VARCHAR), 'null')", "latitude": "CAST(latitude AS VARCHAR)",
-    "event_time_ms": "epoch_ms(date_trunc('millisecond', event_time))"})} AS value FROM payload"""
+    "description": _quoted("description"), "location_description": _quoted("location_description"),
+    "arrest": "CAST(arrest AS VARCHAR)", "domestic": "CAST(domestic AS VARCHAR)", "beat": "beat",
+    "district": "district", "ward": "COALESCE(CAST(ward AS VARCHAR), 'null')",
+    "community_area": "COALESCE(CAST(community_area AS VARCHAR), 'null')", "fbi_code": _quoted("fbi_code"),
+    "year": "year", "latitude": "CAST(latitude AS VARCHAR)", "longitude": "CAST(longitude AS VARCHAR)",
+    "event_time_ms": "epoch_ms(date_trunc('millisecond', event_time))", "ingestedAt": '"ingestedAt"'})} AS value
+FROM payload"""
 
 
 def topk_cap(spark, sf):
@@ -120,6 +128,23 @@ WHERE rk = 1"""
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 
 
+def stamped_rows(spark, sf):
+    """Admitted rows with the time of ingestion: one and the same for all rows of a run."""
+    stamped = text.stamp_ingest(admit_rows(spark, sf))
+    return stamped.groupBy("primary_type").agg(
+        F.count("*").alias("n"), F.count_distinct("ingestedAt").alias("times"))
+
+
+def origin_rows(spark, sf):
+    """Delimited files with the file each row came from: how many rows have one, by its ending."""
+    path = scratch_path(spark, "source-csv")
+    text.write_result(source_text(spark, sf).select("ID", "District"), path)
+    rows = text.with_origin(text.read_source(spark, path, ("ID", "District")))
+    known = F.substring_index("source_file", ".", -1)
+    return rows.groupBy("District", known.alias("ending"), F.col("source_time").isNotNull().alias("timed")).agg(
+        F.count("*").alias("n"))
+
+
 def dedup_latest(spark, sf):
     """The latest shipment of each order line; lines do occur more than once."""
     return newest_per_key(table(spark, sf, "lineitem"), LINE_KEY, ["l_shipdate"])
@@ -136,6 +161,11 @@ _ADMITTED = "SELECT * FROM parsed WHERE event_time_ms IS NOT NULL AND id IS NOT
 QUERIES = {
     "lenient_parse": Query(lenient_parse, f"WITH {SOURCE_PARSED} SELECT * FROM parsed"),
     "src_csv": Query(src_csv, f"WITH {SOURCE_PARSED} SELECT * FROM parsed"),
+    "stamped_rows": Query(stamped_rows, f"""WITH {SOURCE_PARSED}
+SELECT primary_type, COUNT(*) AS n, 1 AS times FROM ({_ADMITTED}) GROUP BY primary_type"""),
+    "origin_rows": Query(origin_rows, f"""WITH {PAYLOAD}
+SELECT lpad(CAST(district AS VARCHAR), 3, '0') AS "District", 'csv' AS ending, true AS timed, COUNT(*) AS n
+FROM payload GROUP BY district"""),
     "admit_rows": Query(admit_rows, f"WITH {SOURCE_PARSED} {_ADMITTED}"),
     "src_to_json": Query(src_to_json, SRC_TO_JSON),
     "topk_cap": Query(topk_cap, f"""WITH {SOURCE_PARSED}

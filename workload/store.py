@@ -8,14 +8,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.clean import newest_per_key
 from millrace.operators.evaluation import confusion_counts, per_class_metrics
-from millrace.operators.merge import merge_new_keys
+from millrace.operators.merge import BUCKET, merge_new_keys
 from millrace.plans.gold import refresh_gold
+from millrace.plans.silver import rebuild_silver
 from millrace.session import materialize, scratch_path
 from millrace.sources import tables, text
+from millrace.spec import SILVER_COLUMNS
 from workload import Query
 from workload.aggregate import rounded
-from workload.bindings import INCIDENTS, PAYLOAD, incidents, payload, table
+from workload.bindings import INCIDENTS, PAYLOAD, incidents, payload, raw_events, table
 from workload.evaluate import PER_CLASS, rule_predictions
+from workload.ingest import SILVER_CLEAN
+
 
 def _lines(spark, sf):
     # Line numbers have one digit, so this number is unique per order line.
@@ -31,8 +35,8 @@ def merge_insert_only(spark, sf):
     lines = _lines(spark, sf)
     for batch in (lines.where("l_linestatus = 'F'"), lines):
         newest = materialize(newest_per_key(batch, "line_id", ["l_shipdate"]), "newest-lines")
-        merge_new_keys(newest, path, "line_id", ["ship_year"])
-    return tables.read_table(spark, path)
+        merge_new_keys(newest, path, "line_id", ["ship_year"], buckets=8)
+    return tables.read_table(spark, path).drop(BUCKET)
 
 
 def _newest(condition: str) -> str:
@@ -92,18 +96,39 @@ def table_freshness(spark, sf):
 
 
 def gold_refresh(spark, sf):
-    """All aggregate tables written and read back: their rows, and the events counted in each."""
+    """All aggregate tables written and read back: every row's keys and measures."""
     written = refresh_gold(spark, incidents(spark, sf), scratch_path(spark, "gold"))
-    sizes = [df.agg(F.count("*").alias("row_count"), F.sum("crime_count").alias("events"))
-               .select(F.lit(name).alias("table_name"), "row_count", "events")
-             for name, df in written.items()]
-    return reduce(DataFrame.unionByName, sizes)
-
-
-GOLD = " UNION ALL ".join(f"""SELECT '{name}' AS table_name,
-  COUNT(DISTINCT ({keys})) AS row_count, COUNT(*) AS events FROM incidents""" for name, keys in (
-    ("type_stats", "primary_type"), ("district_stats", "district"),
-    ("hourly_stats", "hour_of_day || ' ' || primary_type")))
+    shown = {
+        "type_stats": (["primary_type"], F.col("arrest_count"), F.col("frequency_bucket")),
+        "district_stats": (["district"], F.col("unique_types"), F.col("top_primary_type")),
+        "hourly_stats": (["hour_of_day", "primary_type"], F.lit(None), F.lit(None)),
+    }
+    parts = [written[name].select(
+        F.lit(name).alias("table_name"), F.concat_ws(" ", *map(F.col, keys)).alias("keys"), "crime_count",
+        number.cast("bigint").alias("measure"), label.cast("string").alias("label"))
+        for name, (keys, number, label) in shown.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+GOLD = """, typed AS (SELECT primary_type, COUNT(*) AS n, COUNT(*) FILTER (WHERE arrest) AS arrests
+  FROM incidents GROUP BY primary_type),
+cells AS (SELECT district, primary_type, COUNT(*) AS n, ROW_NUMBER() OVER (PARTITION BY district
+  ORDER BY COUNT(*) DESC, primary_type) AS rk FROM incidents GROUP BY district, primary_type)
+SELECT 'type_stats' AS table_name, primary_type AS keys, n AS crime_count, arrests AS measure,
+       CASE WHEN n >= 100000 THEN 'very_high' WHEN n >= 10000 THEN 'high'
+            WHEN n >= 1000 THEN 'medium' ELSE 'low' END AS label FROM typed
+UNION ALL SELECT 'district_stats', CAST(district AS VARCHAR), CAST(SUM(n) AS BIGINT), COUNT(primary_type),
+       MAX(CASE WHEN rk = 1 THEN primary_type END) FROM cells GROUP BY district
+UNION ALL SELECT 'hourly_stats', hour_of_day || ' ' || primary_type, COUNT(*), NULL, NULL
+FROM incidents GROUP BY hour_of_day, primary_type"""
+
+
+def silver_rebuild(spark, sf):
+    """The raw table written to files, rebuilt into the clean table, read back: newest version wins."""
+    raw, clean = scratch_path(spark, "raw"), scratch_path(spark, "clean")
+    tables.write_table(raw_events(spark, sf), raw, ["event_date"])
+    rebuild_silver(spark, raw, clean)
+    return tables.read_table(spark, clean).select(*SILVER_COLUMNS)
 
 
 def csv_roundtrip(spark, sf):
@@ -126,6 +151,7 @@ SELECT id, district, CASE WHEN NOT arrest THEN ward END AS ward FROM payload""")
     "table_freshness": Query(table_freshness, " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, MAX({time}) AS latest FROM {name}"
         for name, time in TIMES.items())),
-    "gold_refresh": Query(gold_refresh, f"WITH {INCIDENTS} {GOLD}"),
+    "gold_refresh": Query(gold_refresh, f"WITH {INCIDENTS}" + GOLD),
+    "silver_rebuild": Query(silver_rebuild, SILVER_CLEAN),
     "csv_roundtrip": Query(csv_roundtrip, PER_CLASS),
 }

@@ -2,26 +2,20 @@
 
 from __future__ import annotations
 
-from math import ceil
-
 from pyspark.sql import functions as F
 
 from millrace.session import scratch_path
 from millrace.sources.messages import file_messages, to_messages, with_envelope
-from millrace.sources.tables import file_inventory, read_table
-from millrace.spec import SILVER_COLUMNS
+from millrace.sources.tables import read_table
+from millrace.spec import PAYLOAD_SCHEMA, SILVER_COLUMNS
 from millrace.streaming.ingest import ingest_writer
 from millrace.streaming.run import drain
 from millrace.streaming.upsert import raw_table_stream, upsert_writer
 from workload import Query
 from workload.bindings import PAYLOAD, _CALENDAR_SQL, payload_millis
 
-ROUNDS = 3
-
-
-def _per_trigger(spark, path: str) -> int:
-    """Files per micro-batch that drain the folder in a few rounds, at any table size."""
-    return ceil(file_inventory(spark, path).first()["files"] / ROUNDS)
+# Bytes of a micro-batch, small enough for several of them here.
+BATCH_BYTES = 4 << 20
 
 
 def _sent_messages(spark, sf) -> str:
@@ -39,7 +33,7 @@ def _sent_messages(spark, sf) -> str:
 
 def _bronze(spark, sf) -> str:
     sent, path = _sent_messages(spark, sf), scratch_path(spark, "bronze")
-    stream = file_messages(spark, sent, _per_trigger(spark, sent))
+    stream = file_messages(spark, sent, BATCH_BYTES)
     drain(ingest_writer(stream, path, scratch_path(spark, "bronze-checkpoint")))
     return path
 
@@ -51,11 +45,30 @@ def stream_bronze(spark, sf):
 
 def stream_silver(spark, sf):
     raw, path = _bronze(spark, sf), scratch_path(spark, "silver")
-    stream = raw_table_stream(spark, raw, _per_trigger(spark, raw))
+    stream = raw_table_stream(spark, raw, BATCH_BYTES)
     drain(upsert_writer(stream, path, scratch_path(spark, "silver-checkpoint")))
     return read_table(spark, path).select(*SILVER_COLUMNS)
 
 
+def stream_growth(spark, sf):
+    """A column more from the second delivery on: events of a flag are sent first, without it; then all others with it.
+    The raw table, the stream that reads it, and the clean table take it in as it comes."""
+    raw, clean = scratch_path(spark, "raw"), scratch_path(spark, "clean")
+    rows = payload_millis(spark, sf)
+    fields = PAYLOAD_SCHEMA.split(", ")
+    waves = ((rows.where("arrest").drop("ward"), [f for f in fields if not f.startswith("ward ")]),
+             (rows.where("NOT arrest"), fields))
+    sent, checkpoints = scratch_path(spark, "growth-messages"), scratch_path(spark, "growth-checkpoint")
+    for wave, schema in waves:
+        key = F.col("key").cast("bigint")
+        enveloped = with_envelope(to_messages(wave), "incidents", key % 4, key, F.lit("2024-01-01"))
+        enveloped.write.mode("append").parquet(sent)
+        drain(ingest_writer(file_messages(spark, sent, BATCH_BYTES), raw, f"{checkpoints}/raw",
+                            payload_schema=", ".join(schema)))
+        drain(upsert_writer(raw_table_stream(spark, raw, BATCH_BYTES), clean, f"{checkpoints}/clean"))
+    return read_table(spark, clean).select("id", "primary_type", "arrest", "ward", "event_year")
+
+
 _MILLIS = f"{PAYLOAD}, sent AS (SELECT * REPLACE (date_trunc('millisecond', event_time) AS event_time) FROM payload)"
 _COLUMNS = ", ".join(name for name in SILVER_COLUMNS if name not in (
     "event_date", "event_year", "hour_of_day", "day_of_week", "month"))
@@ -67,5 +80,8 @@ SELECT CAST(id AS VARCHAR) AS kafka_key, 'incidents' AS kafka_topic,
        1704067200000 + id AS kafka_ms, {_COLUMNS}, epoch_ms(event_time) AS event_time_ms,
        CAST(event_time AS DATE) AS event_date
 FROM sent, (VALUES (0), (1)) AS waves(wave) WHERE wave = 0 OR id % 3 = 0"""),
+    "stream_growth": Query(stream_growth, f"""WITH {_MILLIS}
+SELECT id, primary_type, arrest, CASE WHEN NOT arrest THEN ward END AS ward,
+       CAST(year(event_time) AS INTEGER) AS event_year FROM sent"""),
     "stream_silver": Query(stream_silver, f"WITH {_MILLIS} SELECT {_COLUMNS}, {_CALENDAR_SQL} FROM sent"),
 }
