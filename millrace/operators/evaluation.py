@@ -18,9 +18,14 @@ def confusion_counts(predictions: DataFrame, actual: str = "label",
 
 
 def confusion_matrix(counts: DataFrame, classes: Sequence, actual: str = "label",
-                     predicted: str = "prediction", prefix: str = "") -> DataFrame:
-    """Actual classes down, predicted ones across, empty cells 0."""
-    return crosstab(counts, actual, predicted, classes, "n", prefix)
+                     predicted: str = "prediction", prefix: str = "",
+                     rest: str = "unlisted") -> DataFrame:
+    """Actual classes down, predicted ones across, empty cells 0.
+
+    Predictions outside ``classes`` are counted under ``rest``, and missing actual classes are a
+    row, so the cells sum to the number of predictions.
+    """
+    return crosstab(counts, actual, predicted, classes, "n", prefix, rest)
 
 
 def per_class_metrics(counts: DataFrame, actual: str = "label",
@@ -100,9 +105,16 @@ def auc_per_class(predictions: DataFrame, label: str = "label", scores: str = "s
     exploded = predictions.select(label, F.posexplode(scores).alias("class", "score"))
     if digits is not None:
         exploded = exploded.withColumn("score", F.round("score", digits))
-    hit = F.col(label) == F.col("class")
-    tied = exploded.groupBy("class", "score").agg(
-        F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg"))
+    counts = exploded.groupBy(label, "class", "score").agg(F.count("*").alias("n"))
+    return area_per_class(counts, label)
+
+
+def area_per_class(counts: DataFrame, label: str = "label") -> DataFrame:
+    """The same from rows counted (``n``) by label, class and score."""
+    hit, n = F.col(label) == F.col("class"), F.col("n")
+    zero = F.lit(0).cast("bigint")
+    tied = counts.groupBy("class", "score").agg(
+        F.sum(F.when(hit, n).otherwise(zero)).alias("pos"), F.sum(F.when(hit, zero).otherwise(n)).alias("neg"))
     ranked = running_totals(tied, ["class"], ["score"], ["neg"])
     # Products of counts outgrow 64 bits on large tables.
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")

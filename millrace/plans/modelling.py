@@ -14,10 +14,11 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.operators.evaluation import (
-    auc_per_class, confusion_counts, confusion_matrix, macro_auc, per_class_metrics,
+    area_per_class, confusion_matrix, macro_auc, per_class_metrics,
     scores_as_array, weighted_metrics,
 )
 from millrace.operators.features import decode_labels, label_index, model_input, with_label
@@ -28,12 +29,12 @@ from millrace.session import broadcast_if_small, materialize, scratch_path
 from millrace.sources.text import write_result
 from millrace.spec import INCIDENTS, MODEL_FEATURES, PREDICTION_COLUMNS, EventSpec
 
-# Tables up to this size are spread by hand; a shuffle of them costs next to nothing.
-SMALL_ROWS = 5_000_000
-ROWS_PER_TASK = 25_000
+# How many parts the training rows are dealt into, by their keys. Fits depend on it, so it is a setting and
+# follows neither the cores nor the size of the input.
+PARTITIONS = 16
 
-# Hyper-parameters of the five classifiers; ``light`` is the smaller forest and
-# boosting that fit small machines.
+# Hyper-parameters of the five classifiers; ``LIGHT`` is the smaller forest and
+# boosting that fit small machines, used only on demand.
 SEED = 42
 PARAMS = {
     "logistic_regression": {"maxIter": 50, "regParam": 0.0, "elasticNetParam": 0.0,
@@ -51,27 +52,25 @@ LIGHT = {
 
 @dataclass(frozen=True)
 class TrainingData:
-    """Feature rows on shared storage, split by folder, and the closed class list."""
+    """Feature rows on shared storage, split by folder, the closed class list, the features' names."""
 
     rows: DataFrame
     labels: DataFrame
     classes: tuple[str, ...]
     total: int
+    features: tuple[str, ...] = MODEL_FEATURES
+    partitions: int = PARTITIONS
     settings: Mapping[str, str] = field(default_factory=dict)
 
-    @property
-    def side_by_side(self) -> int:
-        """One-vs-rest members fitted at a time: a large table keeps the cluster busy with one,
-        and each would hold the table in memory."""
-        return len(self.classes) if self.total <= SMALL_ROWS else 1
-
     @property
     def train(self) -> DataFrame:
-        return self.rows.where("is_train")
+        """Dealt out and sorted by key: the same rows at the same places however many cores there are."""
+        return self.rows.where("is_train").repartition(self.partitions, "_key").sortWithinPartitions(
+            "_key", F.xxhash64(vector_to_array("features"))).drop("_key")
 
     @property
     def test(self) -> DataFrame:
-        return self.rows.where(~F.col("is_train"))
+        return self.rows.where(~F.col("is_train")).drop("_key")
 
 
 def labelled_rows(df: DataFrame, labels: DataFrame, spec: EventSpec = INCIDENTS) -> DataFrame:
@@ -83,8 +82,8 @@ def labelled_rows(df: DataFrame, labels: DataFrame, spec: EventSpec = INCIDENTS)
 
 def prepare(df: DataFrame, spec: EventSpec = INCIDENTS, fraction: float = 1.0, top_n: int = 5,
             train_ratio: float = 0.8, features: Sequence[str] = MODEL_FEATURES,
-            portable: bool = False) -> TrainingData:
-    """Sample, label (top types, else OTHER), assemble, split.
+            portable: bool = False, partitions: int = PARTITIONS) -> TrainingData:
+    """Sample, label (top types, else OTHER), assemble, split. ``partitions`` should grow with the rows to fit.
 
     ``portable`` decides sample and split by a hash that other engines have too.
 
@@ -99,23 +98,14 @@ def prepare(df: DataFrame, spec: EventSpec = INCIDENTS, fraction: float = 1.0, t
     # At most top_n + 1 names come to the driver.
     classes = tuple(row["label"] for row in labels.orderBy("idx").select("label").limit(top_n + 1).collect())
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    sampled = labels.agg(F.sum("label_count")).first()[0] or 0
-    spread = over_all_cores(labelled_rows(rows, labels, spec), sampled, spec.key)
-    assembled = assembler.transform(spread)
+    assembled = assembler.transform(labelled_rows(rows, labels, spec))
     split = hash_split(assembled, spec.key, train_ratio, portable=portable)
-    stored = materialize(split.select("features", "label", "is_train"), "training-rows", ("is_train",))
+    stored = materialize(split.select(F.col(spec.key).alias("_key"), "features", "label", "is_train"),
+                         "training-rows", ("is_train",))
     settings = {"top_n_types": str(top_n), "train_ratio": str(train_ratio),
                 "sample_fraction": str(fraction)}
-    return TrainingData(with_class_names(stored, classes), labels, classes, stored.count(), settings)
-
-
-def over_all_cores(df: DataFrame, rows: int, key: str) -> DataFrame:
-    """Small tables come as a file or two and would train on as many cores; large ones come in
-    plenty of splits already and are left alone."""
-    if rows > SMALL_ROWS:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(1, min(cores, rows // ROWS_PER_TASK)), key)
+    return TrainingData(with_class_names(stored, classes), labels, classes, stored.count(), tuple(features),
+                        partitions, settings)
 
 
 def with_class_names(rows: DataFrame, classes: Sequence[str]) -> DataFrame:
@@ -124,8 +114,9 @@ def with_class_names(rows: DataFrame, classes: Sequence[str]) -> DataFrame:
     return rows.withColumn("label", F.col("label").alias("label", metadata=about))
 
 
-def estimator(name: str, light: bool = True, parallelism: int = 1, **override) -> Estimator:
-    """One of the five classifiers, with its stored hyper-parameters."""
+def estimator(name: str, light: bool = False, parallelism: int = 1, **override) -> Estimator:
+    """One of the five classifiers, with its stored hyper-parameters; ``parallelism`` is the number
+    of one-vs-rest members fitted at a time, each with the training rows in memory."""
     params = {**PARAMS[name], **(LIGHT.get(name, {}) if light else {}), **override}
     if name == "logistic_regression":
         return LogisticRegression(**params)
@@ -153,7 +144,7 @@ def feature_importance(spark: SparkSession, model: Model,
     one-vs-rest the mean over its members.
     """
     weights = _weights(model)
-    rows = [] if weights is None else list(zip(features, map(float, weights)))
+    rows = [] if weights is None else list(zip(features, map(float, weights), strict=True))
     table = spark.createDataFrame(rows, "feature STRING, importance DOUBLE")
     return table.orderBy(F.desc("importance"), "feature")
 
@@ -172,11 +163,17 @@ def _weights(model: Model):
 def evaluate(predictions: DataFrame, auc_digits: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Counts and per-class AUC of a scored test set.
 
-    Scores are written once, so a large ensemble is not applied twice. ``auc_digits`` rounds the
-    scores for the AUC, which then sorts only as many values.
+    The model is applied once: rows are counted by label, prediction, class and score before anything
+    is written. ``auc_digits`` rounds the scores, which leaves few different ones to write and sort.
     """
-    scored = materialize(scores_as_array(predictions).select("label", "prediction", "scores"), "scored")
-    return materialize(confusion_counts(scored), "confusion"), auc_per_class(scored, digits=auc_digits)
+    exploded = scores_as_array(predictions).select(
+        "label", "prediction", F.posexplode("scores").alias("class", "score"))
+    if auc_digits is not None:
+        exploded = exploded.withColumn("score", F.round("score", auc_digits))
+    counts = materialize(exploded.groupBy("label", "prediction", "class", "score").agg(
+        F.count("*").alias("n")), "score-counts")
+    confusion = counts.where(F.col("class") == 0).groupBy("label", "prediction").agg(F.sum("n").alias("n"))
+    return confusion, area_per_class(counts)
 
 
 @dataclass(frozen=True)
@@ -193,7 +190,7 @@ def train_one(data: TrainingData, name: str, est: Estimator, model_root: str | N
     run = {
         "run_id": uuid.uuid4().hex, "run_name": f"model-{name}", "model_type": name,
         "start_time": datetime.now(timezone.utc),
-        "n_rows": data.total, "n_features": len(MODEL_FEATURES), "n_classes": len(data.classes),
+        "n_rows": data.total, "n_features": len(data.features), "n_classes": len(data.classes),
     }
     try:
         params = logged_params(est)
@@ -211,6 +208,7 @@ def train_one(data: TrainingData, name: str, est: Estimator, model_root: str | N
             run["model_path"] = f"{model_root}/{run['run_id']}"
             save_model(model, data.labels, run["model_path"])
             save_results(model, confusion, data, run["model_path"])
+            write_names(data, run["model_path"])
     except Exception as failure:  # one model's failure must not stop the others
         run["error"] = str(failure)[:ERROR_CHARS]
         return Trained(run)
@@ -218,13 +216,13 @@ def train_one(data: TrainingData, name: str, est: Estimator, model_root: str | N
 
 
 def train_all(spark: SparkSession, data: TrainingData, runs_path: str, model_root: str,
-              names: Sequence[str] = tuple(PARAMS), light: bool = True,
-              auc_digits: int | None = None) -> Mapping[str, Trained]:
+              names: Sequence[str] = tuple(PARAMS), light: bool = False,
+              auc_digits: int | None = None, parallelism: int = 1) -> Mapping[str, Trained]:
     """Train the models one after the other; each fit uses the whole cluster."""
     results = {}
     for name in names:
         results[name] = train_one(
-            data, name, estimator(name, light, data.side_by_side), model_root, auc_digits)
+            data, name, estimator(name, light, parallelism), model_root, auc_digits)
         append_run(spark, runs_path, results[name].run)
     return results
 
@@ -235,6 +233,13 @@ def save_model(model: Model, labels: DataFrame, path: str) -> None:
     labels.write.mode("overwrite").parquet(f"{path}/labels")
 
 
+def write_names(data: TrainingData, path: str) -> None:
+    """The features in the order the model knows them by."""
+    spark = data.rows.sparkSession
+    spark.createDataFrame(list(enumerate(data.features)), "position INT, feature STRING").write.mode(
+        "overwrite").parquet(f"{path}/features")
+
+
 def named_confusion(confusion: DataFrame, classes: Sequence[str]) -> DataFrame:
     """Confusion counts with class names on both sides."""
     names = F.array(*map(F.lit, classes))
@@ -252,13 +257,15 @@ def save_results(model: Model, confusion: DataFrame, data: TrainingData, path: s
     write_result(per_class, f"{path}/per_class")
     matrix = confusion_matrix(named, data.classes, "actual", "predicted")
     write_result(matrix, f"{path}/confusion_matrix")
-    write_result(feature_importance(confusion.sparkSession, model), f"{path}/feature_importance")
+    write_result(feature_importance(confusion.sparkSession, model, data.features), f"{path}/feature_importance")
 
 
 def predict(spark: SparkSession, df: DataFrame, model_path: str, spec: EventSpec = INCIDENTS,
-            fraction: float = 1.0, features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
-    """Score a table with a stored model and its own class list."""
+            fraction: float = 1.0) -> DataFrame:
+    """Score a table with a stored model, its own class list and its own features."""
     model = PipelineModel.load(f"{model_path}/model")
+    names = spark.read.parquet(f"{model_path}/features").orderBy("position").collect()
+    features = [row["feature"] for row in names]
     labels = spark.read.parquet(f"{model_path}/labels")
     rows = hash_sample(model_input(df, spec, features), spec.key, fraction, salt="inference")
     labelled = labelled_rows(rows, labels, spec)

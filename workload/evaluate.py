@@ -21,7 +21,7 @@ def rule_predictions(spark, sf):
         ((F.col("id") * 31 + number * 17) % 101 + F.when(F.col("district") % CLASSES == number, 9).otherwise(0)) / 101.0
         for number in range(CLASSES)])
     return payload(spark, sf).select(
-        label.alias("label"), ((label + step) % CLASSES).alias("prediction"), scores.alias("scores"),
+        "id", label.alias("label"), ((label + step) % CLASSES).alias("prediction"), scores.alias("scores"),
         F.concat(F.lit("class_"), label.cast("int")).alias("actual_label"),
         F.concat(F.lit("class_"), ((label + step) % CLASSES).cast("int")).alias("predicted_label"))
 
@@ -33,8 +33,12 @@ FROM payload)"""
 
 
 def confusion_matrix(spark, sf):
-    counts = evaluation.confusion_counts(
-        rule_predictions(spark, sf), "actual_label", "predicted_label")
+    """With missing actual classes, and with predictions of a class that is not in the list."""
+    gaps = rule_predictions(spark, sf).withColumns({
+        "actual_label": F.when(F.col("id") % 29 != 0, F.col("actual_label")),
+        "predicted_label": F.when(F.col("id") % 37 == 0, "class_9").when(
+            F.col("id") % 41 != 0, F.col("predicted_label"))})
+    counts = evaluation.confusion_counts(gaps, "actual_label", "predicted_label")
     names = [f"class_{number}" for number in range(CLASSES)]
     return evaluation.confusion_matrix(counts, names, "actual_label", "predicted_label")
 
@@ -105,11 +109,13 @@ def prediction_distribution(spark, sf):
 
 
 _CELLS = ", ".join(
-    f"COUNT(*) FILTER (WHERE prediction = {number}) AS class_{number}" for number in range(CLASSES))
+    f"COUNT(*) FILTER (WHERE shown AND prediction = {number}) AS class_{number}" for number in range(CLASSES))
 
 QUERIES = {
     "confusion_matrix": Query(confusion_matrix, f"""WITH {PREDICTIONS}
-SELECT 'class_' || CAST(label AS INTEGER) AS actual_label, {_CELLS} FROM predictions GROUP BY label"""),
+SELECT CASE WHEN id % 29 <> 0 THEN 'class_' || CAST(label AS INTEGER) END AS actual_label, {_CELLS},
+       COUNT(*) FILTER (WHERE NOT shown) AS unlisted
+FROM (SELECT *, id % 37 <> 0 AND id % 41 <> 0 AS shown FROM predictions) GROUP BY 1"""),
     "per_class_metrics": Query(per_class_metrics, PER_CLASS),
     "precision_recall_points": Query(
         precision_recall_points, f"SELECT label, recall, precision, f1, tp FROM ({PER_CLASS})"),
