@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.calendar import is_night, is_weekend
+from millrace.operators.ranking import running_totals
 from millrace.operators.toplists import top_counts
 from millrace.session import broadcast_if_small
 from millrace.spec import FEATURE_VIEW_COLUMNS, INCIDENTS, MODEL_FEATURES, EventSpec
@@ -48,9 +49,9 @@ def top_labels(df: DataFrame, spec: EventSpec = INCIDENTS, n: int = 5) -> DataFr
 
 def with_label(df: DataFrame, top: DataFrame, spec: EventSpec = INCIDENTS,
                output: str = "label_raw") -> DataFrame:
-    """The type where it is in the top list, else OTHER. ``top`` is bounded by its limit."""
+    """The type where it is in the top list, else OTHER."""
     listed = top.select(spec.type, F.lit(True).alias("_listed"))
-    joined = df.join(F.broadcast(listed), spec.type, "left")
+    joined = df.join(broadcast_if_small(listed), spec.type, "left")
     label = F.when(F.col("_listed"), F.col(spec.type)).otherwise(F.lit(OTHER))
     return joined.withColumn(output, label).drop("_listed")
 
@@ -59,16 +60,17 @@ def label_index(labelled: DataFrame, label: str = "label_raw",
                 weight: str | None = None) -> DataFrame:
     """Number, label and count of each class, most frequent first, then by name.
 
-    ``weight`` counts for that many rows, where the input is counted already.
-
-    Meant for closed label sets (a top list plus OTHER): the numbering window sees one row per
-    label.
+    ``weight`` counts for that many rows, where the input is counted already. Places come from
+    running totals over the counted labels, so any number of them is numbered without one task
+    seeing all.
     """
     size = F.sum(weight) if weight else F.count("*")
     counts = labelled.groupBy(label).agg(size.alias("label_count"))
-    order = Window.orderBy(F.desc("label_count"), F.asc(label))
-    return counts.select(
-        (F.row_number().over(order) - 1).alias("idx"), F.col(label).alias("label"), "label_count")
+    ordered = counts.select(
+        F.col(label).alias("label"), "label_count", (-F.col("label_count")).alias("_falling"),
+        F.lit(1).cast("bigint").alias("_one"))
+    placed = running_totals(ordered, [], ["_falling", "label"], ["_one"])
+    return placed.select(F.col("before__one").cast("int").alias("idx"), "label", "label_count")
 
 
 def decode_labels(df: DataFrame, labels: DataFrame, prediction: str = "prediction",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.reshape import crosstab
+from millrace.session import broadcast_if_small
 from millrace.spec import INCIDENTS, EventSpec
 
 
@@ -20,8 +21,8 @@ def largest(df: DataFrame, measure: str, k: int, tie_break: list[str]) -> DataFr
 
 
 def only_top(df: DataFrame, top: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is in a top list. ``top`` comes out of a limit, so it may be broadcast."""
-    return df.join(F.broadcast(top.select(key)), key, "left_semi")
+    """Rows whose key is in a top list, which travels to the rows if it is small."""
+    return df.join(broadcast_if_small(top.select(key)), key, "left_semi")
 
 
 def top_by_hour(hourly: DataFrame, k: int = 10, spec: EventSpec = INCIDENTS) -> DataFrame:
