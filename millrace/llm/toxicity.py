@@ -33,7 +33,7 @@ TINY = np.float32(1e-12)
 STRETCH = 9
 # Longer words are read in windows of this many characters that overlap by half.
 WINDOW = 24
-LANDMARKS = 48
+LANDMARKS, CANDIDATES = 48, 2_000
 ROUNDS = 4
 # Worst sentences a document's score looks at, levels over which it counts sentences, and sentences of one
 # document that training uses at most.
@@ -215,16 +215,29 @@ def learn(texts: list[str], labels: list[int], share: float | None = None) -> Mo
     def kernel(a: Counter, b: Counter) -> float:
         return sum(v * b[k] for k, v in a.items() if k in b)
 
+    # One after the other, the word that marks toxic documents best, those that have landmarks already counting half
+    # for each: so every kind of insult gets some, however rare its language is.
+    listed = [i for i in np.argsort(-mark, kind="stable")[:CANDIDATES] if mark[i] > 0]
+    column = np.full(len(vocabulary), -1)
+    column[listed] = np.arange(len(listed))
+    stands = np.zeros((len(listed), len(y)), dtype=np.float32)
+    inside = column[present[0]] >= 0
+    stands[column[present[0][inside]], present[1][inside]] = 1.0
+    open_documents = (y == 1).astype(np.float32) / n1
+    cost = 2 * clean[listed] / n0
     landmarks: list[Counter] = []
-    candidates = [(mark[i], vocabulary[i]) for i in np.argsort(-mark, kind="stable")[:8 * LANDMARKS] if mark[i] > 0]
-    for _, word in candidates:
-        v = vector(word)
+    while len(landmarks) < LANDMARKS and len(listed):
+        gain = stands @ open_documents - cost
+        best = int(gain.argmax())
+        if gain[best] <= 0:
+            break
+        cost[best] = np.inf
+        v = vector(vocabulary[listed[best]])
         norm = kernel(v, v)
         # A landmark must be unlike the others.
         if norm > 0 and all(kernel(v, o) < ALIKE * (norm * kernel(o, o)) ** 0.5 for o in landmarks):
             landmarks.append(v)
-        if len(landmarks) == LANDMARKS:
-            break
+            open_documents *= 1 - stands[best] / 2
     if not landmarks:
         return Model(np.zeros(size, dtype=np.float32), -1.0,
                      _curve(pooled(np.zeros(0), words, words, len(y)), y, share))
