@@ -1,16 +1,16 @@
 """Near copies by wide SimHash fingerprints: equal blocks propose, Hamming distance and shingles decide.
 
 Copies that share four fifths of their five-word shingles may differ in a sixth of a fingerprint's bits, too
-many for two bits' tolerance. So the fingerprint here has ``WORDS`` words of 64 bits, of word pairs, and is cut
+many for two bits' tolerance. So the fingerprint here has ``WORDS`` words of 64 bits and is cut
 into ``BLOCKS`` blocks of ``BLOCK_BITS`` bits: fewer differing bits than blocks leave one block equal for sure, and
 at the usual number of differing bits one is equal nearly always. Documents are compared within equal blocks:
 
-* first each with one hub, the smallest document it shares a block with; verified links make components;
-* then, block by block, documents of different components. Within a block's largest component nothing is compared
-  again, so a group of many copies costs one comparison each and not all pairs.
+* first each with one hub, of all documents it shares a block with and that lead theirs the one that shares most:
+  in a group of copies the original or the like of it. Verified links make components;
+* then, block by block, documents of different components, by their whole fingerprints in the join. Within a block's
+  largest component nothing is compared again, so a group of many copies costs one comparison each and not all pairs.
 
-A pair is compared by one word of the fingerprint in the join, by the whole fingerprint after it, and by its five-word
-shingles in the end.
+A pair that passes is compared by its five-word shingles in the end.
 """
 
 from __future__ import annotations
@@ -26,12 +26,12 @@ from millrace.llm.simhash import SEED, shingles
 from millrace.llm.texts import map_rows
 from millrace.session import materialize
 
-WORDS, BLOCK_BITS = 16, 22
+WORDS, BLOCK_BITS = 24, 24
 BLOCKS = WORDS * 64 // BLOCK_BITS
 SHINGLE, LIKENESS = 5, 0.8
-# Differing bits at most: of the one word that joins look at, and of a whole fingerprint. Pairs at the
-# least likeness differ in about 155 of 1,024, with a standard deviation of 11.
-MOST_IN_WORD, MOST = 22, 215
+# Differing bits at most: of the one word that joins look at first, and of a whole fingerprint. Pairs at the
+# least likeness differ in about 10 of 64 and 233 of 1,536, with standard deviations of 3 and 14.
+MOST_IN_WORD, MOST = 20, 275
 _COUNTED = 1 << 12
 
 
@@ -69,7 +69,7 @@ def _sketches(docs: DataFrame) -> DataFrame:
             for body in columns["text"]:
                 whole = b" ".join(body.encode("utf-8", "surrogatepass").lower().split())
                 nodes.append(xxh3_64_intdigest(whole) - (1 << 63))
-                parts, n = shingles(body, 2)
+                parts, n = shingles(body, SHINGLE)
                 words = wide_fingerprint(np.fromiter(
                     map(xxh64_intdigest, parts, repeat(SEED)), dtype=np.uint64, count=n))
                 bits.append(words)
@@ -155,30 +155,35 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", likeness: f
         F.min(F.struct("key", "mark")).alias("owner"), F.first("bits").alias("bits"),
         F.first("blocks").alias("blocks")), "contents")
     keyed = contents.select("node", F.col("bits")[0].alias("word"), F.posexplode("blocks").alias("block", "value"))
-    sizes = keyed.groupBy("block", "value").agg(
-        F.count("*").alias("size"), F.min(F.struct("node", "word")).alias("hub")).where("size > 1")
-    shared = materialize(keyed.join(sizes, ["block", "value"]).select("block", "value", "node", "word", "hub"), "shared")
+    sizes = keyed.groupBy("block", "value").agg(F.count("*").alias("size")).where("size > 1")
+    shared = materialize(keyed.join(sizes, ["block", "value"]), "shared")
 
     def close(one: Column, other: Column) -> Column:
         return F.bit_count(one.bitwiseXOR(other)) <= MOST_IN_WORD
 
-    hubs = shared.where((F.col("node") != F.col("hub.node")) & close(F.col("word"), F.col("hub.word"))) \
-        .groupBy("node").agg(F.min("hub.node").alias("a")).select("a", F.col("node").alias("b"))
+    degrees = shared.groupBy("node").agg(F.sum("size").alias("degree"))
+    ranked = materialize(shared.join(degrees, "node").select("block", "value", "node", "word", "degree"), "ranked")
+    leads = ranked.groupBy("block", "value").agg(F.max(F.struct("degree", "node", "word")).alias("hub"))
+    hubs = ranked.join(leads, ["block", "value"]).where(
+        (F.col("node") != F.col("hub.node")) & close(F.col("word"), F.col("hub.word"))) \
+        .groupBy("node").agg(F.max(F.struct("hub.degree", "hub.node")).alias("hub")) \
+        .select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
     first = _verified(hubs, contents, own, likeness)
     roots = components(first, "a", "b")
-    members = materialize(shared.join(
+    members = materialize(ranked.join(
         roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
             "block", "value", "node", "word", F.coalesce("root", "node").alias("root")), "members")
     counts = members.groupBy("block", "value", "root").count()
     largest = counts.groupBy("block", "value").agg(
         F.max(F.struct("count", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1").select(
         "block", "value", F.col("top.root").alias("top"))
-    mixed = members.join(largest, ["block", "value"])
+    mixed = materialize(members.join(largest, ["block", "value"]).join(
+        contents.select("node", "bits"), "node"), "mixed")
     outside = mixed.where(F.col("root") != F.col("top")).select(
-        F.col("block").alias("_block"), F.col("value").alias("_value"), F.col("node").alias("_node"),
-        F.col("word").alias("_word"), F.col("root").alias("_root"))
+        *[F.col(name).alias(f"_{name}") for name in ("block", "value", "node", "word", "root", "bits")])
     met = mixed.join(outside, (F.col("block") == F.col("_block")) & (F.col("value") == F.col("_value"))
-                     & (F.col("root") != F.col("_root")) & close(F.col("word"), F.col("_word"))).select(
+                     & (F.col("root") != F.col("_root")) & close(F.col("word"), F.col("_word"))
+                     & (_differing(F.col("bits"), F.col("_bits")) <= MOST)).select(
         F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
     second = _verified(met, contents, own, likeness)
     final = components(first.unionByName(second), "a", "b").withColumnRenamed("node", "_node")

@@ -65,7 +65,7 @@ def as_classes(roots):
 
 
 def test_planted_groups(spark):
-    texts = planted(40, 6, 0.006, 1)
+    texts = planted(40, 6, 0.002, 1)
     assert classes(spark, texts) == as_classes(brute_groups(texts))
 
 
@@ -73,7 +73,7 @@ def test_one_large_group(spark):
     texts = planted(1, 1, 0.0, 3)[:1]
     draw = random.Random(4)
     words = texts[0].split()
-    texts += [" ".join(edited(words, 0.008, draw, ["x", "y", "zz"])) for _ in range(250)] + planted(10, 2, 0.004, 5)
+    texts += [" ".join(edited(words, 0.004, draw, ["x", "y", "zz"])) for _ in range(250)] + planted(10, 2, 0.002, 5)
     assert classes(spark, texts) == as_classes(brute_groups(texts))
 
 
