@@ -106,18 +106,29 @@ def with_next_document(docs: DataFrame, key: str = "doc_id", text: str = "text")
     ``edited`` is the text with its last half of code points replaced by the next document's first ones. After the smallest key comes
     the largest. A missing text is empty, missing keys come after all others; rows of one key are in the order of
     their texts' hashes, and equal rows are one document that is returned as often as it stands. Whole texts are
-    shuffled once; of the next documents only the half that is used, and their digests.
+    shuffled once; of the next documents only the half that is used, and their digests. Keys must be of a type that
+    comes back from text unchanged.
     """
     base = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn(
         "mark", F.xxhash64("text"))
     ids = base.select("key", "mark", F.length("text").alias("n")).distinct()
+
+    def never_null(column: str) -> list[Column]:
+        return [F.coalesce(F.col(column).cast("string"), F.lit("")), F.col(column).isNull()]
+
+    own_keys, donor_keys, owner_keys = (
+        [f"{name}_{part}" for part in ("text", "null", "mark")] for name in ("own", "donor", "owner"))
     pairs = cyclic_successors(ids, ("key", "mark")).select(
-        F.col("key").alias("owner"), F.col("mark").alias("owner_mark"), F.expr("n div 2").cast("int").alias("half"),
-        F.col("next.key").alias("donor"), F.col("next.mark").alias("donor_mark"))
-    given = base.join(pairs, base["key"].eqNullSafe(pairs["donor"]) & (base["mark"] == pairs["donor_mark"])).select(
-        "owner", "owner_mark", "half", F.left("text", F.col("half")).alias("head"),
-        fingerprint(tree(F.col("text"))).alias("next_fingerprint")).dropDuplicates(["owner", "owner_mark"])
-    # The same shuffle of whole texts as the one above.
-    return base.join(given, base["key"].eqNullSafe(given["owner"]) & (base["mark"] == given["owner_mark"])).select(
-        F.col("key").alias(key), F.col("text").alias(text),
+        *[c.alias(n) for c, n in zip([*never_null("key"), F.col("mark")], owner_keys)],
+        *[c.alias(n) for c, n in zip([*never_null("next.key"), F.col("next.mark")], donor_keys)],
+        F.expr("n div 2").cast("int").alias("half"))
+    # Keys that are never null, so that grouping and both joins agree on how rows are dealt out; the key itself
+    # stays behind, so that both joins take the same columns and share one shuffle of whole texts.
+    keyed = base.select("text", *[c.alias(n) for c, n in zip([*never_null("key"), F.col("mark")], own_keys)])
+    given = keyed.join(pairs, [F.col(a) == F.col(b) for a, b in zip(own_keys, donor_keys)]).select(
+        *owner_keys, "half", F.left("text", F.col("half")).alias("head"),
+        fingerprint(tree(F.col("text"))).alias("next_fingerprint")).dropDuplicates(owner_keys)
+    own = F.when(~F.col(own_keys[1]), F.col(own_keys[0]).cast(docs.schema[key].dataType))
+    return keyed.join(given, [F.col(a) == F.col(b) for a, b in zip(own_keys, owner_keys)]).select(
+        own.alias(key), F.col("text").alias(text),
         F.concat(F.left("text", F.length("text") - F.col("half")), "head").alias("edited"), "next_fingerprint")
