@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from oracle import connect, difference
+from workload import load
 
 SF = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="test tables not present")
@@ -16,10 +17,18 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
+# Queries registered by the text operators are compared in their own tests.
+QUERIES = load()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_equals_sql(spark, duck, name):
-    result = entry_point.queries()[name](spark, str(SF))
-    assert difference(result, duck, entry_point.oracle_sql()[name]) is None
+    assert difference(QUERIES[name].run(spark, str(SF)), duck, QUERIES[name].sql) is None
+
+
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert all(query.sql for query in QUERIES.values())
 
 
 def test_every_sql_has_a_query():
