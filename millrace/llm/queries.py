@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, decontamination, licenses, lines, merkle, packing, quality, simhash, toxicity, training
+from millrace.llm import chat, decontamination, licenses, lines, merkle, packing, quality, simhash, toxicity, training, url_lists
 from workload import Query
 from workload.bindings import table
 
@@ -91,6 +91,77 @@ FROM whole LEFT JOIN repeats USING (conv_id) LEFT JOIN system USING (conv_id) LE
 """
 
 
+# Lists derived from the pages' hosts: list, kind, which hosts (by the smallest page_id modulo a number), and the events'
+# days: a first day and days after it, added and removed in turn. Domains have a list of their own.
+LISTS = (
+    ("ads", url_lists.BLOCK, 2, 13, (0, 40, 90)), ("malware", url_lists.BLOCK, 3, 7, (0,)),
+    ("trusted", url_lists.ALLOW, 5, 11, (0, 100)),
+)
+DOMAIN_DAYS = (100, 130, 200)
+FIRST_DAY = "2024-01-01"
+
+
+def list_events(pages: DataFrame) -> DataFrame:
+    """Dated entries for hosts and for the domains of their last two labels."""
+    hosts = pages.select("page_id", url_lists.host(F.col("url")).alias("pattern")).where("pattern <> ''") \
+        .groupBy("pattern").agg(F.min("page_id").alias("m"))
+    first = F.lit(FIRST_DAY).cast("date")
+
+    def events(name, kind, days):
+        return F.transform(F.array(*days), lambda day, i: F.struct(
+            F.lit(name).alias("list"), F.lit(kind).alias("kind"),
+            F.when(i % 2 == 0, url_lists.ADDED).otherwise(url_lists.REMOVED).alias("event"),
+            F.date_add(first, day).alias("on")))
+
+    listed = F.concat(*[
+        F.when(F.col("m") % share == 0, events(name, kind, [
+            (F.col("m") * factor % 300).cast("int") + after for after in days])).otherwise(F.array())
+        for name, kind, share, factor, days in LISTS])
+    domains = hosts.select(F.substring_index("pattern", ".", -2).alias("pattern")).distinct().select(
+        "pattern", F.inline(events("spam", url_lists.BLOCK, [F.lit(day) for day in DOMAIN_DAYS])))
+    return hosts.select("pattern", F.inline(listed)).unionByName(domains)
+
+
+def op2_url_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page, fetched on a day that its number tells, against the lists as they were on that day."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    fetched = F.date_add(F.lit(FIRST_DAY).cast("date"), (F.col("page_id") * 37 % 360).cast("int"))
+    return url_lists.evaluate(pages.withColumn("fetched_on", fetched), list_events(pages))
+
+
+def _list_sql() -> str:
+    parts = [
+        f"SELECT pattern, '{name}' AS list, '{kind}' AS kind, {i} % 2 = 0 AS adds, "
+        f"CAST(DATE '{FIRST_DAY}' + CAST(m * {factor} % 300 + {after} AS INTEGER) AS DATE) AS day "
+        f"FROM hosts WHERE m % {share} = 0"
+        for name, kind, share, factor, days in LISTS for i, after in enumerate(days)]
+    parts += [
+        f"SELECT DISTINCT regexp_extract(pattern, '[^.]*([.][^.]*)?$') AS pattern, 'spam' AS list, 'block' AS kind, "
+        f"{i} % 2 = 0 AS adds, CAST(DATE '{FIRST_DAY}' + {day} AS DATE) AS day FROM hosts"
+        for i, day in enumerate(DOMAIN_DAYS)]
+    return " UNION ALL ".join(parts)
+
+
+OP2_SQL = f"""
+WITH captures AS (
+    SELECT page_id, url, CAST(DATE '{FIRST_DAY}' + CAST(page_id * 37 % 360 AS INTEGER) AS DATE) AS fetched_on,
+           lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#@]*@)?([^/:?#]+)', 2)) AS host FROM pages),
+hosts AS (SELECT host AS pattern, min(page_id) AS m FROM captures WHERE host <> '' GROUP BY host),
+events AS ({_list_sql()}),
+entries AS (SELECT *, lead(day) OVER (PARTITION BY list, pattern ORDER BY day, adds) AS until FROM events),
+matched AS (
+    SELECT page_id, pattern, kind, list FROM captures JOIN entries
+    ON (pattern = host OR pattern = url OR ends_with(host, '.' || pattern))
+       AND adds AND fetched_on >= day AND (until IS NULL OR fetched_on < until)),
+decided AS (
+    SELECT page_id, max(struct_pack(l := length(pattern), allowed := kind = 'allow', pattern := pattern)) AS top,
+           string_agg(DISTINCT list, ',' ORDER BY list) AS lists, count(*) AS n FROM matched GROUP BY page_id)
+SELECT page_id, url, fetched_on, coalesce(NOT top.allowed, false) AS blocked, top.pattern AS rule,
+       coalesce(lists, '') AS lists, coalesce(n, 0) AS n_entries
+FROM captures LEFT JOIN decided USING (page_id)
+"""
+
+
 def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Every document that holds a benchmark item, with the passage and its edits."""
     return decontamination.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
@@ -207,7 +278,8 @@ WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM do
 numbered AS (
     SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) - 1 AS i FROM split),
 counted AS (SELECT *, len(regexp_extract_all(line, '[^ 	
-]+')) AS words FROM numbered),
+
+]+')) AS words FROM numbered),
 summed AS (
     SELECT *, CAST(sum(words) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS total FROM counted),
 spans AS (
@@ -292,6 +364,7 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": Query(op1_chat_format, OP1_SQL),
+    "op2_url_lists": Query(op2_url_lists, OP2_SQL),
     "op3_decontamination": Query(op3_decontamination),
     "op4_fingerprints": Query(op4_fingerprints, OP4_SQL),
     "op5_quality": Query(op5_quality),
