@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 from collections import deque
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -67,21 +68,29 @@ class Encoder:
         self._ends, self._unfit = np.array([False]), np.array([False])
 
     def _learn(self, words: list[str]) -> None:
-        ids = np.array(self._encode("".join(f" {w}" for w in words)), dtype=np.uint32)
-        sizes = np.array([1 + len(w.encode("utf-8", "surrogatepass")) for w in words])
-        unfit = np.array([not w or w[0].isspace() or w[-1].isspace() for w in words])
-        if unfit.any():
+        import re
+
+        joined = f" {' '.join(words)}"
+        unfit = np.zeros(len(words), dtype=bool)
+        if re.search(r" \s|\s |\s$", joined):
             # Such words run into their neighbours; the others are then encoded without them.
-            good = [w for w, bad in zip(words, unfit) if not bad]
-            ids = np.array(self._encode("".join(f" {w}" for w in good)), dtype=np.uint32)
-            sizes[unfit] = 0
-        after = np.searchsorted(np.cumsum(self._lengths[ids]), np.cumsum(sizes), side="right")
+            unfit = np.array([not w or w[0].isspace() or w[-1].isspace() for w in words])
+            joined = "".join(f" {w}" for w, bad in zip(words, unfit) if not bad)
+        ids = np.array(self._encode(joined), dtype=np.uint32)
+        raw = np.frombuffer(joined.encode("utf-8", "surrogatepass"), dtype=np.uint8)
+        # Only the blanks in front of words are blanks now.
+        stops = np.append(np.flatnonzero(raw == 0x20), len(raw))[1:]
+        after = np.zeros(len(words), dtype=np.int64)
+        after[~unfit] = np.searchsorted(np.cumsum(self._lengths[ids]), stops, side="right")
+        after = np.maximum.accumulate(after)
         counts = np.diff(after, prepend=0)
+        ends = np.zeros(len(words), dtype=bool)
+        ends[~unfit] = np.isin(raw[stops - 1], list(b".!?"))
         self._number.update(zip(words, range(len(self._start), len(self._start) + len(words))))
         self._start = np.append(self._start, len(self._ids) + after - counts)
         self._ids = np.append(self._ids, ids)
         self._count = np.append(self._count, counts)
-        self._ends = np.append(self._ends, [w[-1:] in ".!?" and w != "" for w in words])
+        self._ends = np.append(self._ends, ends)
         self._unfit = np.append(self._unfit, unfit)
 
     def __call__(self, texts: Sequence[str]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -89,7 +98,7 @@ class Encoder:
         if len(self._number) > REMEMBERED:
             self._forget()
         split = [text.split(" ") for text in texts]
-        rest = [w for words in split for w in words[1:]]
+        rest = list(chain.from_iterable(words[1:] for words in split))
         new = set(rest).difference(self._number)
         if new:
             self._learn(list(new))
