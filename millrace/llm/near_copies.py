@@ -1,21 +1,21 @@
-"""Near copies by wide SimHash fingerprints: equal blocks propose, Hamming distance and shingles decide.
-
-Copies that share four fifths of their five-word shingles may differ in a sixth of a fingerprint's bits, too
-many for two bits' tolerance. So the fingerprint here has ``WORDS`` words of 64 bits and is cut
-into ``BLOCKS`` blocks of ``BLOCK_BITS`` bits: fewer differing bits than blocks leave one block equal for sure, and
-at the usual number of differing bits one is equal nearly always. Documents are compared within equal blocks:
-
-* first each with one hub, of all documents it shares a block with and that lead theirs the one that shares most:
-  in a group of copies the original or the like of it. Verified links make components;
-* then, block by block, documents of different components, by their whole fingerprints in the join. Within a block's
-  largest component nothing is compared again, so a group of many copies costs one comparison each and not all pairs.
-
-A pair that passes is compared by its five-word shingles in the end.
+"""Near copies: wide SimHash fingerprints for the bulk of large groups, an exact join on shingles for every pair.
+
+* First each document meets one hub. Fingerprints have ``WORDS`` words of 64 bits and are cut into ``BLOCKS`` blocks
+  of ``BLOCK_BITS`` bits; of all documents it shares a block with and that lead theirs, a document is compared with the
+  one that shares most: in a group of copies the original or the like of it. Verified links make components, so a group
+  of many copies costs one comparison each and not all pairs.
+* Then documents of different components are compared whenever they can be alike. A set's prefix is
+  its first ``n - ceil(likeness n) + 1`` of ``n`` shingles in an order that is the same for all documents. Two sets that
+  are alike share a shingle of their prefixes, whatever the order; common shingles come last in it, so that few
+  documents meet that are not alike. Sizes and places rule out most pairs, shingles decide the rest.
+
+Fingerprints only save work: a pair that they miss is met in the second step.
 """
 
 from __future__ import annotations
 
 from itertools import repeat
+from math import ceil
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -29,9 +29,10 @@ from millrace.session import materialize
 WORDS, BLOCK_BITS = 24, 24
 BLOCKS = WORDS * 64 // BLOCK_BITS
 SHINGLE, LIKENESS = 5, 0.8
-# Differing bits at most: of the one word that joins look at first, and of a whole fingerprint. Pairs at the
-# least likeness differ in about 10 of 64 and 233 of 1,536, with standard deviations of 3 and 14.
+# Differing bits at most between a document and its hub: of the first word, and of a whole fingerprint.
 MOST_IN_WORD, MOST = 20, 275
+# One document in so many is looked at for common shingles; common are those that so many of them have, or this share.
+SAMPLED, OFTEN, COMMON = 16, 4, 1 / 4096
 _COUNTED = 1 << 12
 
 
@@ -55,6 +56,13 @@ def block_values(words: np.ndarray) -> np.ndarray:
     return bits.reshape(BLOCKS, BLOCK_BITS).astype(np.int32) @ (1 << np.arange(BLOCK_BITS, dtype=np.int32))
 
 
+def _node(body: str) -> int:
+    """The hash of a text's words in lower case."""
+    from xxhash import xxh3_64_intdigest
+
+    return xxh3_64_intdigest(b" ".join(body.encode("utf-8", "surrogatepass").lower().split())) - (1 << 63)
+
+
 def _sketches(docs: DataFrame) -> DataFrame:
     """Per row: its key and mark, ``node`` (the hash of its words in lower case), fingerprint and blocks."""
     schema = T.StructType([docs.schema["key"], T.StructField("mark", T.LongType()), T.StructField("node", T.LongType()),
@@ -62,13 +70,12 @@ def _sketches(docs: DataFrame) -> DataFrame:
                            T.StructField("blocks", T.ArrayType(T.IntegerType()))])
 
     def prepare():
-        from xxhash import xxh3_64_intdigest, xxh64_intdigest
+        from xxhash import xxh64_intdigest
 
         def sketched(columns: dict[str, list]) -> dict[str, list]:
             nodes, bits, blocks = [], [], []
             for body in columns["text"]:
-                whole = b" ".join(body.encode("utf-8", "surrogatepass").lower().split())
-                nodes.append(xxh3_64_intdigest(whole) - (1 << 63))
+                nodes.append(_node(body))
                 parts, n = shingles(body, SHINGLE)
                 words = wide_fingerprint(np.fromiter(
                     map(xxh64_intdigest, parts, repeat(SEED)), dtype=np.uint64, count=n))
@@ -125,12 +132,98 @@ def _differing(one: Column, other: Column) -> Column:
     return F.aggregate(F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
 
 
-def _verified(pairs: DataFrame, contents: DataFrame, docs: DataFrame, likeness: float) -> DataFrame:
-    """The pairs whose fingerprints are near and whose shingles are alike, written out."""
+def _common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of shingles that many documents of a sample have, in rising order, and how many. Only an order hangs on it."""
+    schema = T.StructType([T.StructField("token", T.LongType())])
+
+    def prepare():
+        def listed(columns: dict[str, list]) -> dict[str, np.ndarray]:
+            sets = [_hashes(body) for body in columns["text"]]
+            return {"token": np.concatenate(sets) if sets else []}
+
+        return listed
+
+    sample = docs.where(F.pmod("mark", F.lit(SAMPLED)) == 0)
+    least = max(OFTEN, sample.count() * COMMON)
+    found = map_rows(sample, ["text"], schema, prepare).groupBy("token").agg(F.count("*").alias("n")) \
+        .where(F.col("n") >= least).toArrow()
+    tokens, counts = (found.column(i).to_numpy() for i in (0, 1))
+    order = np.argsort(tokens)
+    return tokens[order], counts[order]
+
+
+def _hashes(body: str) -> np.ndarray:
+    """The text's different shingles as signed 64-bit hashes in rising order."""
+    from xxhash import xxh3_64_intdigest
+
+    parts, n = shingles(body, SHINGLE)
+    return np.unique(np.fromiter(map(xxh3_64_intdigest, parts), dtype=np.uint64, count=n).view(np.int64))
+
+
+def _prefixes(docs: DataFrame, likeness: float) -> DataFrame:
+    """Per content ``node``, ``size`` (its different shingles) and ``tokens``, its prefix."""
+    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("size", T.IntegerType()),
+                           T.StructField("tokens", T.ArrayType(T.LongType()))])
+    common, counts = _common_shingles(docs)
+
+    def prepare():
+        def cut(columns: dict[str, list]) -> dict[str, list]:
+            sizes, found = [], []
+            for body in columns["text"]:
+                tokens = _hashes(body)
+                n = len(tokens)
+                often = np.zeros(n, dtype=np.int64)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+                    often = np.where(common[at] == tokens, counts[at], 0)
+                # Rounding must not shorten a prefix.
+                least = ceil(likeness * n - 1e-6)
+                sizes.append(n)
+                found.append(tokens[np.lexsort((tokens, often))[:max(0, n - least + 1)]])
+            return {"node": [_node(body) for body in columns["text"]], "size": sizes, "tokens": found}
+
+        return cut
+
+    return map_rows(docs, ["text"], schema, prepare).dropDuplicates(["node"])
+
+
+def _can_be_alike(likeness: float) -> Column:
+    """Whether sizes, and the places of a shared shingle, leave room for enough shared ones."""
+    n, m, i, j = (F.col(name) for name in ("size", "_size", "place", "_place"))
+    most = F.least(i, j) + 1 + F.least(n - i, m - j) - 1
+    return most >= (n + m) * F.lit(likeness / (1 + likeness)) - F.lit(1e-6)
+
+
+def _meeting(prefixes: DataFrame, roots: DataFrame, likeness: float) -> DataFrame:
+    """Pairs ``a``, ``b`` of different components that share a shingle of their prefixes and can be alike."""
+    placed = prefixes.select("node", "size", F.posexplode("tokens").alias("place", "token"))
+    several = placed.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
+    members = materialize(placed.join(several, "token").join(
+        roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
+            "token", "node", "size", "place", F.coalesce("root", "node").alias("root")), "members")
+    # Within a shingle's largest component nothing is compared again.
+    largest = members.groupBy("token", "root").count().groupBy("token").agg(
+        F.max(F.struct("count", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1").select(
+        "token", F.col("top.root").alias("top"))
+    mixed = materialize(members.join(largest, "token"), "mixed")
+    outside = mixed.where(F.col("root") != F.col("top")).select(
+        *[F.col(name).alias(f"_{name}") for name in ("token", "node", "size", "place", "root")])
+    return mixed.join(outside, (F.col("token") == F.col("_token")) & (F.col("root") != F.col("_root"))
+                      & _can_be_alike(likeness)).select(
+        F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
+
+
+def _near(pairs: DataFrame, contents: DataFrame) -> DataFrame:
+    """The pairs whose fingerprints are near."""
     near = pairs
     for side, bits in (("a", "bits_a"), ("b", "bits_b")):
         near = near.join(contents.select(F.col("node").alias(side), F.col("bits").alias(bits)), side)
-    near = materialize(near.where(_differing(F.col("bits_a"), F.col("bits_b")) <= MOST).select("a", "b"), "near")
+    return near.where(_differing(F.col("bits_a"), F.col("bits_b")) <= MOST).select("a", "b")
+
+
+def _verified(pairs: DataFrame, contents: DataFrame, docs: DataFrame, likeness: float) -> DataFrame:
+    """The pairs whose shingles are alike, written out."""
+    near = materialize(pairs, "near")
     asked = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     owners = contents.join(asked, "node").select(
         "node", F.col("owner.key").alias("_key"), F.col("owner.mark").alias("_mark"))
@@ -168,24 +261,10 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", likeness: f
         (F.col("node") != F.col("hub.node")) & close(F.col("word"), F.col("hub.word"))) \
         .groupBy("node").agg(F.max(F.struct("hub.degree", "hub.node")).alias("hub")) \
         .select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
-    first = _verified(hubs, contents, own, likeness)
+    first = _verified(_near(hubs, contents), contents, own, likeness)
     roots = components(first, "a", "b")
-    members = materialize(ranked.join(
-        roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
-            "block", "value", "node", "word", F.coalesce("root", "node").alias("root")), "members")
-    counts = members.groupBy("block", "value", "root").count()
-    largest = counts.groupBy("block", "value").agg(
-        F.max(F.struct("count", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1").select(
-        "block", "value", F.col("top.root").alias("top"))
-    mixed = materialize(members.join(largest, ["block", "value"]).join(
-        contents.select("node", "bits"), "node"), "mixed")
-    outside = mixed.where(F.col("root") != F.col("top")).select(
-        *[F.col(name).alias(f"_{name}") for name in ("block", "value", "node", "word", "root", "bits")])
-    met = mixed.join(outside, (F.col("block") == F.col("_block")) & (F.col("value") == F.col("_value"))
-                     & (F.col("root") != F.col("_root")) & close(F.col("word"), F.col("_word"))
-                     & (_differing(F.col("bits"), F.col("_bits")) <= MOST)).select(
-        F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
-    second = _verified(met, contents, own, likeness)
+    prefixes = materialize(_prefixes(own, likeness), "prefixes")
+    second = _verified(_meeting(prefixes, roots, likeness), contents, own, likeness)
     final = components(first.unionByName(second), "a", "b").withColumnRenamed("node", "_node")
     return rows.join(final, F.col("node") == F.col("_node"), "left").select(
         F.col("key").alias(key), "mark", F.coalesce("root", "node").alias("root"))

@@ -89,6 +89,23 @@ def test_block_edits(spark):
     assert sum((i, i + 1) in found for i in range(0, 120, 2)) >= 59
 
 
+def test_every_pair_at_the_least_likeness(spark):
+    """Single pairs of 8 to 400 words, J 0.80 to 0.90, linked by nothing else."""
+    draw = random.Random(21)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    texts = []
+    for n in [8, 9, 10, 12, 16, 24, 40, 100, 400] * 20:
+        words = draw.choices(vocabulary, k=n)
+        # Of n - 4 shingles, as many new ones at the end as the least likeness allows, or half of them.
+        most = int((n - 4) * (1 / near_copies.LIKENESS - 1) + 1e-9)
+        more = draw.choices(vocabulary, k=max(1, draw.choice([most, most, most // 2])))
+        texts += [" ".join(words), " ".join(words + more)]
+    draw.shuffle(texts)
+    expected = as_classes(brute_groups(texts))
+    assert sum(len(c) > 1 for c in expected) == 180
+    assert classes(spark, texts) == expected
+
+
 def test_one_of_each_keeps_columns_and_the_smallest(spark):
     text = " ".join(f"w{i}" for i in range(80))
     rows = [(5, text, "b", 1), (3, text.upper(), "a", 2), (3, text.upper(), "a", 2), (9, "another text", None, None),
