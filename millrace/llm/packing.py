@@ -13,9 +13,11 @@ large a task is. Nothing is shuffled unless an order is asked for.
 from __future__ import annotations
 
 import base64
+import json
 from collections import deque
 from collections.abc import Iterator, Sequence
 from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,8 @@ class Encoder:
 
     A blank that stands alone always begins a new token, and no token goes on past one, so what lies
     between two of them has the same ids everywhere. White space next to a blank would be read together
-    with it; texts that have it are encoded in one go.
+    with it; texts that have it are encoded in one go. The added tokens of the ``json`` file beside the
+    vocabulary have no blanks; as in the tokenizers library they are found first, inside words too.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -52,13 +55,20 @@ class Encoder:
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
-        self._lengths = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
-        for word, rank in ranks.items():
+        with open(Path(path).with_suffix(".json"), encoding="utf-8") as file:
+            self._added = {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
+        self._lengths = np.zeros(max([*ranks.values(), *self._added.values()]) + 1, dtype=np.int64)
+        for word, rank in chain(ranks.items(), ((a.encode(), i) for a, i in self._added.items())):
             self._lengths[rank] = len(word)
-        self._encode = tiktoken.Encoding(
-            "bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self._encoding = tiktoken.Encoding(
+            "bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens=self._added)
         self._forget()
 
+    def _encode(self, text: str) -> list[int]:
+        if any(added in text for added in self._added):
+            return self._encoding.encode(text, allowed_special="all")
+        return self._encoding.encode_ordinary(text)
+
     def _forget(self) -> None:
         # By word: its number; by number: where its ids begin, how many, whether it ends a sentence,
         # whether it must not be read alone. Number 0 is the end of a document.
@@ -207,8 +217,8 @@ def pack(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", te
     """One row per piece: its document's key, ``start`` in the document, ``length``, ``ids`` (little-endian
     unsigned 32-bit numbers), ``doc_tokens``, ``sequence_id``, and ``offset`` in the sequence.
 
-    ``vocabulary`` is the path of a file of ranks that every executor has, ``pattern`` its splitting
-    rule. Documents keep the order in which they are stored, or that of ``order``, at the price of a
+    ``vocabulary`` is the path of a file of ranks that every executor has, as well as the ``json`` file of the same
+    name, ``pattern`` its splitting rule. Documents keep the order in which they are stored, or that of ``order``, at the price of a
     range shuffle. Every row is packed: a missing or empty text is its end id alone, repeated rows are
     packed each, and a missing key stays missing. Sequence numbers hold for one run: they name the task that
     packed them, and a task that is run again gives the same ones.

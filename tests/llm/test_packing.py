@@ -63,6 +63,21 @@ def test_ids_equal_the_library(library):
             assert all(0 < e < len(ids) for e in ends)
 
 
+def test_added_tokens_equal_the_library(library):
+    encode = packing.Encoder(public_tokenizers.path(packing.VOCABULARY), public_tokenizers.PATTERN)
+    draw = random.Random(4)
+    end = "<|endoftext|>"
+    texts = [end, f"hello {end} world", f"{end} a", f"a {end}", f"a.{end}b", end * 3, f" {end} {end}\n", f"a\n{end}  b",
+             "<|endoftext", "<| endoftext|>", f"<{end}>", f"é{end}. \ud83d{end}".encode("utf-8", "ignore").decode()]
+    texts += ["".join(draw.choices([end, "a", "bc", " ", ".", "\n", "é", "<|", "'s"], k=draw.randint(1, 25)))
+              for _ in range(400)]
+    assert library(texts[1]) == [31373, 220, 50256, 995, 0]
+    for _ in range(2):  # the second time from memory
+        for text, (ids, ends) in zip(texts, encode(texts)):
+            assert ids.tolist() == library(text)
+            assert all(0 < e < len(ids) for e in ends)
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_cuts_are_the_cheapest(seed):
     draw = random.Random(seed)
