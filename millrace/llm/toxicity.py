@@ -13,6 +13,7 @@ A document's score comes from its worst sentences' margins by a logistic curve.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -29,10 +30,12 @@ ORDER, DECAY = 4, 0.7
 # How alike two landmarks may be.
 ALIKE = 0.6
 TINY = np.float32(1e-12)
-# Longest stretch of a subsequence; beyond it the weight is below 0.04.
-STRETCH = 9
 # Longer words are read in windows of this many characters that overlap by half.
 WINDOW = 24
+# Longest stretch of a subsequence: all there are. Words are scaled, so in a word with wide gaps long stretches are all.
+STRETCH = WINDOW
+# Neighbouring words of so many characters at most are read joined up too, up to so many together.
+SHORT, JOINED = 4, 10
 LANDMARKS, CANDIDATES = 48, 2_000
 ROUNDS = 4
 # Worst sentences a document's score looks at, levels over which it counts sentences, and sentences of one
@@ -100,10 +103,23 @@ class Model:
         return found
 
 
+# What readings drop: signs and figures that stand for no letter, and repeats of a character from the third on.
+_SIGN = rf"(?![{''.join(LOOKALIKES)}])[\W\d_]"
+_LETTER = rf"(?:[^\W\d_]|[{''.join(LOOKALIKES)}])"
+_ODD = re.compile(rf"{_LETTER}{_SIGN}+{_LETTER}|(.)\1\1")
+_SIGNS, _REPEATS = re.compile(rf"{_SIGN}+"), re.compile(r"(.)\1\1+")
+
+
+def _plain(word: str) -> str:
+    """The word without inserted signs, with repeats of three or more characters as one."""
+    return _REPEATS.sub(r"\1", _SIGNS.sub("", word))
+
+
 def units(text: str) -> tuple[list[str], list[int]]:
     """The text's words in lower case, and the number of the sentence each is in.
 
-    Three or more characters that stand alone in a row count as a word of their own besides; longer
+    Three or more characters that stand alone in a row count as a word of their own besides, and so do neighbouring
+    short words of a sentence joined up, and words without the signs and repeats inside them; longer
     words than ``WINDOW`` are read in overlapping windows.
     """
     words = text.lower().split()
@@ -111,18 +127,35 @@ def units(text: str) -> tuple[list[str], list[int]]:
     for word in words:
         sentences.append(at)
         at += word[-1] in ".!?"
+    original = len(words)
+    extra: list[tuple[str, int]] = []
+    odd = {word: _plain(word) for word in set(words) if _ODD.search(word)}
+    if odd:
+        extra += [(odd[word], s) for word, s in zip(words, sentences) if word in odd]
+    sizes = list(map(len, words))
+    for i in range(original - 1):
+        if sizes[i] <= SHORT and sizes[i + 1] <= SHORT:
+            joined, j = words[i], i + 1
+            while j < original and sizes[j] <= SHORT and len(joined) + sizes[j] <= JOINED \
+                    and sentences[j] == sentences[i]:
+                joined += words[j]
+                extra.append((joined, sentences[i]))
+                j += 1
+    lone = [i for i, word in enumerate(words) if len(word) == 1]
+    single, of = words, sentences
+    words = words + [word for word, _ in extra]
+    sentences = sentences + [s for _, s in extra]
     if max(map(len, words), default=0) > WINDOW:
         cut = [(part, s) for word, s in zip(words, sentences) for part in windows(word)]
         words, sentences = [w for w, _ in cut], [s for _, s in cut]
-    lone = [i for i, word in enumerate(words) if len(word) == 1]
     run: list[int] = []
     for i in [*lone, -1]:
         if run and i != run[-1] + 1:
             if len(run) > 2:
-                joined = "".join(words[k] for k in run)
+                joined = "".join(single[k] for k in run)
                 for part in windows(joined):
                     words.append(part)
-                    sentences.append(sentences[run[0]])
+                    sentences.append(of[run[0]])
             run = []
         run.append(i)
     return words, sentences

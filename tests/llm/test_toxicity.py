@@ -56,6 +56,23 @@ def test_gaps_and_inserted_characters_are_tolerated():
     assert margin("the house went to water and stone") < 0
 
 
+def test_wide_gaps_repeats_and_split_words():
+    clean = [f"the {a}{b} and {b}{a} went to {a}. Then {b}." for a in ("house", "river", "paper", "stone")
+             for b in ("green", "light", "water", "round")]
+    bad = [t + f" You {w} there." for t in clean for w in ("idiot", "trash")]
+    model = toxicity.learn(clean + bad, [0] * len(clean) + [1] * len(bad))
+    letters = toxicity._letters()
+
+    def margin(text):
+        words, _ = toxicity.units(text)
+        return model.word_margins(words, letters).max()
+
+    for text in ("i--d--i--o--t", "i**d**i**o**t", "i------d------i------o------t", "iiiiddddiiiioooottttt",
+                 "idi ot", "tra sh", "t r ash", "id i ot"):
+        assert margin(text) > 0, text
+    assert margin("the house went to water and stone") < 0
+
+
 def test_held_out_accuracy(spark, sf):
     rows = {r["doc_id"]: r for r in QUERIES["op9_toxicity"].run(spark, LARGER).collect()}
     assert len(rows) == table(spark, LARGER, "documents").count()
