@@ -8,7 +8,8 @@ of lines is compared by the ranks of two powers of two that cover it.
 
 A run counts if it has ``least_words`` words. For each line the shortest such runs that begin and that end with it
 are looked up; wherever one stands a second time, its later copies go. Together they cover every longer repeated run, as
-each of its lines lies in such a run inside it.
+each of its lines lies in such a run inside it. Only whole lines count: of a passage that begins or ends inside a line, the
+parts in those lines are outside the method.
 """
 
 from __future__ import annotations
