@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, decontamination, licenses, lines, merkle, packing, quality, simhash, toxicity, training, url_lists
+from millrace.llm import chat, decontamination, licenses, lines, merkle, packing, quality, ranked, simhash, toxicity, training, url_lists
 from workload import Query
 from workload.bindings import table
 
@@ -362,6 +362,40 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op13_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return ranked.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def _terms_sql(column: str) -> str:
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return (f"regexp_extract_all(translate(coalesce({column}, ''), '{letters}', '{letters.lower()}'), "
+            f"{_sql_text(ranked.TERM)})")
+
+
+OP13_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, {_terms_sql('text')} AS terms FROM documents),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM docs WHERE len(terms) > 0),
+asked AS (SELECT DISTINCT item_id, unnest({_terms_sql('text')}) AS term FROM benchmark),
+postings AS (
+    SELECT d, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf
+    FROM (SELECT d, doc_id, CAST(len(terms) AS BIGINT) AS n, unnest(terms) AS term FROM docs)
+    WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+    FROM postings, totals GROUP BY term, n_docs),
+scored AS (
+    SELECT item_id, d, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT)
+           AS score
+    FROM postings JOIN weights USING (term) JOIN asked USING (term), totals GROUP BY item_id, d, doc_id),
+places AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank,
+           doc_id, score
+    FROM scored WHERE score > 0)
+SELECT * FROM places WHERE rank <= {ranked.BEST}
+"""
+
+
 QUERIES = {
     "op1_chat_format": Query(op1_chat_format, OP1_SQL),
     "op2_url_lists": Query(op2_url_lists, OP2_SQL),
@@ -373,4 +407,5 @@ QUERIES = {
     "op8_line_dedup": Query(op8_line_dedup, OP8_SQL),
     "op9_toxicity": Query(op9_toxicity),
     "op10_license_scan": Query(op10_license_scan),
+    "op13_ranked_search": Query(op13_ranked_search, OP13_SQL),
 }
