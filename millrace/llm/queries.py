@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, decontamination, licenses, lines, merkle, packing, quality, ranked, simhash, toxicity, training, url_lists
+from millrace.llm import chat, decontamination, licenses, lines, merkle, packing, prefix_trie, quality, ranked, simhash, toxicity, training, url_lists, warc
+from millrace.session import materialize, scratch_path
 from workload import Query
 from workload.bindings import table
 
@@ -362,6 +363,91 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# A conversation begins with up to this many turns, less one, of the first of its five.
+LENT, FAMILY = 9, 5
+
+
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """The trie of all conversations, rebuilt so that each begins like the first of its five."""
+    turns = materialize(prefix_trie.measured(table(spark, sf, "conversations")), "turns")
+    keys = turns.select("conv_id").distinct()
+    begins = F.crc32(F.col("conv_id").cast("string").cast("binary")) % LENT
+    own = turns.where(F.col("place") > begins)
+    lent = turns.where(F.col("place") < LENT).withColumnRenamed("conv_id", "_source")
+    borrowed = keys.withColumn("_source", F.col("conv_id") - F.col("conv_id") % FAMILY).join(lent, "_source").where(
+        F.col("place") <= begins).select(*own.columns)
+    return prefix_trie.nodes(own.unionByName(borrowed), keys)
+
+
+OP11_SQL = f"""
+WITH turns AS (
+    SELECT conv_id, md5(strlen(role) || ':' || role || text) AS digest, CAST(strlen(text) AS BIGINT) AS bytes,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role,
+                              md5(strlen(role) || ':' || role || text)) AS place
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)
+    WHERE conv_id IS NOT NULL),
+keys AS (
+    SELECT conv_id, conv_id - conv_id % {FAMILY} AS source, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+               string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))), lambda crc, b: list_reduce(
+               list_prepend(xor(crc, b), CAST(range(8) AS BIGINT[])),
+               lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % {LENT} AS h
+    FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+    SELECT conv_id, place, digest, bytes FROM turns JOIN keys USING (conv_id) WHERE place > h
+    UNION ALL SELECT k.conv_id, place, digest, bytes FROM keys k JOIN turns t ON t.conv_id = k.source WHERE place <= h),
+members AS (
+    SELECT conv_id, row_number() OVER o AS d, md5(string_agg(digest, '') OVER o) AS node, bytes
+    FROM rebuilt WINDOW o AS (PARTITION BY conv_id ORDER BY place ROWS UNBOUNDED PRECEDING)
+    UNION ALL SELECT conv_id, 0, '', 0 FROM keys),
+stats AS (
+    SELECT node, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes FROM members GROUP BY node, d),
+links AS (
+    SELECT DISTINCT c.node, p.node AS parent FROM members c JOIN members p ON p.conv_id = c.conv_id AND p.d = c.d - 1),
+families AS (SELECT parent AS node, count(*) AS n_children FROM links GROUP BY parent),
+ends AS (
+    SELECT node, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends_sha256
+    FROM members JOIN (SELECT conv_id, max(d) AS d FROM members GROUP BY conv_id) USING (conv_id, d) GROUP BY node),
+below AS (SELECT DISTINCT v.node AS top, u.node FROM members v JOIN members u ON u.conv_id = v.conv_id AND u.d >= v.d),
+subtrees AS (
+    SELECT top AS node, count(*) FILTER (n_children IS NULL) AS n_leaves,
+           CAST(sum((n_convs - 1) * bytes) AS BIGINT) AS saved_tokens
+    FROM below JOIN stats USING (node) LEFT JOIN families USING (node) GROUP BY top)
+SELECT s.conv_id, s.depth, p.conv_id AS parent_conv_id, s.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM stats s JOIN subtrees USING (node) LEFT JOIN families USING (node) LEFT JOIN ends USING (node)
+LEFT JOIN links USING (node) LEFT JOIN stats p ON p.node = links.parent
+"""
+
+
+def op12_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page written to archives without repeated payloads, and read back from them."""
+    path = scratch_path(spark, "archives")
+    warc.write_archives(warc.from_pages(table(spark, sf, "pages")), path)
+    read = warc.resolved(warc.read_archives(spark, path))
+    return read.select(
+        F.col("key").cast("bigint").alias("page_id"), F.col("bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"),
+        F.col("original.key").cast("bigint").alias("refers_to"))
+
+
+OP12_SQL = f"""
+WITH hashed AS (
+    SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS hex
+    FROM (SELECT page_id, coalesce(html, '') AS html FROM pages)),
+coded AS (
+    SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr(
+               '{warc.BASE32}', 1 + CAST((('0x' || substr(hex, 1 + 5 * CAST(i // 4 AS INTEGER), 5))::BIGINT
+               >> (5 * (3 - CAST(i % 4 AS INTEGER)))) & 31 AS INTEGER), 1)), '') AS payload_digest
+    FROM hashed),
+placed AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS original,
+           row_number() OVER (PARTITION BY payload_digest ORDER BY page_id DESC NULLS LAST) AS place FROM coded)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN place > 1 THEN original END AS refers_to
+FROM placed
+"""
+
+
 def op13_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
     """The 50 best documents of every benchmark item."""
     return ranked.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
@@ -407,5 +493,7 @@ QUERIES = {
     "op8_line_dedup": Query(op8_line_dedup, OP8_SQL),
     "op9_toxicity": Query(op9_toxicity),
     "op10_license_scan": Query(op10_license_scan),
+    "op11_prefix_trie": Query(op11_prefix_trie, OP11_SQL),
+    "op12_warc": Query(op12_warc, OP12_SQL),
     "op13_ranked_search": Query(op13_ranked_search, OP13_SQL),
 }
