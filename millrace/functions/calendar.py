@@ -55,3 +55,17 @@ def wall_millis(time: Column) -> Column:
 
     minutes = (part("DAY").cast("bigint") * 24 + part("HOUR")) * 60 + part("MINUTE")
     return minutes * 60_000 + F.floor(part("SECOND") * 1000).cast("bigint")
+
+
+def wall_instant(time: Column) -> Column:
+    """Wall-clock time as the instant it is in UTC, in whatever zone the session is; watermarks need instants."""
+    since = time - F.lit(_EPOCH).cast("timestamp_ntz")
+    days, hours, minutes = (F.extract(F.lit(unit), since).cast("bigint") for unit in ("DAY", "HOUR", "MINUTE"))
+    seconds = F.extract(F.lit("SECOND"), since)
+    return F.timestamp_micros(((days * 24 + hours) * 60 + minutes) * 60_000_000 + (seconds * 1_000_000).cast("bigint"))
+
+
+def instant_wall(instant: Column) -> Column:
+    """The inverse of ``wall_instant``."""
+    microsecond = F.make_dt_interval(secs=F.lit("0.000001").cast("decimal(18,6)"))
+    return F.lit(_EPOCH).cast("timestamp_ntz") + microsecond * F.unix_micros(instant)

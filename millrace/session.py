@@ -10,6 +10,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Remembers a local session's own folder; the cluster's setting cannot be changed at run time.
 _OWN_SCRATCH = "spark.millrace.scratch"
 # The folder of the job that is running, below the shared one.
@@ -25,6 +26,11 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # State of streams beside the heap, its changes and not its whole written with each batch.
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKS)
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        # A stream's rows become sessions in each task before they are shuffled.
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         # Size of one post-shuffle task, and so of one file written after a rebalance.
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
     )

@@ -1,0 +1,188 @@
+"""Streams with state: restarts, rows that come late, what is at a border, and what is left in state."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.functions.calendar import instant_wall, wall_instant
+from millrace.streaming import state
+
+START = datetime(2024, 1, 1)
+
+
+def count():
+    return [F.count("*").alias("n")]
+
+
+def rows(spark, *values):
+    """Rows of key, minute and word; a minute may be missing."""
+    return spark.createDataFrame(
+        [(k, None if m is None else START + timedelta(minutes=m), w) for k, m, w in values],
+        "k BIGINT, at TIMESTAMP, w STRING")
+
+
+class Stream:
+    """A stream over files that is started anew, from its checkpoint, for each wave."""
+
+    def __init__(self, spark, folder, build):
+        self.spark, self.folder, self.build, self.waves = spark, folder, build, 0
+
+    def take(self, *values):
+        self.waves += 1
+        rows(self.spark, *values).coalesce(1).write.mode("append").parquet(f"{self.folder}/in")
+        source = self.spark.readStream.schema("k BIGINT, at TIMESTAMP, w STRING").parquet(f"{self.folder}/in")
+        query = self.build(source).writeStream.format("parquet").option("path", f"{self.folder}/out").option(
+            "checkpointLocation", f"{self.folder}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+        self.kept = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+        return self
+
+    def found(self, *columns):
+        return sorted(map(tuple, self.spark.read.parquet(f"{self.folder}/out").select(*columns).collect()), key=str)
+
+
+@pytest.fixture
+def stream(spark, tmp_path):
+    return lambda build: Stream(spark, str(tmp_path), build)
+
+
+def minute(name):
+    return (F.unix_seconds(F.col(name)) - F.unix_seconds(F.lit(START))) / 60
+
+
+def test_copies_are_dropped_over_restarts_until_the_delay_is_over(stream):
+    s = stream(lambda df: state.first_of_key(df, ["k"], "at", "1 hour"))
+    s.take((1, 0, "a"), (1, 5, "b"), (2, 10, "a"), (None, 10, "a"))
+    s.take((1, 50, "copy"), (None, 40, "copy"), (3, 60, "a"))  # within an hour, after a restart
+    assert [k for k, in s.found("k")] == [1, 2, 3, None]
+    s.take((9, 500, "clock")).take((1, 501, "later"))  # a copy long after is a new row, as documented
+    assert [w for w, in s.take((1, 502, "copy")).found("w") if w in ("later", "copy")] == ["later"]
+
+
+def test_keys_leave_the_state(stream):
+    s = stream(lambda df: state.first_of_key(df, ["k"], "at", "1 hour"))
+    s.take(*[(k, k, "a") for k in range(200)])
+    s.take((1000, 5_000, "clock"))
+    assert s.kept == 1
+
+
+def test_windows_are_written_once_and_late_rows_counted(stream, spark):
+    def build(df, delay=None):
+        return state.windowed(df, "at", "1 hour", count(), ["w"], delay=delay)
+
+    s = stream(lambda df: build(df, "30 minutes"))
+    first, second = [(1, 0, "a"), (2, 59, "a"), (3, 60, "a"), (4, 130, "b"), (5, None, "a")], [(6, 30, "a"), (7, 119, "a"), (8, 200, "b")]
+    s.take(*first).take(*second)  # minute 30 is late: the first hour was over; minute 119 is not
+    s.take((9, 10_000, None))
+    written = spark.read.parquet(f"{s.folder}/out")
+    whole = build(rows(spark, *first, *second))
+    told = state.late_rows(whole, written, "n", ["w"]).select(minute(state.STARTS), "w", "n", "late_rows")
+    assert sorted(map(tuple, told.collect())) == [(0, "a", 2, 1), (60, "a", 2, 0), (120, "b", 1, 0), (180, "b", 1, 0)]
+
+
+def test_a_window_that_was_never_written_is_late_altogether(stream, spark):
+    s = stream(lambda df: state.windowed(df, "at", "1 hour", count(), delay="0 minutes"))
+    s.take((1, 300, "a")).take((2, 10, "a")).take((3, 10_000, "a"))
+    whole = state.windowed(rows(spark, (1, 300, "a"), (2, 10, "a")), "at", "1 hour", count())
+    told = state.late_rows(whole, spark.read.parquet(f"{s.folder}/out"), "n")
+    assert sorted(r[2:] for r in map(tuple, told.collect())) == [(0, 1), (1, 0)]
+
+
+def test_a_row_is_in_every_sliding_window_over_it(spark):
+    found = state.windowed(rows(spark, (1, 70, "a")), "at", "1 hour", count(), slide="20 minutes")
+    assert sorted(m for m, in found.select(minute(state.STARTS)).collect()) == [20, 40, 60]
+
+
+def test_windows_combine_before_the_shuffle(spark):
+    plan = state.windowed(rows(spark, (1, 70, "a")), "at", "1 hour", count())._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_count") > plan.index("Exchange")
+
+
+SESSIONS = [(1, 0, "a"), (1, 29, "a"), (1, 59, "a"), (1, 89, "a"), (2, 10, "a"), (2, 40, "b"), (2, 71, "c"), (None, 5, "x"), (3, None, "x")]
+FOUND = [("1", 0.0, 119.0, 4), ("2", 10.0, 70.0, 2), ("2", 71.0, 101.0, 1), ("None", 5.0, 35.0, 1)]
+
+
+def sessions(df, delay=None):
+    return state.sessions(df, "at", 1800, {"n": (F.count("*"), F.sum)}, ["k"], delay)
+
+
+def ends(df):
+    return sorted((str(k), float(a), float(b), n) for k, a, b, n in df.select("k", minute(state.STARTS), minute(state.ENDS), "n").collect())
+
+
+def test_rows_up_to_a_gap_apart_are_one_session(spark):
+    assert ends(sessions(rows(spark, *SESSIONS))) == FOUND
+
+
+def test_stretches_of_time_do_not_show_in_sessions(spark):
+    many = [(k, (i * i * 7 + k) % 4_000, "a") for k in range(3) for i in range(200)]
+    times = {k: sorted(m for key, m, _ in many if key == k) for k in range(3)}
+    expected = []
+    for k, minutes in times.items():
+        begin = n = 0
+        for i, m in enumerate(minutes):
+            n += 1
+            if i + 1 == len(minutes) or minutes[i + 1] - m > 30:
+                expected.append((str(k), float(minutes[begin]), float(m + 30), n))
+                begin, n = i + 1, 0
+    assert ends(sessions(rows(spark, *many))) == sorted(expected)
+
+
+def test_sessions_of_a_stream_join_over_a_restart(stream, spark):
+    s = stream(lambda df: sessions(df, "2 hours"))
+    s.take(*[r for r in SESSIONS if r[1] != 29])  # the row at minute 29 joins two sessions when it comes
+    s.take((1, 29, "a")).take((9, 10_000, "clock"))
+    assert ends(spark.read.parquet(f"{s.folder}/out")) == FOUND
+
+
+def test_rows_of_a_busy_user_are_put_together_before_they_meet(spark):
+    plan = sessions(rows(spark, (1, 70, "a")))._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2 and "_groupingexpression" in exchanges[1] and "_groupingexpression" not in exchanges[0]
+
+
+PAIRED = [(1, 0, "a"), (1, 60, "b"), (1, 61, "c"), (1, 0, "d"), (2, 100, "a"), (2, 161, "b"), (None, 100, "a"), (None, 101, "b"),
+          (3, None, "a"), (3, 5, "b"), (4, 119, "a"), (4, 121, "b"), (4, 121, "b")]
+
+
+def pairs(df, delay=None):
+    return state.following(df, df, "k", "at", 3600, delay, F.col("w") != F.col("next_w"))
+
+
+def told(df):
+    return sorted(map(tuple, df.select("k", "w", "next_w").collect()))
+
+
+def test_pairs_lie_after_and_within_the_hour(spark):
+    assert told(pairs(rows(spark, *PAIRED))) == [
+        (1, "a", "b"), (1, "b", "c"), (1, "d", "b"), (4, "a", "b"), (4, "a", "b")]
+
+
+def test_pairs_of_a_stream_are_found_over_a_restart(stream, spark):
+    s = stream(lambda df: pairs(df, "3 hours"))
+    s.take(*PAIRED[::2]).take(*PAIRED[1::2]).take((9, 10_000, "clock"))
+    assert told(spark.read.parquet(f"{s.folder}/out")) == told(pairs(rows(spark, *PAIRED)))
+    assert s.kept <= 3  # the clock alone
+
+
+def test_the_nearest_partner_is_the_first_by_time_and_key(spark):
+    found = state.nearest(pairs(rows(spark, (1, 0, "a"), (1, 9, "c"), (1, 9, "b"), (1, 3, "a"))), ["k", "w", "at"], "at", ["next_at", "next_w"])
+    assert sorted((float(m), w) for m, w in found.select(minute("at"), "next_w").collect()) == [(0.0, "b"), (3.0, "b")]
+
+
+def test_busy_keys_are_joined_by_slices_of_time(spark):
+    plan = pairs(rows(spark, *PAIRED))._jdf.queryExecution().analyzed().toString()
+    assert "_slice" in plan and "NestedLoop" not in pairs(rows(spark, *PAIRED))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_wall_time_is_the_same_instant_in_every_zone(spark):
+    wall = spark.sql("SELECT TIMESTAMP_NTZ '2024-03-31 02:30:00.123456' AS t UNION ALL SELECT TIMESTAMP_NTZ '1965-01-01 00:00:00.000001' UNION ALL SELECT NULL")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Europe/Berlin", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            found = wall.select("t", F.unix_micros(wall_instant(F.col("t"))).alias("m"), instant_wall(wall_instant(F.col("t"))).alias("b")).collect()
+            assert [r["m"] for r in found] == [1711852200123456, -157766399999999, None] and all(r["t"] == r["b"] for r in found)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
