@@ -49,6 +49,21 @@ def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str],
     return summed.select(*df.columns, *[f"before_{name}" for name in measures])
 
 
+def running_maximum(df: DataFrame, order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Adds ``name``: the largest ``value`` of all rows that sort earlier by ``order``, none for the first; missing values are passed over.
+
+    ``order`` must be unique. Runs a job while it is planned. As in ``running_totals`` a range shuffle cuts the rows into even
+    slices; each begins with the largest value of the slices before it.
+    """
+    slices = materialize(df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()), "slices")
+    tops = slices.groupBy("_slice").agg(F.max(value).alias("_top"))
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # one row a slice
+    before = tops.select(F.col("_slice").alias("_of_slice"), F.max("_top").over(earlier).alias("_before"))
+    inside = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = slices.join(broadcast_if_small(before, MOST_SUMS), F.col("_slice") == F.col("_of_slice"))
+    return placed.withColumn(name, F.greatest("_before", F.max(value).over(inside))).select(*df.columns, name)
+
+
 # Number of top lists between the tasks' own ones and the last; size of one written-out chunk.
 _LISTS = 256
 _CHUNK = 100_000

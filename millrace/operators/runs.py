@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from millrace.operators.ranking import running_maximum
 from millrace.operators.toplists import largest
 
 RUNS_SCHEMA = (
@@ -69,3 +70,17 @@ def accuracy_time_pairs(runs: DataFrame) -> DataFrame:
     """Accuracy against training time, runs with both."""
     return finished(runs).na.drop(subset=["train_seconds"]).select(
         "run_id", "model_type", "train_seconds", "accuracy")
+
+
+def frontier(runs: DataFrame) -> DataFrame:
+    """Runs that no other run beats in accuracy without taking longer: each is more accurate than all faster ones.
+
+    Of runs that took equally long the most accurate one stands for them, of equal ones the first by id. The largest
+    accuracy so far is carried from slice to slice of the sorted times, so no task sees all times. Runs jobs while it is planned.
+    """
+    pairs = accuracy_time_pairs(runs)
+    best = pairs.groupBy("train_seconds").agg(F.min_by(F.struct("run_id", "model_type", "accuracy"), F.struct(
+        -F.col("accuracy"), F.col("run_id"))).alias("_best"))
+    sorted_times = best.select("_best.run_id", "_best.model_type", "train_seconds", "_best.accuracy")
+    reached = running_maximum(sorted_times, ["train_seconds"], "accuracy", "_reached")
+    return reached.where(F.col("_reached").isNull() | (F.col("accuracy") > F.col("_reached"))).drop("_reached")

@@ -15,9 +15,9 @@ class Query:
 
 
 def load() -> dict[str, Query]:
-    from workload import aggregate, evaluate, ingest, learn, model_runs, profile, stateful, store, stream
+    from workload import aggregate, evaluate, ingest, learn, model_runs, profile, relate, stateful, store, stream
 
     found: dict[str, Query] = {}
-    for module in (aggregate, profile, ingest, store, stream, stateful, learn, evaluate, model_runs):
+    for module in (aggregate, profile, ingest, store, stream, stateful, relate, learn, evaluate, model_runs):
         found.update(module.QUERIES)
     return found

@@ -79,6 +79,10 @@ def runs_pairs(spark, sf):
     return runs.accuracy_time_pairs(logged_runs(spark, sf))
 
 
+def runs_frontier(spark, sf):
+    return runs.frontier(logged_runs(spark, sf))
+
+
 def metrics_melt(spark, sf):
     return reshape.melt(runs_best(spark, sf), ["model_type"], ["accuracy", "weighted_f1"])
 
@@ -93,6 +97,11 @@ QUERIES = {
 {_sweep_sql('maxDepth', 'numTrees')} UNION ALL {_sweep_sql('numTrees', 'maxDepth')}"""),
     "runs_pairs": Query(runs_pairs, f"""WITH {LOGGED}
 SELECT run_id, model_type, train_seconds, accuracy FROM done WHERE train_seconds IS NOT NULL"""),
+    "runs_frontier": Query(runs_frontier, f"""WITH {LOGGED},
+timed AS (SELECT run_id, model_type, train_seconds, accuracy, ROW_NUMBER() OVER (
+  PARTITION BY train_seconds ORDER BY accuracy DESC, run_id) AS place FROM done WHERE train_seconds IS NOT NULL)
+SELECT run_id, model_type, train_seconds, accuracy FROM timed t WHERE place = 1 AND NOT EXISTS (
+  SELECT 1 FROM timed o WHERE o.train_seconds < t.train_seconds AND o.accuracy >= t.accuracy)"""),
     "metrics_melt": Query(metrics_melt, f"""WITH {LOGGED}, {_BEST}
 SELECT model_type, 'accuracy' AS metric, accuracy AS value FROM best
 UNION ALL SELECT model_type, 'weighted_f1', weighted_f1 FROM best"""),
