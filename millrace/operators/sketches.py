@@ -23,9 +23,15 @@ def daily_sketches(df: DataFrame, day: Column, distinct: Sequence[str], quantile
     Missing values are in no sketch; a column without any has an empty one for the distinct count and none for quantiles. NaNs are no
     quantile. Sketches are made in each task and merged in the shuffle, so a day with most of the rows is no burden.
     """
+    kinds = dict(df.dtypes)
+
+    def counted(name: str) -> Column:
+        # Values of other types count by their text.
+        return F.col(name) if kinds[name] in ("int", "bigint", "string", "binary") else F.col(name).cast("string")
+
     return df.groupBy(day.alias("day"), *by).agg(
         F.count("*").alias("rows"),
-        *[F.hll_sketch_agg(F.col(name), LG_BUCKETS).alias(f"{name}_distinct") for name in distinct],
+        *[F.hll_sketch_agg(counted(name), LG_BUCKETS).alias(f"{name}_distinct") for name in distinct],
         *[F.kll_sketch_agg_double(F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double")), QUANTILE_K).alias(
             f"{name}_quantiles") for name in quantiles])
 
