@@ -54,10 +54,16 @@ def region_stats(df: DataFrame, spec: EventSpec = INCIDENTS,
     One scan: the region/type cells are rolled up to regions, and the winner among the types
     comes out of the same roll-up, so the winner needs neither a second scan nor a join.
     """
+    return regions_of_cells(region_type_cells(df, spec), spec, levels, rest)
+
+
+def regions_of_cells(cells: DataFrame, spec: EventSpec = INCIDENTS,
+                     levels=SIZE_LEVELS, rest: str = SIZE_REST) -> DataFrame:
+    """The region table out of its cells, one row per region and type."""
     top = f"top_{spec.type}"
     # The smallest (-count, type) is the highest count, then the first name.
     standing = F.struct(-F.col(spec.count), F.col(spec.type))
-    rolled = region_type_cells(df, spec).groupBy(spec.region).agg(
+    rolled = cells.groupBy(spec.region).agg(
         F.sum(spec.count).alias(spec.count),
         F.sum(f"{spec.main_flag}_count").alias(f"{spec.main_flag}_count"),
         *[F.try_divide(F.sum(f"_{name}_sum"), F.sum(f"_{name}_n")).alias(f"avg_{name}")
