@@ -1,13 +1,17 @@
 """Near copies: wide SimHash fingerprints for the bulk of large groups, an exact join on shingles for every pair.
 
-* First each document meets one hub. Fingerprints have ``WORDS`` words of 64 bits and are cut into ``BLOCKS`` blocks
-  of ``BLOCK_BITS`` bits; of all documents it shares a block with and that lead theirs, a document is compared with the
+* First each document meets one hub. Fingerprints have ``WORDS`` words of 64 bits; ``BLOCKS`` blocks of ``BLOCK_BITS`` bits
+  are cut from them; of all documents it shares a block with and that lead theirs, a document is compared with the
   one that shares most: in a group of copies the original or the like of it. Verified links make components, so a group
   of many copies costs one comparison each and not all pairs.
 * Then documents of different components are compared whenever they can be alike. A set's prefix is
   its first ``n - ceil(likeness n) + 1`` of ``n`` shingles in an order that is the same for all documents. Two sets that
   are alike share a shingle of their prefixes, whatever the order; common shingles come last in it, so that few
-  documents meet that are not alike. Sizes and places rule out most pairs, shingles decide the rest.
+  documents meet that are not alike. Sizes and places rule out most pairs; of the rest, bitmaps of their shingles rule out
+  all but a few before any text moves: a bit that only one of two sets has is a shingle that the other lacks.
+
+Pairs are decided by their shingles. They are gathered around one of the two, so that its set is sent once for up to ``GROUP``
+partners, and texts stay where they are as long as the list of those asked for is small.
 
 Fingerprints only save work: a pair that they miss is met in the second step.
 """
@@ -24,15 +28,21 @@ from pyspark.sql import types as T
 from millrace.llm.components import components
 from millrace.llm.simhash import SEED, shingles
 from millrace.llm.texts import map_rows
-from millrace.session import materialize
+from millrace.session import broadcast_if_small, materialize
 
-WORDS, BLOCK_BITS = 24, 24
-BLOCKS = WORDS * 64 // BLOCK_BITS
+WORDS, BLOCK_BITS, BLOCKS = 24, 24, 32
 SHINGLE, LIKENESS = 5, 0.8
 # Differing bits at most between a document and its hub: of the first word, and of a whole fingerprint.
 MOST_IN_WORD, MOST = 20, 275
 # One document in so many is looked at for common shingles; common are those that so many of them have, or this share.
-SAMPLED, OFTEN, COMMON = 16, 4, 1 / 4096
+# The most frequent so many of them go to all tasks: only an order hangs on it.
+SAMPLED, OFTEN, COMMON, MOST_COMMON = 16, 4, 1 / 4096, 500_000
+# Bits of a set's bitmap: a power of two, at least as many as it has shingles, within these powers.
+LEAST_BITS, MOST_BITS = 6, 16
+# Partners that one copy of a set is sent for, and parts of a set's pairs that are counted apart.
+GROUP, SLICES = 256, 64
+# Largest list of texts asked for that is sent to the texts, in rows and bytes.
+ASKED_ROWS, ASKED_BYTES = 1_000_000, 128 << 20
 _COUNTED = 1 << 12
 
 
@@ -56,6 +66,23 @@ def block_values(words: np.ndarray) -> np.ndarray:
     return bits.reshape(BLOCKS, BLOCK_BITS).astype(np.int32) @ (1 << np.arange(BLOCK_BITS, dtype=np.int32))
 
 
+def bitmap(hashes: np.ndarray) -> bytes:
+    """A bit for each of the different hashes, by its last bits."""
+    bits = np.zeros(1 << min(MOST_BITS, max(LEAST_BITS, (len(hashes) - 1).bit_length())), dtype=np.uint8)
+    bits[hashes & np.uint64(len(bits) - 1)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def most_shared(n: int, one: bytes, m: int, other: bytes) -> int:
+    """How many of ``n`` and ``m`` hashes two sets with these bitmaps can have in common at most."""
+    a, b = np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)
+    if len(a) > len(b):
+        a = np.bitwise_or.reduce(a.reshape(-1, len(b)), axis=0)
+    elif len(b) > len(a):
+        b = np.bitwise_or.reduce(b.reshape(-1, len(a)), axis=0)
+    return min(n - int(np.bitwise_count(a & ~b).sum()), m - int(np.bitwise_count(b & ~a).sum()))
+
+
 def _node(body: str) -> int:
     """The hash of a text's words in lower case."""
     from xxhash import xxh3_64_intdigest
@@ -64,68 +91,120 @@ def _node(body: str) -> int:
 
 
 def _sketches(docs: DataFrame) -> DataFrame:
-    """Per row: its key and mark, ``node`` (the hash of its words in lower case), fingerprint and blocks."""
+    """Per row: its key and mark, ``node`` (the hash of its words in lower case), fingerprint, blocks, and of its different shingles
+    their number ``n`` and ``bitmap``."""
     schema = T.StructType([docs.schema["key"], T.StructField("mark", T.LongType()), T.StructField("node", T.LongType()),
                            T.StructField("bits", T.ArrayType(T.LongType())),
-                           T.StructField("blocks", T.ArrayType(T.IntegerType()))])
+                           T.StructField("blocks", T.ArrayType(T.IntegerType())), T.StructField("n", T.IntegerType()),
+                           T.StructField("bitmap", T.BinaryType())])
 
     def prepare():
         from xxhash import xxh64_intdigest
 
         def sketched(columns: dict[str, list]) -> dict[str, list]:
-            nodes, bits, blocks = [], [], []
+            found: dict[str, list] = {name: [] for name in ("node", "bits", "blocks", "n", "bitmap")}
             for body in columns["text"]:
-                nodes.append(_node(body))
+                found["node"].append(_node(body))
                 parts, n = shingles(body, SHINGLE)
-                words = wide_fingerprint(np.fromiter(
-                    map(xxh64_intdigest, parts, repeat(SEED)), dtype=np.uint64, count=n))
-                bits.append(words)
-                blocks.append(block_values(words))
-            return {"key": columns["key"], "mark": columns["mark"], "node": nodes, "bits": bits, "blocks": blocks}
+                hashes = np.unique(np.fromiter(map(xxh64_intdigest, parts, repeat(SEED)), dtype=np.uint64, count=n))
+                words = wide_fingerprint(hashes)
+                found["bits"].append(words)
+                found["blocks"].append(block_values(words))
+                found["n"].append(len(hashes))
+                found["bitmap"].append(bitmap(hashes))
+            return {"key": columns["key"], "mark": columns["mark"], **found}
 
         return sketched
 
     return map_rows(docs, ["key", "mark", "text"], schema, prepare)
 
 
-def _shingle_sets(docs: DataFrame) -> DataFrame:
-    """``node`` and ``set``, its different shingles' hashes in rising order, as unsigned 32-bit numbers."""
-    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("set", T.BinaryType())])
+def _requests(pairs: DataFrame) -> DataFrame:
+    """Whose sets are needed where: of each pair ``b`` as a partner (``role`` 1) in one of the parts of ``a``, and ``a`` once
+    in each of its parts (``role`` 0). A part has about ``GROUP`` partners at most, however many ``a`` has."""
+    sliced = pairs.withColumn("slice", F.pmod(F.xxhash64("b"), F.lit(SLICES)))
+    sizes = sliced.groupBy("a", "slice").agg(F.count("*").alias("n"))
+    parts = sizes.select("a", "slice", F.ceil(F.sum("n").over(Window.partitionBy("a")) / GROUP).alias("parts"))
+    placed = sliced.join(parts, ["a", "slice"]).select(
+        "a", "b", F.pmod(F.xxhash64("b", F.lit(SEED)), F.col("parts")).alias("part"))
+    partners = placed.select(F.col("b").alias("node"), F.col("a").alias("group"), "part", F.lit(1).alias("role"))
+    heads = placed.select(F.col("a").alias("node"), F.col("a").alias("group"), "part", F.lit(0).alias("role")).distinct()
+    return partners.unionByName(heads)
+
+
+def _shingle_sets(texts: DataFrame) -> DataFrame:
+    """``group``, ``part``, ``role``, ``node`` and ``set``: the text's different shingles' hashes in rising order, as unsigned 32-bit numbers."""
+    schema = T.StructType([T.StructField("group", T.LongType()), T.StructField("part", T.LongType()),
+                           T.StructField("role", T.IntegerType()), T.StructField("node", T.LongType()),
+                           T.StructField("set", T.BinaryType())])
 
     def prepare():
         from xxhash import xxh3_64_intdigest
 
         def collected(columns: dict[str, list]) -> dict[str, list]:
-            sets = []
-            for body in columns["text"]:
-                parts, n = shingles(body, SHINGLE)
-                hashes = np.fromiter(map(xxh3_64_intdigest, parts), dtype=np.uint64, count=n)
-                sets.append(np.unique(hashes.astype(np.uint32)).astype("<u4").tobytes())
-            return {"node": columns["node"], "set": sets}
+            sets, last, of = [], None, b""
+            for node, body in zip(columns["node"], columns["text"]):
+                if node != last:  # a text asked for several times comes several times in a row
+                    parts, n = shingles(body, SHINGLE)
+                    hashes = np.fromiter(map(xxh3_64_intdigest, parts), dtype=np.uint64, count=n)
+                    last, of = node, np.unique(hashes.astype(np.uint32)).astype("<u4").tobytes()
+                sets.append(of)
+            return {**{name: columns[name] for name in ("group", "part", "role", "node")}, "set": sets}
 
         return collected
 
-    return map_rows(docs, ["node", "text"], schema, prepare)
+    return map_rows(texts, ["group", "part", "role", "node", "text"], schema, prepare)
+
+
+def _alike(sets: DataFrame, likeness: float) -> DataFrame:
+    """The pairs ``a``, ``b`` of a part's head and its partners whose sets share enough."""
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+
+    def prepare():
+        head, own = None, np.zeros(0, dtype="<u4")
+
+        def compared(columns: dict[str, list]) -> dict[str, list]:
+            nonlocal head, own
+            rows: dict[str, list] = {"a": [], "b": []}
+            for group, part, role, node, found in zip(*(columns[name] for name in ("group", "part", "role", "node", "set"))):
+                other = np.frombuffer(found, "<u4")
+                if role == 0:
+                    head, own = (group, part), other
+                elif head == (group, part):
+                    shared = len(np.intersect1d(own, other, assume_unique=True))
+                    if shared >= likeness * (len(own) + len(other) - shared):
+                        rows["a"].append(group)
+                        rows["b"].append(node)
+                else:
+                    raise ValueError("a part without its head")
+            return rows
+
+        return compared
+
+    dealt = sets.repartition("group", "part").sortWithinPartitions("group", "part", "role")
+    return map_rows(dealt, ["group", "part", "role", "node", "set"], schema, prepare)
 
 
-def _alike(pairs: DataFrame, likeness: float) -> DataFrame:
-    """The pairs ``a``, ``b`` whose sets ``one`` and ``other`` share enough."""
+def _can_share(pairs: DataFrame, contents: DataFrame, likeness: float) -> DataFrame:
+    """The pairs whose bitmaps leave room for enough shared shingles."""
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
     def prepare():
         def compared(columns: dict[str, list]) -> dict[str, list]:
             rows: dict[str, list] = {"a": [], "b": []}
-            for a, b, one, other in zip(columns["a"], columns["b"], columns["one"], columns["other"]):
-                x, y = np.frombuffer(one, "<u4"), np.frombuffer(other, "<u4")
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                if shared >= likeness * (len(x) + len(y) - shared):
+            for a, b, n, m, one, other in zip(*(columns[name] for name in ("a", "b", "n_a", "n_b", "bitmap_a", "bitmap_b"))):
+                if most_shared(n, one, m, other) >= (n + m) * likeness / (1 + likeness) - 1e-6:
                     rows["a"].append(a)
                     rows["b"].append(b)
             return rows
 
         return compared
 
-    return map_rows(pairs, ["a", "b", "one", "other"], schema, prepare)
+    both = pairs
+    for side in ("a", "b"):
+        both = both.join(contents.select(
+            F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bitmap").alias(f"bitmap_{side}")), side)
+    return map_rows(both, ["a", "b", "n_a", "n_b", "bitmap_a", "bitmap_b"], schema, prepare)
 
 
 def _differing(one: Column, other: Column) -> Column:
@@ -146,7 +225,7 @@ def _common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     sample = docs.where(F.pmod("mark", F.lit(SAMPLED)) == 0)
     least = max(OFTEN, sample.count() * COMMON)
     found = map_rows(sample, ["text"], schema, prepare).groupBy("token").agg(F.count("*").alias("n")) \
-        .where(F.col("n") >= least).toArrow()
+        .where(F.col("n") >= least).orderBy(F.desc("n"), "token").limit(MOST_COMMON).toArrow()
     tokens, counts = (found.column(i).to_numpy() for i in (0, 1))
     order = np.argsort(tokens)
     return tokens[order], counts[order]
@@ -223,17 +302,11 @@ def _near(pairs: DataFrame, contents: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, contents: DataFrame, docs: DataFrame, likeness: float) -> DataFrame:
     """The pairs whose shingles are alike, written out."""
-    near = materialize(pairs, "near")
-    asked = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    owners = contents.join(asked, "node").select(
-        "node", F.col("owner.key").alias("_key"), F.col("owner.mark").alias("_mark"))
-    texts = docs.join(owners, F.col("key").eqNullSafe(F.col("_key")) & (F.col("mark") == F.col("_mark"))) \
-        .select("node", "text").dropDuplicates(["node"])
-    sets = materialize(_shingle_sets(texts), "shingle-sets")
-    both = near
-    for side, name in (("a", "one"), ("b", "other")):
-        both = both.join(sets.select(F.col("node").alias(side), F.col("set").alias(name)), side)
-    return materialize(_alike(both, likeness), "near-links")
+    owners = contents.select("node", F.col("owner.key").alias("_key"), F.col("owner.mark").alias("_mark"))
+    asked = materialize(_requests(materialize(pairs, "near")).join(owners, "node"), "asked")
+    texts = docs.join(broadcast_if_small(asked, ASKED_ROWS, ASKED_BYTES),
+                      F.col("key").eqNullSafe(F.col("_key")) & (F.col("mark") == F.col("_mark")))
+    return materialize(_alike(_shingle_sets(texts), likeness).distinct(), "near-links")
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", likeness: float = LIKENESS) -> DataFrame:
@@ -245,26 +318,30 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", likeness: f
         "mark", F.xxhash64("text"))
     rows = materialize(_sketches(own), "sketches")
     contents = materialize(rows.groupBy("node").agg(
-        F.min(F.struct("key", "mark")).alias("owner"), F.first("bits").alias("bits"),
-        F.first("blocks").alias("blocks")), "contents")
-    keyed = contents.select("node", F.col("bits")[0].alias("word"), F.posexplode("blocks").alias("block", "value"))
-    sizes = keyed.groupBy("block", "value").agg(F.count("*").alias("size")).where("size > 1")
-    shared = materialize(keyed.join(sizes, ["block", "value"]), "shared")
+        F.min(F.struct("key", "mark")).alias("owner"), *[F.first(name).alias(name) for name in ("bits", "blocks", "n", "bitmap")]),
+        "contents")
+    # A block's number and value in one long: these are the most rows of all, so they are kept narrow.
+    keyed = contents.select("node", F.posexplode("blocks").alias("place", "value")).select(
+        "node", (F.shiftleft(F.col("place").cast("bigint"), BLOCK_BITS) + F.col("value")).alias("block"))
+    sizes = keyed.groupBy("block").agg(F.count("*").alias("size")).where("size > 1")
+    shared = materialize(keyed.join(sizes, "block"), "shared")
 
     def close(one: Column, other: Column) -> Column:
         return F.bit_count(one.bitwiseXOR(other)) <= MOST_IN_WORD
 
     degrees = shared.groupBy("node").agg(F.sum("size").alias("degree"))
-    ranked = materialize(shared.join(degrees, "node").select("block", "value", "node", "word", "degree"), "ranked")
-    leads = ranked.groupBy("block", "value").agg(F.max(F.struct("degree", "node", "word")).alias("hub"))
-    hubs = ranked.join(leads, ["block", "value"]).where(
+    led = degrees.join(contents.select("node", F.col("bits")[0].alias("word")), "node")
+    ranked = materialize(shared.join(led, "node").select("block", "node", "word", "degree"), "ranked")
+    leads = ranked.groupBy("block").agg(F.max(F.struct("degree", "node", "word")).alias("hub"))
+    hubs = ranked.join(leads, "block").where(
         (F.col("node") != F.col("hub.node")) & close(F.col("word"), F.col("hub.word"))) \
         .groupBy("node").agg(F.max(F.struct("hub.degree", "hub.node")).alias("hub")) \
         .select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
     first = _verified(_near(hubs, contents), contents, own, likeness)
     roots = components(first, "a", "b")
     prefixes = materialize(_prefixes(own, likeness), "prefixes")
-    second = _verified(_meeting(prefixes, roots, likeness), contents, own, likeness)
+    met = materialize(_meeting(prefixes, roots, likeness), "met")
+    second = _verified(_can_share(met, contents, likeness), contents, own, likeness)
     final = components(first.unionByName(second), "a", "b").withColumnRenamed("node", "_node")
     return rows.join(final, F.col("node") == F.col("_node"), "left").select(
         F.col("key").alias(key), "mark", F.coalesce("root", "node").alias("root"))

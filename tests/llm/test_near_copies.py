@@ -136,3 +136,24 @@ def test_fingerprint_bits():
     assert len(set(words.tolist())) == near_copies.WORDS
     assert len(near_copies.block_values(words)) == near_copies.BLOCKS
     assert not near_copies.wide_fingerprint(hashes[:0]).any()
+
+
+def test_bitmaps_never_rule_out_what_is_shared():
+    draw = random.Random(7)
+    for n, m, shared in [(0, 0, 0), (1, 1, 1), (5, 4, 3), (60, 70, 58), (900, 300, 200), (70_000, 80_000, 60_000), (40, 90_000, 40)]:
+        pool = [draw.getrandbits(64) for _ in range(n + m - shared)]
+        a, b = (np.array(sorted(x), dtype=np.uint64) for x in (pool[:n], pool[n - shared:]))
+        most = near_copies.most_shared(n, near_copies.bitmap(a), m, near_copies.bitmap(b))
+        assert shared <= most <= min(n, m) and most == near_copies.most_shared(m, near_copies.bitmap(b), n, near_copies.bitmap(a))
+    # Sets without anything in common are far apart.
+    a, b = (np.array([draw.getrandbits(64) for _ in range(600)], dtype=np.uint64) for _ in range(2))
+    assert near_copies.most_shared(600, near_copies.bitmap(a), 600, near_copies.bitmap(b)) < 500
+
+
+def test_groups_larger_than_a_part_and_lists_too_long_to_send(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "GROUP", 4)
+    monkeypatch.setattr(near_copies, "ASKED_ROWS", 10)
+    draw = random.Random(11)
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(edited(words, 0.004, draw, ["x", "y", "zz"])) for _ in range(60)] + planted(10, 4, 0.002, 6)
+    assert classes(spark, texts) == as_classes(brute_groups(texts))
