@@ -363,6 +363,32 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _phrase_sql() -> str:
+    """Places of each phrase: where its first word stands and the others follow."""
+    parts = []
+    for phrase, label in licenses.PHRASES:
+        words = phrase.split()
+        same = " AND ".join(f"words[i + {k}] = {_sql_text(word)}" for k, word in enumerate(words, 1))
+        parts.append(f"SELECT d, i, {_sql_text(label)} AS label FROM places WHERE {same}")
+    return " UNION ALL ".join(parts)
+
+
+# The columns that the phrases decide; a test holds the query's against it. The notices' bounded errors are beyond SQL.
+OP10_BASE_SQL = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), {_sql_text(licenses.WORD)}) AS words FROM documents),
+places AS (SELECT d, words, unnest(range(len(words))) AS i FROM docs),
+found AS ({_phrase_sql()}),
+told AS (
+    SELECT d, count(*) AS n, min(i) AS low, max(i) AS high, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM found GROUP BY d)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, low AS first_word, high AS last_word,
+       coalesce(labels, '') AS base_labels
+FROM docs LEFT JOIN told USING (d)
+"""
+
+
 # A conversation begins with up to this many turns, less one, of the first of its five.
 LENT, FAMILY = 9, 5
 
