@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.features import feature_view
-from millrace.operators.merge import BUCKET
+from millrace.operators.merge import index_files
 from millrace.operators.ranking import first_rows
 from millrace.plans.eda import OVERVIEW_METRICS, summary_document, summary_sections
 from millrace.plans.gold import refresh_gold
@@ -120,9 +120,10 @@ def predict(spark: SparkSession, args) -> None:
 
 
 def compact_clean(spark: SparkSession, args) -> None:
-    """Rewrite the clean table into a new folder of few, even files."""
+    """Rewrite the clean table into a new folder of few, even files, with an index of their keys."""
     with sized_shuffles(spark, f"{args.root}/clean"):
-        compact(spark, f"{args.root}/clean", args.target, [BUCKET, "event_year"], [INCIDENTS.key])
+        compact(spark, f"{args.root}/clean", args.target, ["event_year"], [INCIDENTS.key])
+    index_files(spark, args.target, INCIDENTS.key, set())
 
 
 def parser() -> argparse.ArgumentParser:

@@ -3,19 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.functions.hashing import key_bucket
+from millrace.operators import keyindex
 from millrace.sources.tables import table_if_exists, write_table
 
-# Partition column of tables that are merged into, and how many values it has.
-BUCKET = "key_bucket"
-KEY_BUCKETS = 64
 # Largest key list sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Most partition values listed in a filter.
-MOST_PARTITIONS = 1000
+# Most partition values listed in a filter, and most files listed for a scan.
+MOST_PARTITIONS, MOST_FILES = 1000, 10_000
 # Rough cost of one entry in a broadcast hash table besides its text.
 _ENTRY_BYTES = 64
 
@@ -37,26 +35,6 @@ def unmatched(source: DataFrame, target: DataFrame, key: str,
     return source.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
 
 
-def with_bucket(df: DataFrame, key: str, buckets: int = KEY_BUCKETS) -> DataFrame:
-    """Adds ``key_bucket``, which depends on the key alone: a key never changes its partition."""
-    return df.withColumn(BUCKET, key_bucket(F.col(key), buckets).cast("int"))
-
-
-def same_buckets(target: DataFrame, keys: DataFrame, key: str, buckets: int = KEY_BUCKETS) -> DataFrame:
-    """The part of a table with ``key_bucket`` that can hold ``keys``.
-
-    Buckets without any of the keys are pruned from the listing; inside the others, files sorted by
-    key are skipped by their statistics outside the keys' smallest and largest.
-    """
-    span = with_bucket(keys.select(key), key, buckets).agg(
-        F.collect_set(BUCKET).alias("buckets"), F.min(key).alias("low"), F.max(key).alias("high"),
-        F.count_if(F.col(key).isNull()).alias("missing")).first()
-    inside = F.col(BUCKET).isin(span["buckets"])
-    if span["missing"] or span["low"] is None:
-        return target.where(inside)
-    return target.where(inside & F.col(key).between(span["low"], span["high"]))
-
-
 def same_partitions(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
     """The part of ``target`` in the partitions ``source`` touches, by static pruning.
 
@@ -77,9 +55,26 @@ def key_bytes(source: DataFrame, key: str) -> tuple[int, int]:
     return rows, size
 
 
+def table_files(table: DataFrame, path: str) -> list[str]:
+    """The files of a table as paths below its folder, from its listing; special characters are percent-encoded."""
+    mark = "/" + path.rstrip("/").rsplit("/", 1)[-1] + "/"
+    return [name.rpartition(mark)[2] for name in table.inputFiles()]
+
+
+def files_of_keys(target: DataFrame, path: str, keys: DataFrame, key: str, rows: int) -> DataFrame:
+    """The part of a table whose files may hold ``keys``: the others are not opened."""
+    spark = target.sparkSession
+    listed = table_files(target, path)
+    wanted = keyindex.files_with(spark, path, listed, keys, key, rows)
+    if len(wanted) == len(listed) or len(wanted) > MOST_FILES:
+        return target
+    if not wanted:
+        return target.limit(0)
+    return spark.read.schema(target.schema).option("basePath", path).parquet(*[f"{path}/{unquote(name)}" for name in wanted])
+
+
 def merge_new_keys(source: DataFrame, path: str, key: str, partition_by: Sequence[str] = (),
-                   stable_partitions: bool = False, keys: DataFrame | None = None,
-                   buckets: int | None = None) -> int:
+                   stable_partitions: bool = False, keys: DataFrame | None = None, indexed: bool = False) -> int:
     """Append the rows of ``source`` whose key the table does not hold; returns the rows asked for.
 
     ``source`` holds each key once. The first version of a key to arrive stays. Running the same
@@ -89,28 +84,38 @@ def merge_new_keys(source: DataFrame, path: str, key: str, partition_by: Sequenc
     compute: it is then computed once, by the write.
 
     ``stable_partitions`` promises that a key never changes its partition; the target scan is then
-    pruned to the partitions the source touches. With ``buckets`` the table is laid out by
-    ``key_bucket`` first and each file sorted by key, and the scan is pruned by both.
+    pruned to the partitions the source touches. With ``indexed`` each file is sorted by key and noted in an index of
+    keys beside the table, and only files that may hold one of the keys are scanned (``keyindex``). A merge writes as many files as
+    its rows need, at least one for each partition value it touches.
     """
     keys = source if keys is None else keys
     rows, size = key_bytes(keys, key)
     if rows == 0:
         return 0
-    target = table_if_exists(source.sparkSession, path)
+    spark = source.sparkSession
+    target = table_if_exists(spark, path)
     fresh = source
     if target is not None:
-        if buckets:
-            target = same_buckets(target, keys, key, buckets)
+        pruned = target
+        if indexed:
+            pruned = files_of_keys(target, path, keys, key, rows)
         elif stable_partitions:
-            target = same_partitions(source, target, partition_by[0])
-        fresh = unmatched(source, target, key, keys if size <= BROADCAST_BYTES else None)
-    write_keyed(fresh, path, key, partition_by, buckets, mode="append")
+            pruned = same_partitions(source, target, partition_by[0])
+        fresh = unmatched(source, pruned, key, keys if size <= BROADCAST_BYTES else None)
+    write_table(fresh, path, partition_by, "append", sort_by=[key] if indexed else [])
+    if indexed:
+        index_files(spark, path, key, set() if target is None else set(table_files(target, path)))
     return rows
 
 
-def write_keyed(df: DataFrame, path: str, key: str, partition_by: Sequence[str] = (),
-                buckets: int | None = KEY_BUCKETS, mode: str = "overwrite") -> None:
-    """Write a table in the layout that merges prune by; without ``buckets`` just partitioned."""
-    if buckets:
-        df, partition_by = with_bucket(df, key, buckets), (BUCKET, *partition_by)
-    write_table(df, path, partition_by, mode, sort_by=[key] if buckets else [])
+def index_files(spark: SparkSession, path: str, key: str, known: set[str]) -> None:
+    """Notes the keys of files that are not ``known``."""
+    table = table_if_exists(spark, path)
+    if table is not None:
+        keyindex.add_files(spark, path, [name for name in table_files(table, path) if name not in known], key)
+
+
+def write_keyed(df: DataFrame, path: str, key: str, partition_by: Sequence[str] = ()) -> None:
+    """Write a table anew in the layout that merges prune by: sorted files and their index."""
+    write_table(df, path, partition_by, "overwrite", sort_by=[key])
+    index_files(df.sparkSession, path, key, set())

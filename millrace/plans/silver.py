@@ -22,4 +22,4 @@ def rebuild_silver(spark: SparkSession, raw_path: str, path: str,
     if complete_rows(raw, spec).isEmpty():
         raise RuntimeError(f"no complete rows in {raw_path}")
     write_keyed(clean_events(raw, spec), path, spec.key, ("event_year",))
-    return spark.read.parquet(path).count()
+    return read_table(spark, path).count()

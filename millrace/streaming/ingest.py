@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.sources.messages import decode_messages
+from millrace.sources.tables import note_columns
 from millrace.spec import PAYLOAD_SCHEMA
 
 
@@ -15,9 +16,11 @@ def ingest_writer(messages: DataFrame, path: str, checkpoint: str,
     """Parse and append, one folder per event date; the checkpoint makes it exactly-once.
 
     Every task writes a file of its own for each date it meets. Where batches are small and mix
-    many dates, ``writers_per_date`` shuffles them first, so that a date gets that many files.
+    many dates, ``writers_per_date`` shuffles them first, so that a date gets that many files. The table's
+    columns are noted beside it here.
     """
     rows = decode_messages(messages, payload_schema)
+    note_columns(messages.sparkSession, path, rows.schema)
     if writers_per_date:
         writer = F.pmod(F.xxhash64("kafka_key"), F.lit(writers_per_date))
         rows = rows.repartition(F.col("event_date"), writer)

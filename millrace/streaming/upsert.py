@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.operators.clean import clean_events, complete_rows
-from millrace.operators.merge import KEY_BUCKETS, merge_new_keys
+from millrace.operators.merge import merge_new_keys
 from millrace.sources.tables import read_table
 from millrace.spec import INCIDENTS, SILVER_COLUMNS, EventSpec
 
@@ -25,18 +25,17 @@ def raw_table_stream(spark: SparkSession, path: str, batch_bytes: int = BATCH_BY
 
 def batch_upsert(path: str, spec: EventSpec = INCIDENTS,
                  columns: tuple[str, ...] = SILVER_COLUMNS,
-                 partition_by: tuple[str, ...] = ("event_year",),
-                 buckets: int = KEY_BUCKETS) -> Callable[[DataFrame, int], None]:
+                 partition_by: tuple[str, ...] = ("event_year",)) -> Callable[[DataFrame, int], None]:
     """Clean a micro-batch and append the keys the table lacks; an empty one does nothing.
 
-    The table is laid out by key buckets, so that a batch looks at those it touches only. Columns
+    An index of keys beside the table tells which files a batch has to look at. Columns
     that the raw rows do not have yet are left out until they do. A key stays as it first arrived. A repeated batch finds its keys already there.
     """
     def upsert(batch: DataFrame, batch_id: int) -> None:
         # Emptiness and key sizes come from the raw rows' key column, so the cleaned rows are
         # computed once, by the write, and need no cache.
         merge_new_keys(clean_events(batch, spec, columns), path, spec.key, partition_by,
-                       keys=complete_rows(batch, spec), buckets=buckets)
+                       keys=complete_rows(batch, spec), indexed=True)
 
     return upsert
 

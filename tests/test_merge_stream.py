@@ -1,14 +1,15 @@
 """Insert-only merge and the streaming jobs."""
 
+from collections import Counter
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import merge
+from millrace.operators import keyindex, merge
 from millrace.plans.silver import rebuild_silver
 from millrace.sources.messages import file_messages, to_messages, with_envelope
-from millrace.sources.tables import table_if_exists
+from millrace.sources.tables import read_table, table_if_exists, write_table
 from millrace.spec import MESSAGE_SCHEMA, PAYLOAD_SCHEMA, SILVER_COLUMNS
 from millrace.streaming.ingest import ingest_writer
 from millrace.streaming.run import drain, run_continuously
@@ -67,7 +68,7 @@ def test_stable_partitions_prune_the_target(spark, tmp_path, monkeypatch):
 def test_missing_keys_are_merged_once(spark, tmp_path):
     path, batch = str(tmp_path / "t"), keyed(spark, [(None, "a", 1), (1, "a", 1)])
     for _ in range(3):
-        merge.merge_new_keys(batch, path, "k", ["p"], buckets=4)
+        merge.merge_new_keys(batch, path, "k", ["p"], indexed=True)
     assert spark.read.parquet(path).count() == 2
     plain = str(tmp_path / "plain")
     for _ in range(3):
@@ -76,19 +77,87 @@ def test_missing_keys_are_merged_once(spark, tmp_path):
 
 
 @pytest.mark.parametrize("limit", [merge.BROADCAST_BYTES, 0])
-def test_key_buckets_prune_the_target(spark, tmp_path, monkeypatch, limit):
+@pytest.mark.parametrize("looked_up", [keyindex.LOOKED_UP, 0])
+def test_merge_by_index_equals_merge_without(spark, tmp_path, monkeypatch, limit, looked_up):
     monkeypatch.setattr(merge, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(keyindex, "LOOKED_UP", looked_up)
+    paths = str(tmp_path / "indexed"), str(tmp_path / "plain")
+    for batch in ([(n * 7 % 500, "a", n % 3) for n in range(200)], [(7, "b", 1), (501, "b", 2), (None, "b", 0)],
+                  [(n, "c", 1) for n in range(0, 600, 3)], [(None, "d", 1), (1, "d", 1)]):
+        for path, indexed in zip(paths, (True, False)):
+            merge.merge_new_keys(keyed(spark, batch).dropDuplicates(["k"]), path, "k", ["p"], indexed=indexed)
+    one, other = (Counter(map(tuple, read_table(spark, path).select("k", "v", "p").collect())) for path in paths)
+    assert one == other
+
+
+def years(spark, start):
+    """20,000 rows over seven years, their keys mixed over the whole range."""
+    key = (F.col("id") * 48_271 + start) % 2_147_483_647
+    return spark.range(20_000).select(key.alias("k"), F.lit("x").alias("v"), (2018 + F.col("id") % 7).cast("int").alias("p"))
+
+
+def test_a_merge_writes_a_file_a_year_and_small_batches_open_few(spark, tmp_path):
     path = str(tmp_path / "t")
-    merge.merge_new_keys(keyed(spark, [(n, "a", n % 3) for n in range(200)]), path, "k", ["p"], buckets=16)
-    batch = keyed(spark, [(7, "b", 0), (500, "b", 1)])
-    pruned = merge.same_buckets(spark.read.parquet(path), batch, "k", 16)
-    plan = pruned._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(key_bucket" in plan or "PartitionFilters: [key_bucket" in plan
-    assert "GreaterThanOrEqual(k,7)" in plan and "LessThanOrEqual(k,500)" in plan
-    # A key whose other columns have changed is found all the same: its bucket does not change.
-    merge.merge_new_keys(batch, path, "k", ["p"], buckets=16)
-    table = spark.read.parquet(path)
-    assert table.count() == 201 and table.where("v = 'b'").first()["k"] == 500
+    for start in (0, 10**7, 2 * 10**7):
+        merge.merge_new_keys(years(spark, start), path, "k", ["p"], indexed=True)
+    table = read_table(spark, path)
+    files = merge.table_files(table, path)
+    assert table.count() == 60_000 and len(files) == 21
+    # 200 keys that are spread over all files' ranges, and one year's rows of one merge.
+    absent = spark.range(200).select(((F.col("id") * 9_999_991) % 2_000_000_000 + 3).alias("k"))
+    opened = merge.files_of_keys(table, path, absent, "k", 200)
+    assert len(opened.inputFiles()) < len(files) // 2
+    there = years(spark, 0).where("p = 2019").limit(200)
+    found = merge.files_of_keys(table, path, there, "k", 200)
+    assert len(found.inputFiles()) < len(files) // 2 and found.join(there.select("k"), "k").count() == 200
+    merge.merge_new_keys(there.withColumn("v", F.lit("again")), path, "k", ["p"], indexed=True)
+    assert read_table(spark, path).count() == 60_000
+
+
+def test_files_that_no_index_knows_are_scanned(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge.merge_new_keys(keyed(spark, [(1, "a", 1)]), path, "k", ["p"], indexed=True)
+    write_table(keyed(spark, [(2, "a", 1)]), path, ["p"], "append")  # a run that ended before its index was written
+    merge.merge_new_keys(keyed(spark, [(1, "b", 1), (2, "b", 1), (3, "b", 2)]), path, "k", ["p"], indexed=True)
+    assert {(r["k"], r["v"]) for r in read_table(spark, path).collect()} == {(1, "a"), (2, "a"), (3, "b")}
+
+
+def test_filters_have_no_false_misses_and_few_false_hits(spark, tmp_path):
+    rows = spark.range(10_000).select((F.col("id") * 2).alias("k"))
+    rows.coalesce(1).sortWithinPartitions("k").write.parquet(str(tmp_path / "t"))
+    path = str(tmp_path / "t")
+    listed = merge.table_files(spark.read.parquet(path), path)
+    keyindex.add_files(spark, path, listed, "k")
+    index = spark.read.parquet(f"{path}/{keyindex.FOLDER}")
+    assert index.count() == 7  # pages
+    def hits(keys):
+        return [k for k in keys if keyindex.files_with(spark, path, listed, spark.createDataFrame([(k,)], "k BIGINT"), "k", 1)]
+    assert hits(range(0, 20_000, 2_500)) == list(range(0, 20_000, 2_500))
+    asked = spark.range(10_000).select((F.col("id") * 2 + 1).alias("k")).withColumn("positions", keyindex._positions(F.col("k")))
+    false = index.join(asked, F.col("k").between(F.col("low"), F.col("high"))).where(
+        F.forall("positions", lambda p: keyindex._has(F.col("bits"), p))).count()
+    assert false <= 20
+
+
+def test_columns_are_noted_and_no_footer_is_opened_for_them(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(keyed(spark, [(1, "a", 1)]), path, ["p"])
+    write_table(keyed(spark, [(2, "a", 1)]).withColumn("new", F.lit(5)), path, ["p"], "append")
+    (tmp_path / "t" / "p=1" / "part-broken.parquet").write_bytes(b"no parquet at all")
+    assert read_table(spark, path).columns == ["k", "v", "new", "p"]  # the plan needs no file
+    (tmp_path / "t" / "p=1" / "part-broken.parquet").unlink()
+    assert {(r["k"], r["new"]) for r in read_table(spark, path).collect()} == {(1, None), (2, 5)}
+    with pytest.raises(ValueError, match="new"):
+        write_table(keyed(spark, [(3, "a", 1)]).withColumn("new", F.lit("text")), path, ["p"], "append")
+    write_table(keyed(spark, [(9, "z", 1)]), path)
+    assert read_table(spark, path).columns == ["k", "v", "p"]
+
+
+def test_an_append_to_a_table_without_a_note_keeps_its_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    keyed(spark, [(1, "a", 1)]).withColumn("old", F.lit(1)).write.parquet(path)
+    write_table(keyed(spark, [(2, "b", 1)]).withColumn("new", F.lit(2)), path, mode="append")
+    assert set(read_table(spark, path).columns) == {"k", "v", "p", "old", "new"}
 
 
 def payload(spark, ids, note, hour=10):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.clean import newest_per_key
 from millrace.operators.evaluation import confusion_counts, per_class_metrics
-from millrace.operators.merge import BUCKET, merge_new_keys
+from millrace.operators.merge import merge_new_keys
 from millrace.plans.gold import refresh_changed, refresh_gold
 from millrace.plans.silver import rebuild_silver
 from millrace.session import materialize, scratch_path
@@ -35,8 +35,8 @@ def merge_insert_only(spark, sf):
     lines = _lines(spark, sf)
     for batch in (lines.where("l_linestatus = 'F'"), lines):
         newest = materialize(newest_per_key(batch, "line_id", ["l_shipdate"]), "newest-lines")
-        merge_new_keys(newest, path, "line_id", ["ship_year"], buckets=8)
-    return tables.read_table(spark, path).drop(BUCKET)
+        merge_new_keys(newest, path, "line_id", ["ship_year"], indexed=True)
+    return tables.read_table(spark, path)
 
 
 def _newest(condition: str) -> str:
