@@ -30,7 +30,7 @@ from millrace.spec import INCIDENTS, TOPIC_BATCH
 from millrace.sources.text import admit, parse_source, read_source, stamp_ingest
 from millrace.streaming.ingest import ingest_writer
 from millrace.streaming.run import INGEST_SECONDS, UPSERT_SECONDS, drain, run_continuously
-from millrace.streaming.upsert import raw_table_stream, upsert_writer
+from millrace.streaming.upsert import growing_upsert_writer
 
 
 def _clean(spark: SparkSession, args) -> DataFrame:
@@ -74,8 +74,8 @@ def ingest(spark: SparkSession, args) -> None:
 
 def clean(spark: SparkSession, args) -> None:
     """Raw table to the clean table, as a stream."""
-    raw = raw_table_stream(spark, f"{args.root}/raw", args.batch_bytes)
-    writer = upsert_writer(raw, f"{args.root}/clean", f"{args.root}/checkpoints/clean")
+    writer = growing_upsert_writer(spark, f"{args.root}/raw", f"{args.root}/clean", f"{args.root}/checkpoints/clean",
+                                   batch_bytes=args.batch_bytes)
     _run_stream(writer, args, UPSERT_SECONDS)
 
 

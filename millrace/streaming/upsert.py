@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
@@ -40,6 +41,29 @@ def batch_upsert(path: str, spec: EventSpec = INCIDENTS,
     return upsert
 
 
+_FILES = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
+
+def growing_upsert_writer(spark: SparkSession, raw_path: str, path: str, checkpoint: str, spec: EventSpec = INCIDENTS,
+                          batch_bytes: int = BATCH_BYTES) -> DataStreamWriter:
+    """``upsert_writer`` for a stream that keeps running while the raw table gains columns.
+
+    The stream carries the names of new files only, so it has no columns to keep: each micro-batch reads its
+    files with the columns that the raw table's note has by then. The driver gets as many names as ``batch_bytes`` allow.
+    """
+    upsert = batch_upsert(path, spec)
+    names = spark.readStream.format("binaryFile").schema(_FILES).option("maxBytesPerTrigger", batch_bytes).option(
+        "pathGlobFilter", "*.parquet").load(raw_path).select("path")
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        files = [unquote(row["path"]) for row in batch.collect()]
+        if files:
+            schema = read_table(spark, raw_path).schema
+            upsert(spark.read.schema(schema).option("basePath", raw_path).parquet(*files), batch_id)
+
+    return names.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+
+
 def upsert_writer(raw: DataFrame, path: str, checkpoint: str,
                   spec: EventSpec = INCIDENTS) -> DataStreamWriter:
     return raw.writeStream.foreachBatch(batch_upsert(path, spec)).option(

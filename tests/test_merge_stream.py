@@ -13,7 +13,7 @@ from millrace.sources.tables import read_table, table_if_exists, write_table
 from millrace.spec import MESSAGE_SCHEMA, PAYLOAD_SCHEMA, SILVER_COLUMNS
 from millrace.streaming.ingest import ingest_writer
 from millrace.streaming.run import drain, run_continuously
-from millrace.streaming.upsert import batch_upsert, raw_table_stream, upsert_writer
+from millrace.streaming.upsert import batch_upsert, growing_upsert_writer, raw_table_stream, upsert_writer
 
 
 def keyed(spark, rows):
@@ -257,3 +257,29 @@ def test_continuous_run(spark, tmp_path):
         assert spark.read.parquet(pipeline.raw).count() == 4
     finally:
         query.stop()
+
+
+def test_a_running_stream_takes_in_a_new_column(spark, tmp_path):
+    pipeline = Pipeline(spark, tmp_path)
+    fields = PAYLOAD_SCHEMA.split(", ")
+    without = ", ".join(f for f in fields if not f.startswith("ward "))
+
+    def ingest(schema):
+        drain(ingest_writer(file_messages(spark, pipeline.sent), pipeline.raw, pipeline.raw_cp, payload_schema=schema))
+
+    send(spark, pipeline.sent, range(4), "before")
+    ingest(without)
+    query = run_continuously(growing_upsert_writer(spark, pipeline.raw, pipeline.clean, pipeline.clean_cp), 1)
+    try:
+        query.processAllAvailable()
+        assert "ward" not in read_table(spark, pipeline.clean).columns
+        send(spark, pipeline.sent, range(2, 8), "after")
+        ingest(PAYLOAD_SCHEMA)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    rows = {r["id"]: r["ward"] for r in read_table(spark, pipeline.clean).collect()}
+    assert set(rows) == set(range(8)) and {i for i, ward in rows.items() if ward is None} == set(range(4))
+    # Started again, it goes on behind what it has seen.
+    drain(growing_upsert_writer(spark, pipeline.raw, pipeline.clean, pipeline.clean_cp))
+    assert read_table(spark, pipeline.clean).count() == 8
