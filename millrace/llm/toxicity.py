@@ -50,7 +50,7 @@ SHORT, JOINED = 4, 10
 LANDMARKS, CANDIDATES = 96, 2_000
 ROUNDS = 4
 # Parts of the documents that the curve is fitted on, each by a machine that has not seen it.
-FOLDS = 3
+FOLDS = 2
 # Worst sentences a document's score looks at, levels over which it counts sentences, and sentences of one
 # document that training uses at most.
 WORST, LEVELS, TRAINED = 3, (-0.5, 0.0, 0.5), 25
@@ -198,8 +198,7 @@ class Model:
 _SIGN = rf"(?![{''.join(LOOKALIKES)}])[\W\d_]"
 _LETTER = rf"(?:[^\W\d_]|[{''.join(LOOKALIKES)}])"
 _ODD = re.compile(rf"{_LETTER}{_SIGN}+{_LETTER}|(.)\1\1")
-# The same without white space between, to be looked for in whole texts first.
-_ODD_TEXT = re.compile(rf"{_LETTER}(?:{_SIGN}(?<!\s))+{_LETTER}|(\S)\1\1")
+_TRIPLE = re.compile(r"(\S)\1\1")
 _SIGNS, _REPEATS = re.compile(rf"{_SIGN}+"), re.compile(r"(.)\1\1+")
 
 
@@ -208,7 +207,14 @@ def _plain(word: str) -> str:
     return _REPEATS.sub(r"\1", _SIGNS.sub("", word))
 
 
+# Latin letters with accents and the letters they are read as.
+_BARE = str.maketrans({c: "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+                       for c in map(chr, range(0xC0, 0x250))})
+
+
 def _unaccented(word: str) -> str:
+    if max(word) < "\u0250":
+        return word.translate(_BARE)
     return "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c))
 
 
@@ -228,7 +234,9 @@ def units(text: str) -> tuple[list[str], list[int]]:
             at += 1
     original = len(words)
     extra: list[tuple[str, int]] = []
-    odd = {word: _plain(word) for word in set(words) if _ODD.search(word)} if _ODD_TEXT.search(lower) else {}
+    # Most words are letters alone, in texts without a threefold character: there is nothing to look for in them.
+    triple = _TRIPLE.search(lower) is not None
+    odd = {word: _plain(word) for word in set(words) if (triple or not word.isalpha()) and _ODD.search(word)}
     if odd:
         extra += [(odd[word], s) for word, s in zip(words, sentences) if word in odd]
     if not text.isascii():

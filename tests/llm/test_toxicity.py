@@ -96,3 +96,47 @@ def test_odd_texts(spark, odd_docs, no_docs):
     assert {r["score"] for r in toxicity.score(odd_docs, None).collect()} == {0.0}
     # Nothing that could mark a class.
     assert toxicity.learn(["a", "b"], [0, 1]).bias == -1.0
+
+
+def test_accents_and_other_alphabets():
+    clean = [f"the {a}{b} and {b}{a} went to {a}. Then {b}." for a in ("house", "river", "paper", "stone")
+             for b in ("green", "light", "water", "round")]
+    bad = [t + f" You {w} there." for t in clean for w in ("idiot", "trash")]
+    model = toxicity.learn(clean + bad, [0] * len(clean) + [1] * len(bad))
+    letters = toxicity._letters()
+
+    def margin(text):
+        words, _ = toxicity.units(text)
+        return model.word_margins(words, letters).max()
+
+    for text in ("ídiot", "idïot", "ÌDÎÖT", "trâsh", "tr\u0301ash"):
+        assert margin(text) > 0, text
+    for text in ("привет мир", "こんにちは世界", "été où garçon"):
+        assert margin(text) < 0, text
+
+
+def test_long_words_are_counted_like_listed_ones(monkeypatch):
+    letters = toxicity._letters()
+    draw = np.random.default_rng(5)
+    weights = np.where(draw.random(1 << 5 * toxicity.ORDER) < 0.01, draw.normal(size=1 << 5 * toxicity.ORDER), 0).astype(np.float32)
+    model = toxicity.Model(weights, 0.1, np.zeros(1))
+    words = ["".join(draw.choice(list("abcdefgh-é1"), n)) for n in (4, 9, 10, 14, 15, 20, 24, 24)]
+    by_place = model.word_margins(words, letters)
+    monkeypatch.setattr(toxicity, "LISTED", toxicity.WINDOW)
+    assert model.word_margins(words, letters) == pytest.approx(by_place, rel=1e-3, abs=1e-4)
+    monkeypatch.setattr(toxicity, "LISTED", 0)
+    assert model.word_margins(words, letters) == pytest.approx(by_place, rel=1e-3, abs=1e-4)
+
+
+def test_held_out_recall_and_precision_by_language(spark):
+    """On the larger table; languages with at least 20 toxic documents held out have to reach the bound alone."""
+    larger = "/root/testdata/sf0.1"
+    docs, labels = table(spark, larger, "documents"), table(spark, larger, "labels")
+    rows = QUERIES["op9_toxicity"].run(spark, larger).where("held_out").join(labels, "doc_id").join(
+        docs.select("doc_id", "lang"), "doc_id").select("lang", "toxic", "predicted").collect()
+    toxic = [r for r in rows if r["toxic"]]
+    assert sum(r["predicted"] for r in toxic) / len(toxic) >= 0.9
+    assert sum(r["predicted"] for r in toxic) / sum(r["predicted"] for r in rows) >= 0.95
+    for lang in {r["lang"] for r in toxic}:
+        own = [r["predicted"] for r in toxic if r["lang"] == lang]
+        assert len(own) < 20 or sum(own) / len(own) >= 0.9, lang
