@@ -14,6 +14,7 @@ import gzip
 import io
 import math
 import re
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
@@ -84,19 +85,30 @@ def resolve(headers: DataFrame, least: int = 0) -> DataFrame:
     """``headers`` with ``original``, a struct of ``key``, ``record_id``, ``uri``, ``date``, ``bytes`` and ``digest``: of the responses
     with an equal payload of at least ``least`` bytes the one with the largest key, itself perhaps.
 
-    ``headers`` has these columns, ``kind`` and a unique ``record_id``. Missing keys are the smallest; of equal ones the largest
-    ``record_id`` counts. Smaller responses, and revisits whose payload no response has, have none.
+    ``headers`` has these columns, ``kind`` and a unique ``record_id``. Missing keys are the smallest; of equal ones the one whose
+    ``record_id`` has the largest hash counts. Smaller responses, and revisits whose payload no response has, have none.
     """
     sliced = headers.withColumn("_digest", F.coalesce("digest", "record_id")).withColumn(
-        "_slice", F.pmod(F.xxhash64("record_id"), F.lit(SLICES)))
-    candidate = F.when((F.col("kind") == RESPONSE) & (F.col("bytes") >= least), F.struct(
-        "key", "record_id", "uri", "date", "bytes", "digest"))
-    parts = sliced.groupBy("_digest", "_slice").agg(F.max(candidate).alias("original"))
+        "_id", F.xxhash64("record_id")).withColumn("_slice", F.pmod("_id", F.lit(SLICES)))
+    small = F.col("bytes") < least
+    # What is shuffled to find originals is narrow: a digest, a key and a number.
+    candidate = F.when((F.col("kind") == RESPONSE) & ~small, F.struct("key", "_id"))
+    parts = sliced.groupBy("_digest", "_slice").agg(F.max(candidate).alias("top"))
     # One row a slice of a digest.
-    tops = parts.withColumn("original", F.max("original").over(Window.partitionBy("_digest")))
-    small = (F.col("kind") == RESPONSE) & (F.col("bytes") < least)
-    return sliced.join(tops, ["_digest", "_slice"]).withColumn(
-        "original", F.when(~small, F.col("original"))).select(*headers.columns, "original")
+    tops = parts.withColumn("_top", F.max("top").over(Window.partitionBy("_digest"))).select(
+        "_digest", "_slice", F.col("_top._id").alias("_top"))
+    placed = sliced.join(tops, ["_digest", "_slice"])
+    own = F.struct("key", "record_id", "uri", "date", "bytes", "digest")
+    alone = (F.col("kind") == RESPONSE) & small | F.col("_top").isNull()
+    itself = placed.where(alone | (F.col("_top") == F.col("_id"))).select(
+        *headers.columns, F.when(~alone, own).alias("original"))
+    # Only records that refer to another one look for what its header says.
+    others = placed.where(~alone & (F.col("_top") != F.col("_id")))
+    originals = headers.where(F.col("kind") == RESPONSE).select(F.xxhash64("record_id").alias("_top"), own.alias("original"))
+    spread = others.withColumn("_slice", F.pmod(F.xxhash64("_id"), F.lit(SLICES)))
+    asked = spread.select("_top", "_slice").distinct()
+    known = asked.join(originals, "_top")
+    return itself.unionByName(spread.join(known, ["_top", "_slice"]).select(*headers.columns, "original"))
 
 
 def _record_id(*parts: Column) -> Column:
@@ -139,7 +151,7 @@ def write_archives(records: DataFrame, path: str, least: int = 0) -> None:
     own = records.drop("record_id").withColumn("mark", F.xxhash64("key", "uri"))
     # The number is good for one run of the scan only, so it is written with the headers.
     headers = materialize(_headers(own).withColumn("number", F.monotonically_increasing_id()), "headers").withColumn(
-        "record_id", _record_id(F.col("number"), F.col("key"), F.col("uri"), F.col("digest")))
+        "record_id", _record_id(F.lit(uuid.uuid4().hex), F.col("number"), F.col("key"), F.col("digest")))
     decided = materialize(resolve(headers, least), "decided")
     total = headers.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     original = F.col("original")
