@@ -12,7 +12,7 @@ from millrace.sources.messages import file_messages, to_messages, with_envelope
 from millrace.sources.tables import read_table, table_if_exists, write_table
 from millrace.spec import MESSAGE_SCHEMA, PAYLOAD_SCHEMA, SILVER_COLUMNS
 from millrace.streaming.ingest import ingest_writer
-from millrace.streaming.run import drain, run_continuously
+from millrace.streaming.run import backlog_bytes, drain, run_continuously
 from millrace.streaming.upsert import batch_upsert, growing_upsert_writer, raw_table_stream, upsert_writer
 
 
@@ -283,3 +283,26 @@ def test_a_running_stream_takes_in_a_new_column(spark, tmp_path):
     # Started again, it goes on behind what it has seen.
     drain(growing_upsert_writer(spark, pipeline.raw, pipeline.clean, pipeline.clean_cp))
     assert read_table(spark, pipeline.clean).count() == 8
+
+
+def test_a_long_backlog_is_drained_in_few_batches(spark, tmp_path):
+    path = tmp_path / "t"
+    path.mkdir()
+    assert backlog_bytes(spark, str(path), 5) == 5
+    for n in range(64):
+        (path / f"part-{n}.parquet").write_bytes(b"x" * 1_000)
+    assert backlog_bytes(spark, str(path), 5_000) == 5_000  # a short one in batches as small as asked for
+    assert backlog_bytes(spark, str(path), 10) == 4_000
+
+
+def test_a_drained_backlog_of_many_files_stays_whole(spark, tmp_path):
+    pipeline = Pipeline(spark, tmp_path)
+    for start in range(0, 400, 10):
+        send(spark, pipeline.sent, range(start, start + 12), "x")
+    query = ingest_writer(file_messages(spark, pipeline.sent, backlog_bytes(spark, pipeline.sent, 1)), pipeline.raw, pipeline.raw_cp)
+    run = query.trigger(availableNow=True).start()
+    run.awaitTermination()
+    assert 8 <= sum(p["numInputRows"] > 0 for p in run.recentProgress) <= 20  # 40 files, which are 40 batches by their bytes
+    drain(upsert_writer(raw_table_stream(spark, pipeline.raw, backlog_bytes(spark, pipeline.raw, 1)), pipeline.clean, pipeline.clean_cp))
+    clean = read_table(spark, pipeline.clean)
+    assert clean.count() == 402 and clean.select("id").distinct().count() == 402

@@ -9,12 +9,12 @@ from millrace.sources.messages import file_messages, to_messages, with_envelope
 from millrace.sources.tables import read_table
 from millrace.spec import PAYLOAD_SCHEMA, SILVER_COLUMNS
 from millrace.streaming.ingest import ingest_writer
-from millrace.streaming.run import drain
+from millrace.streaming.run import backlog_bytes, drain
 from millrace.streaming.upsert import raw_table_stream, upsert_writer
 from workload import Query
 from workload.bindings import PAYLOAD, _CALENDAR_SQL, payload_millis
 
-# Bytes of a micro-batch, small enough for several of them here.
+# Bytes of a micro-batch at least, small enough for several of them here.
 BATCH_BYTES = 4 << 20
 
 
@@ -33,7 +33,7 @@ def _sent_messages(spark, sf) -> str:
 
 def _bronze(spark, sf) -> str:
     sent, path = _sent_messages(spark, sf), scratch_path(spark, "bronze")
-    stream = file_messages(spark, sent, BATCH_BYTES)
+    stream = file_messages(spark, sent, backlog_bytes(spark, sent, BATCH_BYTES))
     drain(ingest_writer(stream, path, scratch_path(spark, "bronze-checkpoint")))
     return path
 
@@ -45,7 +45,7 @@ def stream_bronze(spark, sf):
 
 def stream_silver(spark, sf):
     raw, path = _bronze(spark, sf), scratch_path(spark, "silver")
-    stream = raw_table_stream(spark, raw, BATCH_BYTES)
+    stream = raw_table_stream(spark, raw, backlog_bytes(spark, raw, BATCH_BYTES))
     drain(upsert_writer(stream, path, scratch_path(spark, "silver-checkpoint")))
     return read_table(spark, path).select(*SILVER_COLUMNS)
 
@@ -63,9 +63,9 @@ def stream_growth(spark, sf):
         key = F.col("key").cast("bigint")
         enveloped = with_envelope(to_messages(wave), "incidents", key % 4, key, F.lit("2024-01-01"))
         enveloped.write.mode("append").parquet(sent)
-        drain(ingest_writer(file_messages(spark, sent, BATCH_BYTES), raw, f"{checkpoints}/raw",
+        drain(ingest_writer(file_messages(spark, sent, backlog_bytes(spark, sent, BATCH_BYTES)), raw, f"{checkpoints}/raw",
                             payload_schema=", ".join(schema)))
-        drain(upsert_writer(raw_table_stream(spark, raw, BATCH_BYTES), clean, f"{checkpoints}/clean"))
+        drain(upsert_writer(raw_table_stream(spark, raw, backlog_bytes(spark, raw, BATCH_BYTES)), clean, f"{checkpoints}/clean"))
     return read_table(spark, clean).select("id", "primary_type", "arrest", "ward", "event_year")
 
 
