@@ -285,6 +285,28 @@ def test_a_running_stream_takes_in_a_new_column(spark, tmp_path):
     assert read_table(spark, pipeline.clean).count() == 8
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string", "double"])
+def test_pages_are_made_as_rows_are_read(spark, tmp_path, kind):
+    path = str(tmp_path / "t")
+    key = F.when(F.col("id") % 50 != 0, F.col("id")).cast(kind)
+    odd = F.when(F.col("id") == 7, F.lit("NaN").cast("double")).otherwise(key) if kind == "double" else key
+    rows = spark.range(8_000).select(odd.alias("k"), (F.col("id") % 2).alias("p"))
+    rows.coalesce(2).sortWithinPartitions("p", "k").write.partitionBy("p").parquet(path)
+    table = spark.read.parquet(path)
+    made = keyindex.pages(table, path, "k")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange hash" not in plan  # neither a file nor its positions are sorted or dealt out
+    found = {(r["file"], r["page"]): (r["low"], r["high"], r["missing"], bytes(r["bits"])) for r in made.collect()}
+    placed = table.select(F.substring_index(F.input_file_name(), "/t/", -1).alias("file"), F.floor(F.col("_metadata.row_index") / keyindex.PAGE).alias("page"),
+                          "k", F.explode(keyindex._positions(F.col("k"))).alias("position"))
+    wanted = placed.groupBy("file", "page").agg(
+        F.min("k").alias("low"), F.max("k").alias("high"), (F.count_if(F.col("k").isNull()) / keyindex.POSITIONS).cast("int").alias("missing"),
+        F.bitmap_construct_agg("position").alias("bits")).collect()
+    assert {(r["file"], r["page"]) for r in wanted} == set(found) and len(wanted) == 8
+    for r in wanted:
+        assert str(found[r["file"], r["page"]]) == str((r["low"], r["high"], r["missing"], bytes(r["bits"])))
+
+
 def test_a_long_backlog_is_drained_in_few_batches(spark, tmp_path):
     path = tmp_path / "t"
     path.mkdir()
