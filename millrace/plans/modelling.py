@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from math import ceil
 
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
@@ -29,9 +30,9 @@ from millrace.session import broadcast_if_small, materialize, scratch_path
 from millrace.sources.text import write_result
 from millrace.spec import INCIDENTS, MODEL_FEATURES, PREDICTION_COLUMNS, EventSpec
 
-# How many parts the training rows are dealt into, by their keys. Fits depend on it, so it is a setting and
-# follows neither the cores nor the size of the input.
-PARTITIONS = 16
+# How many parts the training rows are dealt into at least, by their keys, and the most rows of a part. Fits depend on it, so
+# it follows the rows alone and not the cores: the same rows make the same parts everywhere.
+PARTITIONS, PART_ROWS = 16, 200_000
 
 # Hyper-parameters of the five classifiers; ``LIGHT`` is the smaller forest and
 # boosting that fit small machines, used only on demand.
@@ -83,7 +84,8 @@ def labelled_rows(df: DataFrame, labels: DataFrame, spec: EventSpec = INCIDENTS)
 def prepare(df: DataFrame, spec: EventSpec = INCIDENTS, fraction: float = 1.0, top_n: int = 5,
             train_ratio: float = 0.8, features: Sequence[str] = MODEL_FEATURES,
             portable: bool = False, partitions: int = PARTITIONS) -> TrainingData:
-    """Sample, label (top types, else OTHER), assemble, split. ``partitions`` should grow with the rows to fit.
+    """Sample, label (top types, else OTHER), assemble, split. Rows to fit are dealt into ``partitions``, and more
+    from ``PART_ROWS`` rows a part on: a fit keeps its rows in memory, where large parts fill few cores and fit badly.
 
     ``portable`` decides sample and split by a hash that other engines have too.
 
@@ -104,8 +106,9 @@ def prepare(df: DataFrame, spec: EventSpec = INCIDENTS, fraction: float = 1.0, t
                          "training-rows", ("is_train",))
     settings = {"top_n_types": str(top_n), "train_ratio": str(train_ratio),
                 "sample_fraction": str(fraction)}
-    return TrainingData(with_class_names(stored, classes), labels, classes, stored.count(), tuple(features),
-                        partitions, settings)
+    total = stored.count()
+    parts = max(partitions, ceil(total * train_ratio / PART_ROWS))
+    return TrainingData(with_class_names(stored, classes), labels, classes, total, tuple(features), parts, settings)
 
 
 def with_class_names(rows: DataFrame, classes: Sequence[str]) -> DataFrame:

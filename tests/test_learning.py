@@ -216,6 +216,14 @@ def test_models_do_not_depend_on_the_cores(spark, tmp_path):
     assert found[0] == found[1]
 
 
+def test_training_parts_grow_with_the_rows(spark, monkeypatch):
+    assert modelling.prepare(training_table(spark)).train.rdd.getNumPartitions() == modelling.PARTITIONS
+    monkeypatch.setattr(modelling, "PART_ROWS", 20)
+    data = modelling.prepare(training_table(spark))
+    assert data.partitions == 24 and data.train.rdd.getNumPartitions() == 24  # 0.8 of 600 rows
+    assert modelling.prepare(training_table(spark), partitions=30).partitions == 30
+
+
 def test_other_features_keep_their_names(spark, tmp_path):
     chosen = ("district", "latitude")
     data = modelling.prepare(training_table(spark), features=chosen)
