@@ -328,3 +328,13 @@ def test_a_drained_backlog_of_many_files_stays_whole(spark, tmp_path):
     drain(upsert_writer(raw_table_stream(spark, pipeline.raw, backlog_bytes(spark, pipeline.raw, 1)), pipeline.clean, pipeline.clean_cp))
     clean = read_table(spark, pipeline.clean)
     assert clean.count() == 402 and clean.select("id").distinct().count() == 402
+
+
+def test_sent_messages_come_in_files_of_bounded_size(spark, monkeypatch):
+    from workload import stream
+
+    monkeypatch.setattr(stream, "FILE_ROWS", 300)
+    sent = spark.read.parquet(stream._sent_messages(spark, "/root/testdata/sf0.001"))
+    files = sent.groupBy(F.input_file_name()).count()
+    assert files.count() >= 6 and files.agg(F.max("count")).first()[0] <= 300
+    assert sent.count() == 1334 and sent.select("offset").distinct().count() == 1334  # 1,000 events, 334 of them twice

@@ -16,6 +16,8 @@ from workload.bindings import PAYLOAD, _CALENDAR_SQL, payload_millis
 
 # Bytes of a micro-batch at least, small enough for several of them here.
 BATCH_BYTES = 4 << 20
+# Rows of a message file at most: a batch has many files then, and as many tasks.
+FILE_ROWS = 100_000
 
 
 def _sent_messages(spark, sf) -> str:
@@ -27,7 +29,7 @@ def _sent_messages(spark, sf) -> str:
         offset = number * 2 + wave
         enveloped = with_envelope(rows, "incidents", number % 4, offset,
                                   F.timestamp_millis(F.lit(1_704_067_200_000) + number))
-        enveloped.write.mode("append").parquet(path)
+        enveloped.write.mode("append").option("maxRecordsPerFile", FILE_ROWS).parquet(path)
     return path
 
 
@@ -62,7 +64,7 @@ def stream_growth(spark, sf):
     for wave, schema in waves:
         key = F.col("key").cast("bigint")
         enveloped = with_envelope(to_messages(wave), "incidents", key % 4, key, F.lit("2024-01-01"))
-        enveloped.write.mode("append").parquet(sent)
+        enveloped.write.mode("append").option("maxRecordsPerFile", FILE_ROWS).parquet(sent)
         drain(ingest_writer(file_messages(spark, sent, backlog_bytes(spark, sent, BATCH_BYTES)), raw, f"{checkpoints}/raw",
                             payload_schema=", ".join(schema)))
         drain(upsert_writer(raw_table_stream(spark, raw, backlog_bytes(spark, raw, BATCH_BYTES)), clean, f"{checkpoints}/clean"))
