@@ -39,6 +39,8 @@ MOST_IN_WORD, MOST = 20, 275
 SAMPLED, OFTEN, COMMON, MOST_COMMON = 16, 4, 1 / 4096, 500_000
 # Bits of a set's bitmap: a power of two, at least as many as it has shingles, within these powers.
 LEAST_BITS, MOST_BITS = 6, 16
+# Documents that share a shingle of their prefixes, beyond which they first meet one of them.
+CROWDED = 32
 # Partners that one copy of a set is sent for, and parts of a set's pairs that are counted apart.
 GROUP, SLICES = 256, 64
 # Largest list of texts asked for that is sent to the texts, in rows and bytes.
@@ -267,28 +269,52 @@ def _prefixes(docs: DataFrame, likeness: float) -> DataFrame:
 
 
 def _can_be_alike(likeness: float) -> Column:
-    """Whether sizes, and the places of a shared shingle, leave room for enough shared ones."""
+    """Whether sizes and places leave room for enough shared shingles, if the one that stands there is the first shared one.
+
+    That one is the first in the order of both sets, so only what stands from it on can be shared. Every pair that is alike
+    has one with room: its first.
+    """
     n, m, i, j = (F.col(name) for name in ("size", "_size", "place", "_place"))
-    most = F.least(i, j) + 1 + F.least(n - i, m - j) - 1
-    return most >= (n + m) * F.lit(likeness / (1 + likeness)) - F.lit(1e-6)
+    return F.least(n - i, m - j) >= (n + m) * F.lit(likeness / (1 + likeness)) - F.lit(1e-6)
 
 
-def _meeting(prefixes: DataFrame, roots: DataFrame, likeness: float) -> DataFrame:
-    """Pairs ``a``, ``b`` of different components that share a shingle of their prefixes and can be alike."""
+def _members(prefixes: DataFrame) -> DataFrame:
+    """The places of shingles that stand in several prefixes."""
     placed = prefixes.select("node", "size", F.posexplode("tokens").alias("place", "token"))
     several = placed.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
-    members = materialize(placed.join(several, "token").join(
+    return materialize(placed.join(several, "token"), "members")
+
+
+def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
+    return materialize(members.join(
         roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
-            "token", "node", "size", "place", F.coalesce("root", "node").alias("root")), "members")
+            "token", "node", "size", "place", F.coalesce("root", "node").alias("root")), "rooted")
+
+
+def _led(rooted: DataFrame, likeness: float) -> DataFrame:
+    """Pairs ``a``, ``b`` around one document ``a`` of each crowded shingle, the one with the fewest shingles before it.
+
+    In a group of copies that is the one with the fewest edits. One pair a row at most, so the number grows with the documents.
+    """
+    leads = rooted.groupBy("token").agg(F.count("*").alias("n"), F.min(F.struct("place", "node", "size", "root")).alias("lead")) \
+        .where(F.col("n") > CROWDED).select("token", *[F.col(f"lead.{name}").alias(f"_{name}")
+                                                      for name in ("place", "node", "size", "root")])
+    return rooted.join(leads, "token").where((F.col("root") != F.col("_root")) & _can_be_alike(likeness)).select(
+        F.col("_node").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def _meeting(rooted: DataFrame, likeness: float) -> DataFrame:
+    """Pairs ``a``, ``b`` of different components that share a shingle of their prefixes and can be alike."""
     # Within a shingle's largest component nothing is compared again.
-    largest = members.groupBy("token", "root").count().groupBy("token").agg(
+    largest = rooted.groupBy("token", "root").count().groupBy("token").agg(
         F.max(F.struct("count", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1").select(
         "token", F.col("top.root").alias("top"))
-    mixed = materialize(members.join(largest, "token"), "mixed")
+    mixed = materialize(rooted.join(largest, "token"), "mixed")
     outside = mixed.where(F.col("root") != F.col("top")).select(
         *[F.col(name).alias(f"_{name}") for name in ("token", "node", "size", "place", "root")])
+    # Two documents outside the largest component meet once, not from both sides.
     return mixed.join(outside, (F.col("token") == F.col("_token")) & (F.col("root") != F.col("_root"))
-                      & _can_be_alike(likeness)).select(
+                      & ((F.col("root") == F.col("top")) | (F.col("node") < F.col("_node"))) & _can_be_alike(likeness)).select(
         F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
 
 
@@ -338,9 +364,13 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", likeness: f
         .groupBy("node").agg(F.max(F.struct("hub.degree", "hub.node")).alias("hub")) \
         .select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
     first = _verified(_near(hubs, contents), contents, own, likeness)
-    roots = components(first, "a", "b")
-    prefixes = materialize(_prefixes(own, likeness), "prefixes")
-    met = materialize(_meeting(prefixes, roots, likeness), "met")
+    members = _members(materialize(_prefixes(own, likeness), "prefixes"))
+    rooted = _rooted(members, components(first, "a", "b"))
+    led = materialize(_led(rooted, likeness), "led")
+    if not led.isEmpty():
+        first = first.unionByName(_verified(_can_share(led, contents, likeness), contents, own, likeness))
+        rooted = _rooted(members, components(first, "a", "b"))
+    met = materialize(_meeting(rooted, likeness), "met")
     second = _verified(_can_share(met, contents, likeness), contents, own, likeness)
     final = components(first.unionByName(second), "a", "b").withColumnRenamed("node", "_node")
     return rows.join(final, F.col("node") == F.col("_node"), "left").select(
