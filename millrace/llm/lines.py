@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.texts import map_rows
+from millrace.llm.texts import map_rows, text_batches
 from millrace.operators.ranking import running_totals
 from millrace.session import materialize
 
@@ -78,7 +78,8 @@ def later_copies(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """
     own = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn(
         "mark", F.xxhash64("text"))
-    lines = materialize(_lines(own, "key", least_words), "lines")
+    with text_batches(docs.sparkSession):
+        lines = materialize(_lines(own, "key", least_words), "lines")
     # A document takes one place more than it has lines, so no run reaches into the next.
     sizes = lines.where("line = 0").select("key", "mark", (F.col("lines") + 1).alias("size")).distinct()
     begins = running_totals(sizes, [], ["key", "mark"], ["size"]).select(

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from millrace.llm.components import components
 from millrace.llm.simhash import SEED, shingles
-from millrace.llm.texts import map_rows
+from millrace.llm.texts import map_rows, text_batches
 from millrace.session import broadcast_if_small, materialize
 
 WORDS, BLOCK_BITS, BLOCKS = 24, 24, 32
@@ -340,6 +340,11 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", likeness: f
 
     Texts are compared without regard to A-Z's case and to white space. Texts without words are copies of each other; a missing text is empty.
     """
+    with text_batches(docs.sparkSession):
+        return _groups(docs, key, text, likeness)
+
+
+def _groups(docs: DataFrame, key: str, text: str, likeness: float) -> DataFrame:
     own = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn(
         "mark", F.xxhash64("text"))
     rows = materialize(_sketches(own), "sketches")

@@ -3,13 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 # Rows and bytes that one call of a row function gets at most (a single longer text passes whole).
 PIECE_ROWS, PIECE_BYTES = 2_000, 4 << 20
+# Rows that go to and fro between the JVM and Python together, while whole texts are passed.
+BATCH_ROWS = 1_000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def text_batches(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, jobs send ``BATCH_ROWS`` rows to Python at a time at most: Spark's own setting is made for rows of
+    figures, and both sides hold whole batches. Only for work that runs before it ends."""
+    before = spark.conf.get(_BATCH_ROWS)
+    # 0 and less stand for no bound.
+    spark.conf.set(_BATCH_ROWS, min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
 
 
 def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,6 +18,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -39,6 +40,8 @@ LANDMARK_STRETCH = 8
 KEPT = 2_000
 # Words that are less like every landmark than this take part in a fit as words that have nothing of any; words looked at together.
 NEAR, TOGETHER = 0.2, 40_000
+# Rows of a machine's sample that are taken to doubles together.
+AT_ONCE = 8_192
 # A toxic document that is missed counts as much as so many clean ones that are rejected.
 MISSED = 2
 # Up to this length a word's subsequences are gone through one by one; longer ones are counted place by place.
@@ -75,15 +78,37 @@ def _letters() -> np.ndarray:
 
 
 def _rows(words: list[str], letters: np.ndarray):
-    """``(places, codes)``: words of the same length together, one row of letter codes each."""
+    """``(places, codes)``: words of the same length together, up to ``TOGETHER``, one row of letter codes each."""
     lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    text = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    codes = letters[np.where(text < 1 << 16, text, 0x4E00 + text % 5)]
-    starts = np.cumsum(lengths) - lengths
-    for length in np.unique(lengths).tolist():
-        places = np.flatnonzero(lengths == length)
-        if length:
-            yield places, codes[starts[places][:, None] + np.arange(length)]
+    by_length = np.argsort(lengths, kind="stable")
+    for start in range(0, len(words), TOGETHER):
+        places = by_length[start:start + TOGETHER]
+        sizes = lengths[places]
+        text = np.frombuffer("".join([words[i] for i in places.tolist()]).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        codes = letters[np.where(text < 1 << 16, text, 0x4E00 + text % 5)]
+        starts = np.cumsum(sizes) - sizes
+        for length in np.unique(sizes).tolist():
+            same = np.flatnonzero(sizes == length)
+            if length:
+                yield places[same], codes[starts[same][:, None] + np.arange(length)]
+
+
+def _numbered(texts: Sequence[str], numbers: dict[str, int]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """Per text its words' numbers and their sentences, numbered across texts, and how many words each has.
+
+    New words get the next numbers. Of a text's words nothing else is kept, so memory follows the different words.
+    """
+    words, sentences, first = [], [], 0
+    for text in texts:
+        own, at = units(text)
+        words.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in own), dtype=np.int32, count=len(own)))
+        sentences.append(first + np.array(at, dtype=np.int32))
+        first += max(at, default=0) + 1
+    return words, sentences, np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+
+
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32)
 
 
 def _subsequences(codes: np.ndarray, stretch: int = STRETCH):
@@ -309,17 +334,30 @@ def pooled(margins: np.ndarray, sentences: np.ndarray, documents: np.ndarray, n:
 
 
 def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 0.1) -> np.ndarray:
-    """Squared hinge loss with a ridge, by Newton steps on the rows inside the margin; the last column is the bias."""
+    """Squared hinge loss with a ridge, by Newton steps on the rows inside the margin; the last column is the bias.
+
+    Rows are taken to doubles and summed up ``AT_ONCE`` at a time.
+    """
     w = np.zeros(x.shape[1])
     ridge = np.eye(len(w))
     ridge[-1, -1] = 1e-6
+    parts = [slice(start, start + AT_ONCE) for start in range(0, len(x), AT_ONCE)]
+
+    def within(v: np.ndarray) -> np.ndarray:
+        return np.concatenate([y[part] * (x[part].astype(np.float64) @ v) < 1 for part in parts])
+
     for _ in range(30):
-        inside = y * (x @ w) < 1
-        a = x[inside] * weight[inside][:, None]
-        new = np.linalg.solve(cost * a.T @ x[inside] + ridge, cost * a.T @ y[inside])
+        inside = within(w)
+        squares, sums = np.zeros((len(w), len(w))), np.zeros(len(w))
+        for part in parts:
+            rows = x[part][inside[part]].astype(np.float64)
+            weighed = (rows * weight[part][inside[part]][:, None]).T
+            squares += weighed @ rows
+            sums += weighed @ y[part][inside[part]]
+        new = np.linalg.solve(cost * squares + ridge, cost * sums)
         if np.allclose(new, w, atol=1e-7):
             break
-        w = (w + new) / 2 if np.any((y * (x @ new) < 1) != inside) else new
+        w = (w + new) / 2 if np.any(within(new) != inside) else new
     return w
 
 
@@ -334,20 +372,14 @@ class _Sample:
 
     def __init__(self, texts: list[str]):
         numbers: dict[str, int] = {}
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
-        first, sizes = 0, []
-        for text in texts:
-            own, at = units(text)
-            parts.append((np.fromiter((numbers.setdefault(w, len(numbers)) for w in own), dtype=np.int32, count=len(own)),
-                          first + np.array(at, dtype=np.int32)))
-            sizes.append(len(own))
-            first += max(at, default=0) + 1
+        words, sentences, sizes = _numbered(texts, numbers)
         self.vocabulary = list(numbers)
-        self.words, self.sentences = (np.concatenate([part[i] for part in parts]) for i in (0, 1))
-        self.documents = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+        self.words, self.sentences = _joined(words), _joined(sentences)
+        every = np.arange(len(texts), dtype=np.int32)
+        self.documents = np.repeat(every, sizes)
         # Each word once for a document.
-        both = np.unique(self.words.astype(np.int64) * len(texts) + self.documents)
-        self.present = both // len(texts), both % len(texts)
+        present = [np.unique(own) for own in words]
+        self.present = _joined(present), np.repeat(every, list(map(len, present)))
 
 
 def _vector(word: str, letters: np.ndarray) -> Counter:
@@ -431,23 +463,21 @@ def _mapped(sample: _Sample, landmarks: list[Counter], letters: np.ndarray) -> _
     nearest = np.zeros(len(sample.vocabulary), dtype=np.float32)
     mapped = [np.append(np.zeros(whiten.shape[1]), 1.0).astype(np.float32)[None, :]]
     rows = 1
-    for all_places, all_codes in _rows(sample.vocabulary, letters):
-        for start in range(0, len(all_places), TOGETHER):
-            places, codes = all_places[start:start + TOGETHER], all_codes[start:start + TOGETHER]
-            if codes.shape[1] > LISTED:
-                against = counts.sums(codes)
-            else:
-                against = np.zeros((len(places), len(landmarks)), dtype=np.float32)
-                for span, index in _subsequences(codes):
-                    at = at_index.take(index)
-                    hit = np.flatnonzero(at >= 0)
-                    against[hit] += np.float32(DECAY ** span) * table[at[hit]]
-            against /= np.sqrt(np.maximum(_squares(codes), TINY))[:, None]
-            nearest[places] = against.max(axis=1)
-            near = np.flatnonzero(nearest[places] >= NEAR)
-            row[places[near]] = rows + np.arange(len(near))
-            rows += len(near)
-            mapped.append(np.hstack([against[near] @ whiten.astype(np.float32), np.ones((len(near), 1), dtype=np.float32)]))
+    for places, codes in _rows(sample.vocabulary, letters):
+        if codes.shape[1] > LISTED:
+            against = counts.sums(codes)
+        else:
+            against = np.zeros((len(places), len(landmarks)), dtype=np.float32)
+            for span, index in _subsequences(codes):
+                at = at_index.take(index)
+                hit = np.flatnonzero(at >= 0)
+                against[hit] += np.float32(DECAY ** span) * table[at[hit]]
+        against /= np.sqrt(np.maximum(_squares(codes), TINY))[:, None]
+        nearest[places] = against.max(axis=1)
+        near = np.flatnonzero(nearest[places] >= NEAR)
+        row[places[near]] = rows + np.arange(len(near))
+        rows += len(near)
+        mapped.append(np.hstack([against[near] @ whiten.astype(np.float32), np.ones((len(near), 1), dtype=np.float32)]))
     return _Map(used, table, whiten, row, np.concatenate(mapped), nearest)
 
 
@@ -455,14 +485,17 @@ def _fitted(sample: _Sample, y: np.ndarray, known: np.ndarray, of_map: _Map) ->
     """The machine of the ``known`` documents: a weight for each direction of the map, and the bias."""
     words, sentences, documents = sample.words, sample.sentences, sample.documents
     inside = known[documents]
-    words, sentences, documents = words[inside], sentences[inside], documents[inside]
+    if not inside.all():
+        words, sentences, documents = words[inside], sentences[inside], documents[inside]
+    del inside
     margin = np.minimum(of_map.nearest, 1)  # at first, the nearest landmark; all landmarks are as near
     owner = np.zeros(int(sample.sentences.max(initial=0)) + 1, dtype=np.int64)
     owner[sentences] = documents
     for _ in range(ROUNDS):
         # Each sentence's worst word, and each document's sentences from worst to best.
         order = np.lexsort((-margin[words], sentences))
-        lead = order[np.unique(sentences[order], return_index=True)[1]]
+        of = sentences[order]
+        lead = order[np.flatnonzero(np.append(True, of[1:] != of[:-1]))] if len(of) else order
         s = sentences[lead]
         by = np.lexsort((-margin[words[lead]], owner[s]))
         of = owner[s][by]
@@ -470,7 +503,7 @@ def _fitted(sample: _Sample, y: np.ndarray, known: np.ndarray, of_map: _Map) ->
         taken = np.where(y[of] == 1, rank < 2, rank < TRAINED)
         chosen, sign = words[lead][by][taken], np.where(y[of][taken] == 1, 1.0, -1.0)
         weigh = np.where(sign > 0, 1.0 / max(1, (sign > 0).sum()), 1.0 / max(1, (sign < 0).sum())) * len(sign) / 2
-        w = _machine(of_map.mapped[of_map.row[chosen]].astype(np.float64), sign, weigh)
+        w = _machine(of_map.mapped[of_map.row[chosen]], sign, weigh)
         margin = of_map.margins(w)
     return w
 
@@ -545,28 +578,21 @@ def below(docs: DataFrame, model: Model | None, limit: float, text: str = "text"
 def scorer(model: Model | None) -> Callable[[Sequence[str]], np.ndarray]:
     """A function from texts to scores that remembers the words it has met."""
     letters = _letters()
-    known: dict[str, float] = {}
+    known: dict[str, int] = {}
+    margins = np.zeros(0)
 
     def likely(texts: Sequence[str]) -> np.ndarray:
+        nonlocal margins
         if model is None:
             return np.zeros(len(texts))
-        words, sentences, counts, starts, first = [], [], [], [], 0
-        for body in texts:
-            own, at = units(body)
-            words += own
-            sentences += at
-            counts.append(len(own))
-            starts.append(first)
-            first += max(at, default=0) + 1
         if len(known) > REMEMBERED:
             known.clear()
-        new = list(set(words).difference(known))
-        if new:
-            known.update(zip(new, model.word_margins(new, letters).tolist()))
-        margins = np.fromiter(map(known.__getitem__, words), dtype=float, count=len(words))
+            margins = np.zeros(0)
+        words, sentences, counts = _numbered(texts, known)
+        if len(known) > len(margins):
+            margins = np.append(margins, model.word_margins(list(islice(known, len(margins), None)), letters))
         documents = np.repeat(np.arange(len(counts)), counts)
-        numbered = np.array(sentences, dtype=np.int64) + np.repeat(np.array(starts, dtype=np.int64), counts)
-        features = pooled(margins, numbered, documents, len(counts))
+        features = pooled(margins[_joined(words)], _joined(sentences), documents, len(counts))
         return 1 / (1 + np.exp(-np.clip(features @ model.curve, -30, 30)))
 
     return likely

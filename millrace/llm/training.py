@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.texts import keyed_texts
+from millrace.llm.texts import keyed_texts, text_batches
 
 # Bounds of a sample: rows of each class, and code points of a text that may be in it.
 ROWS_PER_CLASS, MOST_CHARACTERS = 3_000, 20_000
@@ -56,7 +56,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, train: Column,
             if len({value for _, value in ordered}) == 2 else None
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model and vars(model))], pa.binary())], ["model"])
 
-    found = sample.repartition(1).mapInArrow(task, "model binary").first()
+    with text_batches(docs.sparkSession):
+        found = sample.repartition(1).mapInArrow(task, "model binary").first()
     state = pickle.loads(found["model"]) if found else None
     return state and kind(**state)
 

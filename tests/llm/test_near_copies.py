@@ -3,9 +3,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from llm.conftest import ODD
-from millrace.llm import near_copies
+from millrace.llm import near_copies, texts
 
 
 def shingle_set(text):
@@ -190,3 +192,29 @@ def test_pairs_met_grow_with_a_group_not_with_its_square(spark, monkeypatch):
         assert classes(spark, texts) == as_classes(brute_groups(texts))
         pairs.append(sum(met))
     assert pairs[1] <= 2.5 * pairs[0] and pairs[1] <= 10 * 280
+
+
+def test_texts_travel_in_small_batches(spark, monkeypatch):
+    real = near_copies.map_rows
+    before = spark.conf.get(texts._BATCH_ROWS)
+    seen = set()
+
+    def noted(df, *rest):
+        seen.add(df.sparkSession.conf.get(texts._BATCH_ROWS))
+        return real(df, *rest)
+
+    monkeypatch.setattr(near_copies, "map_rows", noted)
+    monkeypatch.setattr(texts, "BATCH_ROWS", 50)
+    docs = spark.range(0, 300, 1, 1).selectExpr("id as doc_id", "concat_ws(' ', 'one', id % 100, 'two', id % 100, 'three four') as text")
+    assert near_copies.groups(docs).select("root").distinct().count() == 100
+    assert seen == {"50"} and spark.conf.get(texts._BATCH_ROWS) == before
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    with texts.text_batches(spark):
+        assert [r["n"] for r in docs.mapInArrow(sizes, "n long").collect()] == [50] * 6
+    with pytest.raises(ZeroDivisionError), texts.text_batches(spark):
+        1 / 0
+    assert spark.conf.get(texts._BATCH_ROWS) == before

@@ -1,5 +1,6 @@
 """Toxicity: the folded table against the kernel itself, held-out accuracy, defined results for odd rows."""
 
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
@@ -140,3 +141,62 @@ def test_held_out_recall_and_precision_by_language(spark):
     for lang in {r["lang"] for r in toxic}:
         own = [r["predicted"] for r in toxic if r["lang"] == lang]
         assert len(own) < 20 or sum(own) / len(own) >= 0.9, lang
+
+
+def most_held(work):
+    """Bytes that were allocated at once while ``work`` ran, beyond those before, and what it returned."""
+    tracemalloc.start()
+    try:
+        found = work()
+        return tracemalloc.get_traced_memory()[1], found
+    finally:
+        tracemalloc.stop()
+
+
+def test_scoring_holds_no_word_twice():
+    draw = np.random.default_rng(5)
+    vocabulary = ["".join(map(chr, row)) for row in draw.integers(97, 123, size=(300, 9))]
+    texts = [" ".join(draw.choice(vocabulary, 400)) + "." for _ in range(1_000)]
+    model = toxicity.Model(draw.normal(size=1 << 5 * toxicity.ORDER).astype(np.float32), -0.5, np.full(10, 0.1))
+    likely = toxicity.scorer(model)
+    assert len(likely(texts[:1])) == 1
+    held, scores = most_held(lambda: likely(texts))
+    # 400,000 words of 60 bytes and more.
+    assert held < 400_000 * 50
+    # Scores do not hang on what is scored together, nor on what was before.
+    one_by_one = toxicity.scorer(model)
+    assert scores[:50] == pytest.approx([one_by_one([text])[0] for text in texts[:50]], abs=1e-9)
+
+
+def test_words_are_forgotten_and_met_again(monkeypatch):
+    draw = np.random.default_rng(6)
+    texts = ["", "one two. idiot!", *[" ".join("".join(map(chr, row)) for row in draw.integers(97, 123, size=(40, 6)))
+                                      for _ in range(30)], "idiot"]
+    model = toxicity.Model(draw.normal(size=1 << 5 * toxicity.ORDER).astype(np.float32), -0.5, np.full(10, 0.1))
+    whole = toxicity.scorer(model)(texts)
+    monkeypatch.setattr(toxicity, "REMEMBERED", 60)
+    likely = toxicity.scorer(model)
+    assert np.concatenate([likely(texts[i:i + 2]) for i in range(0, len(texts), 2)]) == pytest.approx(whole, abs=1e-9)
+    assert len(likely([])) == 0
+
+
+def test_machine_is_solved_in_parts(monkeypatch):
+    draw = np.random.default_rng(7)
+    x = np.hstack([draw.normal(size=(40_000, 31)), np.ones((40_000, 1))]).astype(np.float32)
+    y = np.where(x[:, 0] + 0.3 * draw.normal(size=len(x)) > 0.5, 1.0, -1.0)
+    weight = np.where(y > 0, 2.0, 1.0)
+    held, w = most_held(lambda: toxicity._machine(x, y, weight))
+    assert held < x.nbytes * 2
+    monkeypatch.setattr(toxicity, "AT_ONCE", len(x))
+    assert w == pytest.approx(toxicity._machine(x, y, weight), abs=1e-9)
+
+
+def test_rows_of_words_come_in_bounded_parts(monkeypatch):
+    words = [c * n for n in (3, 0, 5) for c in "abcdefg"]
+    letters = toxicity._letters()
+    whole = {int(place): codes.tolist() for places, rows in toxicity._rows(words, letters) for place, codes in zip(places, rows)}
+    monkeypatch.setattr(toxicity, "TOGETHER", 4)
+    parts = list(toxicity._rows(words, letters))
+    assert max(len(places) for places, _ in parts) <= 4
+    assert {int(place): codes.tolist() for places, rows in parts for place, codes in zip(places, rows)} == whole
+    assert sorted(whole) == [i for i, word in enumerate(words) if word]
