@@ -41,7 +41,7 @@ KEPT = 2_000
 # Words that are less like every landmark than this take part in a fit as words that have nothing of any; words looked at together.
 NEAR, TOGETHER = 0.2, 40_000
 # Rows of a machine's sample that are taken to doubles together.
-AT_ONCE = 8_192
+AT_ONCE = 1 << 15
 # A toxic document that is missed counts as much as so many clean ones that are rejected.
 MISSED = 2
 # Up to this length a word's subsequences are gone through one by one; longer ones are counted place by place.
@@ -81,16 +81,12 @@ def _rows(words: list[str], letters: np.ndarray):
     """``(places, codes)``: words of the same length together, up to ``TOGETHER``, one row of letter codes each."""
     lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     by_length = np.argsort(lengths, kind="stable")
-    for start in range(0, len(words), TOGETHER):
-        places = by_length[start:start + TOGETHER]
-        sizes = lengths[places]
-        text = np.frombuffer("".join([words[i] for i in places.tolist()]).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        codes = letters[np.where(text < 1 << 16, text, 0x4E00 + text % 5)]
-        starts = np.cumsum(sizes) - sizes
-        for length in np.unique(sizes).tolist():
-            same = np.flatnonzero(sizes == length)
-            if length:
-                yield places[same], codes[starts[same][:, None] + np.arange(length)]
+    for same in np.split(by_length, np.flatnonzero(np.diff(lengths[by_length])) + 1):
+        for start in range(0, len(same), TOGETHER):
+            places = same[start:start + TOGETHER]
+            text = np.frombuffer("".join([words[i] for i in places.tolist()]).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+            if len(text):
+                yield places, letters[np.where(text < 1 << 16, text, 0x4E00 + text % 5)].reshape(len(places), -1)
 
 
 def _numbered(texts: Sequence[str], numbers: dict[str, int]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
@@ -351,10 +347,10 @@ def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 0.1
         squares, sums = np.zeros((len(w), len(w))), np.zeros(len(w))
         for part in parts:
             rows = x[part][inside[part]].astype(np.float64)
-            weighed = (rows * weight[part][inside[part]][:, None]).T
+            weighed = cost * (rows * weight[part][inside[part]][:, None]).T
             squares += weighed @ rows
             sums += weighed @ y[part][inside[part]]
-        new = np.linalg.solve(cost * squares + ridge, cost * sums)
+        new = np.linalg.solve(squares + ridge, sums)
         if np.allclose(new, w, atol=1e-7):
             break
         w = (w + new) / 2 if np.any(within(new) != inside) else new

@@ -185,6 +185,7 @@ def test_machine_is_solved_in_parts(monkeypatch):
     x = np.hstack([draw.normal(size=(40_000, 31)), np.ones((40_000, 1))]).astype(np.float32)
     y = np.where(x[:, 0] + 0.3 * draw.normal(size=len(x)) > 0.5, 1.0, -1.0)
     weight = np.where(y > 0, 2.0, 1.0)
+    monkeypatch.setattr(toxicity, "AT_ONCE", 4_096, raising=False)
     held, w = most_held(lambda: toxicity._machine(x, y, weight))
     assert held < x.nbytes * 2
     monkeypatch.setattr(toxicity, "AT_ONCE", len(x))
