@@ -41,7 +41,7 @@ KEPT = 2_000
 # Words that are less like every landmark than this take part in a fit as words that have nothing of any; words looked at together.
 NEAR, TOGETHER = 0.2, 40_000
 # Rows of a machine's sample that are taken to doubles together.
-AT_ONCE = 1 << 15
+AT_ONCE = 8_192
 # A toxic document that is missed counts as much as so many clean ones that are rejected.
 MISSED = 2
 # Up to this length a word's subsequences are gone through one by one; longer ones are counted place by place.
