@@ -4,7 +4,7 @@ from datetime import datetime
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, OneVsRest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -224,6 +224,27 @@ def test_training_parts_grow_with_the_rows(spark, monkeypatch):
     assert modelling.prepare(training_table(spark), partitions=30).partitions == 30
 
 
+def test_members_of_large_tables_are_fitted_one_after_the_other(spark, monkeypatch):
+    data, seen, fit = modelling.prepare(training_table(spark)), [], OneVsRest._fit
+
+    def watched(self, dataset):
+        seen.append((self.getParallelism(), dataset.storageLevel.useDisk, dataset.storageLevel.useMemory))
+        return fit(self, dataset)
+
+    monkeypatch.setattr(OneVsRest, "_fit", watched)
+    trees = []
+    for most in (modelling.SIDE_ROWS, 600):
+        monkeypatch.setattr(modelling, "SIDE_ROWS", most)
+        est = modelling.estimator("gbt_ovr", parallelism=3, maxIter=2, maxDepth=2)
+        trained = modelling.train_one(data, "gbt_ovr", est)
+        assert "error" not in trained.run and est.getParallelism() == 3
+        trees.append([member.toDebugString.split("\n", 1)[1] for member in trained.model.models])
+    assert seen == [(3, True, False), (1, True, False)] and trees[0] == trees[1]
+    assert modelling.side_by_side(5, 0, 16, 4) == 5
+    assert modelling.side_by_side(5, 36_000_000, 144, 12) == 1
+    assert modelling.side_by_side(5, 5_000_000, 25, 64) == 3  # few parts on many cores
+
+
 def test_other_features_keep_their_names(spark, tmp_path):
     chosen = ("district", "latitude")
     data = modelling.prepare(training_table(spark), features=chosen)
