@@ -145,7 +145,7 @@ def side_by_side(wanted: int, rows: int, parts: int, cores: int) -> int:
 def fit(est: Estimator, data: TrainingData) -> Model:
     """Fit on the training rows.
 
-    A boosted member holds about 300 bytes a row in memory, and reads them all for each level of each tree. Members that
+    A boosted member holds 200 to 300 bytes a row in memory, and reads them all for each level of each tree. Members that
     do not fit beside one another drive each other's rows to disk every time, so large tables have them one after the other;
     the models are the same. The rows as dealt wait on disk: only the start of a member reads them.
     """
